@@ -1,0 +1,489 @@
+"""The three zone flows over API responses that are derived from the test tables.
+
+Every order stands for a movie. Its responses are made from its own columns, with
+blanks, odd dates, missing answers and the like laid in by order status and
+priority; video statistics come from events, comment pages from conversations.
+"""
+
+from __future__ import annotations
+
+from datetime import date
+from functools import cache
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from zonewright.catalog.registry import query, table
+from zonewright.operators.export import export_rows
+from zonewright.operators.vectors import HashingEmbedder
+from zonewright.plans.landing import build_landing
+from zonewright.plans.serving import build_serving
+from zonewright.plans.trusted import build_trusted
+from zonewright.schemas import struct_of
+from zonewright.session import work_folder
+from zonewright.sources.dumps import RESPONSES, Dumps
+from zonewright.sources.store import TableStore
+
+AS_OF = date(2001, 8, 1)
+WINDOW = 2_500
+
+
+def _lit(value: object) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
+def _object(**fields: object) -> Column:
+    return F.struct(*[_lit(v).alias(k) for k, v in fields.items()])
+
+
+def _like(kind: str, **fields: object) -> list[Column]:
+    """Columns of one response, cast to the declared shape."""
+    declared = {f.name: f.dataType for f in struct_of(RESPONSES[kind]).fields}
+    return [_lit(v).cast(declared[k]).alias(k) for k, v in fields.items()]
+
+
+def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
+    """Write every response the flows read."""
+    dumps = Dumps(spark, root)
+    orders = table(spark, folder, "orders")
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    order_key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    movie, digit = order_key + 1, F.substring(priority, 1, 1).cast("int")
+    name = F.concat(F.lit("Order "), order_key.cast("string"))
+    title = F.when(priority == "5-LOW", F.lit("")).otherwise(name)
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    released = F.when(
+        (status == "P") & (priority == "1-URGENT"), F.date_format("o_orderdate", "yyyy/MM/dd")
+    ).otherwise(day)
+
+    def write(kind: str, rows: DataFrame, **fields: object) -> None:
+        dumps.write(kind, rows.select(*_like(kind, **fields)))
+
+    found = _object(
+        id=movie,
+        title=title,
+        overview=priority,
+        genre_ids=F.array(digit),
+        release_date=released,
+        poster_path="/p.jpg",
+        popularity=F.col("o_totalprice"),
+        region="ES",
+    )
+    broken = found.withField("id", F.lit(None).cast("bigint"))
+    write("discover", orders, page=1, total_pages=1, results=F.array(found, broken))
+
+    def person(number: Column, label: str, order: int, character: object = None) -> Column:
+        return _object(
+            id=number.cast("int"),
+            name=F.concat(F.lit(f"{label} "), customer.cast("string")),
+            character=_lit(character).cast("string"),
+            order=order,
+        )
+
+    boss = _object(
+        id=F.when(status == "F", customer + 1).otherwise(customer + 2_000_001).cast("int"),
+        name=F.concat(F.lit("Boss "), customer.cast("string")),
+        job=F.when(status == "O", F.lit("Writer")).otherwise(F.lit("Director")),
+        department="Directing",
+    )
+    write(
+        "credits",
+        orders,
+        id=movie,
+        cast=F.array(
+            person(customer + 1, "Customer", 0, priority),
+            person(F.lit(None), "Nobody", 1),
+            person(customer + 1_000_001, "Extra", 7),
+        ),
+        crew=F.array(boss),
+    )
+    review = _object(
+        author=F.when(status == "P", F.lit("")).otherwise(F.concat(F.lit("a"), customer.cast("string"))),
+        content=priority,
+        created_at=F.when(priority == "2-HIGH", F.lit("last week"))
+        .when(priority == "1-URGENT", F.concat(day, F.lit("T10:00:00+02:00")))
+        .otherwise(F.concat(day, F.lit("T10:00:00.000Z"))),
+        url=F.when(status == "F", F.lit("https://reviews.example/1")).otherwise(F.lit("www.x")),
+    )
+    write("reviews", orders, id=movie, results=F.array(review, review))
+    texts = _object(overview="o", tagline="t")
+    write(
+        "translations",
+        orders,
+        id=movie,
+        translations=F.array(
+            _object(iso_639_1="en", iso_3166_1="US", name="English", data=texts),
+            _object(
+                iso_639_1=F.lower(status),
+                iso_3166_1="XX",
+                name=F.when(status == "P", F.lit("")).otherwise(F.concat(F.lit("Lang "), status)),
+                data=texts,
+            ),
+        ),
+    )
+    write(
+        "keywords",
+        orders,
+        id=movie,
+        keywords=F.array(
+            _object(id=digit, name=priority), _object(id=F.lit(None).cast("int"), name=F.lit("x"))
+        ),
+    )
+    write(
+        "details",
+        orders.filter(~((status == "O") & (priority == "2-HIGH"))),
+        id=movie,
+        title=title,
+        overview=F.when(priority != "3-MEDIUM", priority),
+        original_language="en",
+        original_title=name,
+        release_date=released,
+        genres=F.array(
+            _object(id=F.ascii(status), name=status), _object(id=digit + 10, name=priority)
+        ),
+        budget=F.col("o_totalprice").cast("bigint"),
+        runtime=90,
+        tagline="",
+        origin_country=F.array(F.lit("US"), status),
+    )
+    offer = _object(
+        logo_path="/l.png",
+        provider_id=digit,
+        provider_name=F.concat(F.lit("Shop "), priority),
+        display_priority=F.ascii(status),
+    )
+    region = _object(link="https://offers.example", flatrate=F.array(offer), rent=F.array(offer))
+    abroad = _object(link="https://offers.example", buy=F.array(offer))
+    dumps.write(
+        "providers",
+        orders.select(
+            movie.alias("id"),
+            _object(ES=F.when(status != "P", region), US=abroad).alias("results"),
+        ),
+    )
+    known = F.struct(
+        (movie + 1_000_000).alias("trakt"),
+        F.concat(F.lit("order-"), order_key.cast("string")).alias("slug"),
+        movie.alias("tmdb"),
+        F.when(priority != "3-MEDIUM", F.concat(F.lit("tt"), order_key.cast("string"))).alias("imdb"),
+    )
+    hit = _object(type="movie", score=1.0, movie=_object(title=name, ids=known))
+    other = _object(type="show", score=2.0, movie=_object(title=name, ids=known))
+    write(
+        "id_search",
+        orders,
+        tmdb_id=movie,
+        results=F.when((status == "P") & (priority == "2-HIGH"), F.array(other)).otherwise(
+            F.array(other, hit)
+        ),
+    )
+    video = F.concat(F.lit("v"), order_key.cast("string"))
+    write(
+        "id_details",
+        orders.filter(~((status == "P") & (priority == "4-NOT SPECIFIED"))),
+        title=name,
+        trailer=F.when(status == "F", F.concat(F.lit("https://youtube.com/watch?v="), video, F.lit("&t=1")))
+        .when(status == "P", F.concat(F.lit("https://youtu.be/"), video)),
+        ids=known,
+    )
+    write(
+        "ratings",
+        orders.filter(status != "P"),
+        Title=name,
+        Poster="N/A",
+        Awards=priority,
+        Ratings=F.array(
+            _object(Source="IMDb", Value="8.7/10"),
+            _object(Source="RT", Value=F.when(status == "F", F.lit("")).otherwise(F.lit("90%"))),
+        ),
+        Metascore=F.when(status == "F", F.lit("N/A")).otherwise(F.lit("73")),
+        imdbRating="8.7",
+        imdbVotes=F.format_number(F.col("o_totalprice").cast("bigint"), 0),
+        imdbID=F.concat(F.lit("tt"), order_key.cast("string")),
+    )
+    result = F.array(
+        _object(id=_object(videoId=F.concat(F.lit("s"), order_key.cast("string"))))
+    )
+    write(
+        "video_search",
+        orders,
+        title=name,
+        items=F.when(priority == "1-URGENT", F.slice(result, 1, 0)).otherwise(result),
+    )
+    counts = F.array(
+        _object(
+            statistics=_object(
+                viewCount=(F.round(F.col("value") * 100).cast("bigint") * 1_000_000).cast("string"),
+                likeCount=F.col("user_id").cast("string"),
+                commentCount="n/a",
+            )
+        )
+    )
+    write(
+        "video_stats",
+        table(spark, folder, "events"),
+        id=F.concat(F.lit("v"), F.col("event_id").cast("string")),
+        items=F.when(F.col("event_type") == "error", F.slice(counts, 1, 0)).otherwise(counts),
+    )
+    minute = F.make_interval(mins=F.col("turn").cast("int"))
+    posted = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + minute
+    comment = _object(
+        authorDisplayName=F.col("role"),
+        textDisplay=F.col("text"),
+        likeCount=F.col("turn").cast("int"),
+        publishedAt=F.when(F.col("role") == "system", F.lit("soon")).otherwise(
+            F.date_format(posted, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        ),
+    )
+    item = _object(snippet=_object(topLevelComment=_object(snippet=comment)))
+    write(
+        "video_comments",
+        table(spark, folder, "conversations"),
+        video_id=F.concat(F.lit("v"), F.col("conv_id").cast("string")),
+        page=F.col("turn"),
+        items=F.array(item),
+    )
+    return dumps
+
+
+class Zones:
+    """The zones below one root, built on first use, each from the one before."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+        self.root = work_folder(spark, "zones")
+        self._built: dict[str, TableStore] = {}
+
+    def landing(self) -> TableStore:
+        def build(store: TableStore) -> None:
+            dumps = lay_dumps(self.spark, self.folder, f"{self.root}/dumps")
+            build_landing(dumps, store, AS_OF, days=WINDOW, discover_region="ES").finish()
+
+        return self._zone("landing", build)
+
+    def trusted(self) -> TableStore:
+        return self._zone("trusted", lambda s: build_trusted(self.landing(), s).finish())
+
+    def serving(self) -> TableStore:
+        return self._zone(
+            "serving", lambda s: build_serving(self.trusted(), s, HashingEmbedder(64)).finish()
+        )
+
+    def _zone(self, name: str, build) -> TableStore:
+        if name not in self._built:
+            store = TableStore(self.spark, f"{self.root}/{name}")
+            build(store)
+            self._built[name] = store
+        return self._built[name]
+
+
+@cache
+def _zones(application: str, folder: str) -> Zones:
+    return Zones(SparkSession.getActiveSession(), folder)
+
+
+def zones(spark: SparkSession, folder: str) -> Zones:
+    """One set of zones per application and input folder."""
+    return _zones(spark.sparkContext.applicationId, folder)
+
+
+def table_counts(store: TableStore, names: list[str]) -> DataFrame:
+    """Rows ``(table_name, n)``. Counts come from file footers where a table has no
+    pending changes."""
+    counts = [
+        store.read(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        for name in names
+    ]
+    result = counts[0]
+    for more in counts[1:]:
+        result = result.unionByName(more)
+    return result
+
+
+# The orders that reach each table, by the same rules, as one SQL prefix.
+_BASE = """
+    WITH seen AS (
+      SELECT *, CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'
+                     THEN strftime(o_orderdate, '%Y/%m/%d')
+                     ELSE strftime(o_orderdate, '%Y-%m-%d') END AS released,
+             o_orderstatus AS st, o_orderpriority AS pr
+      FROM orders),
+    discovered AS (
+      SELECT * FROM seen
+      WHERE released BETWEEN strftime(DATE '2001-08-01' - 2500, '%Y-%m-%d') AND '2001-08-01'),
+    found AS (
+      SELECT * FROM discovered WHERE NOT (st = 'P' AND pr IN ('2-HIGH', '4-NOT SPECIFIED'))),
+    rated AS (SELECT * FROM found WHERE pr <> '3-MEDIUM' AND st <> 'P'),
+    trailers AS (
+      SELECT *, CASE st WHEN 'F' THEN 'v' || o_orderkey ELSE 's' || o_orderkey END AS video
+      FROM found WHERE st = 'F' OR (st = 'O' AND pr <> '1-URGENT')),
+    m AS (
+      SELECT * FROM discovered WHERE pr <> '5-LOW' AND regexp_matches(released, '^[0-9-]{10}$')),
+    detailed AS (SELECT * FROM m WHERE NOT (st = 'O' AND pr = '2-HIGH')),
+    remarks AS (
+      SELECT o_orderkey, role, text, turn
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS nth
+            FROM conversations) JOIN trailers ON video = 'v' || conv_id
+      WHERE nth <= 5 AND role <> 'system'),
+    roles AS (
+      SELECT o_orderkey, o_custkey + 1 AS cast_id, 'Acting' AS role,
+             'Customer ' || o_custkey AS name, pr AS character FROM m
+      UNION ALL
+      SELECT o_orderkey, CASE st WHEN 'F' THEN o_custkey + 1 ELSE o_custkey + 2000001 END,
+             'Director', 'Boss ' || o_custkey, NULL FROM m WHERE st <> 'O')
+"""
+
+
+def _count_sql(counts: dict[str, str]) -> str:
+    parts = [f"SELECT '{name}' AS table_name, ({sql})::BIGINT AS n" for name, sql in counts.items()]
+    return _BASE + "\nUNION ALL ".join(parts)
+
+
+LANDING_COUNTS = {
+    "tmdb/movies_released": "SELECT count(*) FROM discovered",
+    "trakt/movie_ids_and_trailer": "SELECT count(*) FROM found",
+    "omdb/movie_ratings": "SELECT count(*) FROM rated",
+    "tmdb/movies_providers": "SELECT count(*) FROM found WHERE st <> 'P'",
+    "youtube/trailer_video_stats": "SELECT count(*) FROM trailers",
+    "rejects/movie_ids": "SELECT (SELECT count(*) FROM discovered) - (SELECT count(*) FROM found)",
+}
+SERVING_COUNTS = {
+    "movies": "SELECT count(*) FROM m",
+    "cast": "SELECT count(DISTINCT cast_id) FROM roles",
+    "movies_cast": "SELECT count(*) FROM roles",
+    "reviews": "SELECT count(*) FROM m WHERE st <> 'P' AND pr <> '2-HIGH'",
+    "genres": "SELECT (SELECT count(DISTINCT st) FROM detailed) "
+    "+ (SELECT count(DISTINCT pr) FROM detailed)",
+    "movies_genres": "SELECT 2 * count(*) FROM detailed",
+    "languages": "SELECT 1 + count(DISTINCT st) FROM m WHERE st <> 'P'",
+    "movies_languages": "SELECT count(*) + count(*) FILTER (st <> 'P') FROM m",
+    "keywords": "SELECT count(DISTINCT pr) FROM m",
+    "movies_keywords": "SELECT count(*) FROM m",
+    "providers": "SELECT count(DISTINCT pr) FROM found WHERE st <> 'P'",
+    "movies_providers": "SELECT 2 * count(*) FROM found WHERE st <> 'P'",
+    "imdb_data": "SELECT count(*) FROM rated",
+    "external_ratings": "SELECT count(*) + count(*) FILTER (st = 'O') FROM rated",
+    "youtube_statistics": "SELECT count(*) FROM trailers",
+    "youtube_comments": "SELECT count(*) FROM remarks",
+}
+TRUSTED_COUNTS = SERVING_COUNTS | {"movie_ids_and_trailer": "SELECT count(*) FROM found"}
+VECTOR_COUNTS = {"movie_vectors": "SELECT count(*) FROM m"}
+
+
+@query("landing_tables", _count_sql(LANDING_COUNTS))
+def landing_tables(spark: SparkSession, folder: str) -> DataFrame:
+    return table_counts(zones(spark, folder).landing(), list(LANDING_COUNTS))
+
+
+@query("trusted_tables", _count_sql(TRUSTED_COUNTS))
+def trusted_tables(spark: SparkSession, folder: str) -> DataFrame:
+    return table_counts(zones(spark, folder).trusted(), list(TRUSTED_COUNTS))
+
+
+@query("serving_tables", _count_sql(SERVING_COUNTS | VECTOR_COUNTS))
+def serving_tables(spark: SparkSession, folder: str) -> DataFrame:
+    return table_counts(
+        zones(spark, folder).serving(), [*SERVING_COUNTS, *VECTOR_COUNTS]
+    )
+
+
+@query(
+    "trusted_movies",
+    _BASE
+    + """
+    SELECT (m.o_orderkey + 1)::INTEGER AS tmdb_id, 'Order ' || m.o_orderkey AS title,
+           CASE WHEN d.o_orderkey IS NULL OR m.pr <> '3-MEDIUM' THEN m.pr END AS overview,
+           m.released AS release_date,
+           CASE WHEN d.o_orderkey IS NOT NULL THEN trunc(m.o_totalprice) END AS budget,
+           CASE WHEN d.o_orderkey IS NULL THEN '' ELSE 'US&' || m.st END AS origin_country
+    FROM m LEFT JOIN detailed d USING (o_orderkey)
+    """,
+)
+def trusted_movies(spark: SparkSession, folder: str) -> DataFrame:
+    return zones(spark, folder).trusted().read("movies").select(
+        "tmdb_id", "title", "overview", "release_date", "budget", "origin_country"
+    )
+
+
+@query(
+    "trusted_people",
+    _BASE + "SELECT cast_id::INTEGER AS cast_id, min(name) AS name FROM roles GROUP BY cast_id",
+)
+def trusted_people(spark: SparkSession, folder: str) -> DataFrame:
+    return zones(spark, folder).trusted().read("cast")
+
+
+@query(
+    "trusted_roles",
+    _BASE
+    + """
+    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id, cast_id::INTEGER AS cast_id, role, character,
+           (o_orderkey + 1) || '_' || cast_id AS movie_cast_id
+    FROM roles
+    """,
+)
+def trusted_roles(spark: SparkSession, folder: str) -> DataFrame:
+    return zones(spark, folder).trusted().read("movies_cast")
+
+
+@query(
+    "trusted_reviews",
+    _BASE
+    + """
+    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id, 'a' || o_custkey AS author, pr AS content,
+           released || CASE pr WHEN '1-URGENT' THEN ' 08:00:00' ELSE ' 10:00:00' END AS created_at,
+           CASE st WHEN 'F' THEN 'https://reviews.example/1' END AS url
+    FROM m WHERE st <> 'P' AND pr <> '2-HIGH'
+    """,
+)
+def trusted_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    return export_rows(
+        zones(spark, folder).trusted().read("reviews"), timestamp_format="yyyy-MM-dd HH:mm:ss"
+    )
+
+
+@query(
+    "serving_ratings",
+    _BASE
+    + """
+    SELECT 'tt' || o_orderkey AS imdb_id, (o_orderkey + 1)::INTEGER AS tmdb_id, '8.70' AS imdb_rating,
+           trunc(o_totalprice)::BIGINT AS imdb_votes,
+           CASE st WHEN 'O' THEN 73 END::DOUBLE AS metascore, pr AS awards,
+           CASE st WHEN 'F' THEN 'https://youtube.com/watch?v=v' || o_orderkey || '&t=1' END AS trailer
+    FROM rated
+    """,
+)
+def serving_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    rows = zones(spark, folder).serving().read("imdb_data")
+    return rows.withColumn("metascore", F.col("metascore").cast("double")).drop("poster")
+
+
+@query(
+    "serving_video_statistics",
+    _BASE
+    + """
+    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id,
+           CASE WHEN event_type <> 'error' THEN round(value * 100)::BIGINT * 1000000 ELSE 0 END AS views,
+           CASE WHEN event_type <> 'error' THEN user_id ELSE 0 END AS likes,
+           CASE WHEN event_type <> 'error' THEN NULL ELSE 0 END::DOUBLE AS comments
+    FROM (SELECT t.*, coalesce(event_type, 'error') AS event_type, value, user_id
+          FROM trailers t LEFT JOIN events ON video = 'v' || event_id)
+    """,
+)
+def serving_video_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    rows = zones(spark, folder).serving().read("youtube_statistics")
+    return rows.withColumn("comments", F.col("comments").cast("double"))
+
+
+@query(
+    "serving_comments",
+    _BASE
+    + """
+    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id, role AS author, text,
+           turn::INTEGER AS likes,
+           strftime(TIMESTAMP '2024-01-01' + to_minutes(turn::INTEGER), '%Y-%m-%d %H:%M:%S')
+             AS published_at
+    FROM remarks
+    """,
+)
+def serving_comments(spark: SparkSession, folder: str) -> DataFrame:
+    return zones(spark, folder).serving().read("youtube_comments")

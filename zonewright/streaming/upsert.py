@@ -65,10 +65,11 @@ def last_arrivals(
     keys: Sequence[str],
     arrival: Sequence[str] = _ARRIVAL,
 ) -> DataFrame:
-    """The last message of each key in one batch by the ``arrival`` columns, which do
-    not come out. A
-    producer that keys its messages has one partition per key, so the offset
-    decides; over partitions the order is only made definite."""
+    """The last message of each key in one batch, without the arrival columns.
+
+    A producer that keys its messages has one partition per key, so the offset
+    decides; over partitions the order is only made definite.
+    """
     latest = keep_one_present(batch, keys, [F.desc(c) for c in arrival])
     return latest.drop(*_ARRIVAL, *arrival)
 
