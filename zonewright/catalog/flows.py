@@ -8,7 +8,7 @@ priority; video statistics come from events, comment pages from conversations.
 from __future__ import annotations
 
 from datetime import date
-from functools import cache
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,6 +16,7 @@ from zonewright.catalog.registry import query, table
 from zonewright.operators.export import export_rows
 from zonewright.operators.vectors import HashingEmbedder
 from zonewright.plans.landing import build_landing
+from zonewright.plans.report import FlowReport
 from zonewright.plans.serving import build_serving
 from zonewright.plans.trusted import build_trusted
 from zonewright.schemas import struct_of
@@ -55,8 +56,10 @@ def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
         (status == "P") & (priority == "1-URGENT"), F.date_format("o_orderdate", "yyyy/MM/dd")
     ).otherwise(day)
 
+    documents: dict[str, DataFrame] = {}
+
     def write(kind: str, rows: DataFrame, **fields: object) -> None:
-        dumps.write(kind, rows.select(*_like(kind, **fields)))
+        documents[kind] = rows.select(*_like(kind, **fields))
 
     found = _object(
         id=movie,
@@ -153,12 +156,9 @@ def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
     )
     region = _object(link="https://offers.example", flatrate=F.array(offer), rent=F.array(offer))
     abroad = _object(link="https://offers.example", buy=F.array(offer))
-    dumps.write(
-        "providers",
-        orders.select(
-            movie.alias("id"),
-            _object(ES=F.when(status != "P", region), US=abroad).alias("results"),
-        ),
+    documents["providers"] = orders.select(
+        movie.alias("id"),
+        _object(ES=F.when(status != "P", region), US=abroad).alias("results"),
     )
     known = F.struct(
         (movie + 1_000_000).alias("trakt"),
@@ -242,6 +242,14 @@ def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
         page=F.col("turn"),
         items=F.array(item),
     )
+
+    def lay(kind: str) -> int:
+        dumps.write(kind, documents[kind])
+        return 0
+
+    report = FlowReport()
+    report.run_all(spark, {kind: partial(lay, kind) for kind in documents})
+    report.finish()
     return dumps
 
 

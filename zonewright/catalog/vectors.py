@@ -24,6 +24,24 @@ def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("vec_id", "score").orderBy(F.desc("score"), "vec_id")
 
 
+@query(
+    "vector_first_matches",
+    """
+    WITH q AS (SELECT embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id = 0),
+    best AS (
+      SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[], q.v), 6) AS score
+      FROM embeddings, q ORDER BY score DESC, vec_id LIMIT 10)
+    SELECT vec_id, label FROM best ORDER BY score DESC, vec_id LIMIT 3
+    """,
+)
+def vector_first_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata of the first three of the ten nearest."""
+    vectors = table(spark, folder, "embeddings")
+    queries = collect_queries(vectors.filter("vec_id = 0"), "vec_id", "embedding")
+    first = top_k(vectors, queries, 10, id_column="vec_id", score_digits=6).filter("rank <= 3")
+    return first.join(vectors.select("vec_id", "label"), "vec_id").select("vec_id", "label")
+
+
 @query(
     "vector_topk_batch",
     """

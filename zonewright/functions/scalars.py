@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 
 # Patterns raw text is checked against.
 ISO_DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
+STARTS_WITH_DAY = r"^\d{4}-\d{2}-\d{2}"
 URL_SHAPE = r"^(https?|ftp)://[^\s/$.?#].[^\s]*$"
 VIDEO_URL_PREFIX = "https://www.youtube.com/watch?v="
 
@@ -60,8 +61,8 @@ def url_or_null(text: Column) -> Column:
 
 def instant(text: Column) -> Column:
     """ISO-8601 text to a timestamp, honouring ``Z`` and offsets, with or without
-    fractions; unreadable text is null."""
-    return F.try_to_timestamp(text)
+    fractions; unreadable text is null, and so is a time without its day."""
+    return F.when(text.rlike(STARTS_WITH_DAY), F.try_to_timestamp(text))
 
 
 def joined_key(*parts: Column | str) -> Column:

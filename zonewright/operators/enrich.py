@@ -95,7 +95,9 @@ def dictionary_lookup(
     up, and gathered again under the row's own ``row_key``, which has to be unique,
     so that a gathered group is never longer than the row's own array.
     """
-    entries = keep_one(dictionary.select(key, value).dropna(subset=[key]), [key])
+    entries = keep_one(
+        dictionary.select(key, value).dropna(subset=[key]), [key], for_skewed_join=True
+    )
     small = entries.limit(literal_rows + 1).collect()
     if len(small) <= literal_rows:
         found = sorted(((r[key], r[value]) for r in small), key=lambda e: e[0])

@@ -67,9 +67,9 @@ def normalize_nested(
 
     Rows with a null in ``required`` (default: the dimension's key) are in
     neither; rows with a null in ``required_dim`` are only left out of the
-    dimension. Variants of one dimension row are first reduced with DISTINCT, a
-    hash aggregate that runs before the shuffle, as a hot dimension row is
-    repeated in every task; ``keep_one`` then picks one variant per key.
+    dimension. Dimension rows repeat many times over, so DISTINCT, a hash aggregate
+    that already runs before the shuffle, comes first and ``keep_one`` then picks
+    one variant per key. Bridge rows hardly repeat and take one shuffle only.
     """
     present = links.dropna(subset=list(required or dim_key))
     members = present.select(*dim_key, *dim_columns)
@@ -78,7 +78,7 @@ def normalize_nested(
     dim = keep_one(members.distinct(), dim_key, dim_order)
     edges = present.select(*bridge_key, *bridge_columns)
     if bridge_columns:
-        bridge = keep_one(edges.distinct(), bridge_key, bridge_order)
+        bridge = keep_one(edges, bridge_key, bridge_order)
     else:
         bridge = edges.distinct()
     return DimAndBridge(dim, bridge)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -223,8 +225,12 @@ def trailer_stats(ids: DataFrame, dumps: Dumps) -> DataFrame:
     stats = dumps.read("video_stats").select(
         F.col("id").alias("video_id"), F.get("items", F.lit(0))["statistics"].alias("statistics")
     )
-    rows = lookup_join(videos.filter(S.is_filled(F.col("video_id"))), stats, ["video_id"])
-    rows = lookup_join(rows, video_comments(dumps), ["video_id"], right_unique=True)
+    # both sides of this join are unique; many movies may share one video, so they
+    # meet what is known of it in a single join that can be split
+    known = keep_one(stats.dropna(subset=["video_id"]), ["video_id"]).join(
+        video_comments(dumps), "video_id", "full"
+    )
+    rows = lookup_join(videos.filter(S.is_filled(F.col("video_id"))), known, ["video_id"])
     zero = F.struct(
         *[F.lit("0").alias(n) for n in ("viewCount", "likeCount", "commentCount")]
     )
@@ -246,26 +252,38 @@ def build_landing(
     discover_region: str | None = None,
 ) -> FlowReport:
     """Upsert the five landing tables. Ratings, providers and statistics are
-    refreshed for all movies known so far, not only the new ones."""
+    refreshed for all movies known so far, not only the new ones. Movies without
+    ids and lines that are no JSON go to ``rejects`` tables."""
     report = FlowReport()
+    keys = schemas.LANDING_KEYS | {
+        "rejects/movie_ids": ["tmdb_id"],
+        "rejects/responses": ["kind", "line"],
+    }
 
-    def load(table: str, frame) -> None:
-        report.run(
-            table,
-            lambda: store.upsert(table, encode_nested(frame()), schemas.LANDING_KEYS[table]),
-        )
+    def load(frames: dict[str, Callable[[], DataFrame]]) -> None:
+        def step(table: str, frame: Callable[[], DataFrame]) -> int:
+            return store.upsert(table, encode_nested(frame()), keys[table])
+
+        report.run_all(store.spark, {t: partial(step, t, f) for t, f in frames.items()})
 
     movies = discovered_movies(dumps, as_of, days, discover_region)
     found, missing = movie_ids(movies, dumps)
-    load("tmdb/movies_released", lambda: enriched_movies(movies, dumps))
-    load("trakt/movie_ids_and_trailer", lambda: found)
-    report.run(
-        "rejects/movie_ids", lambda: store.upsert("rejects/movie_ids", missing, ["tmdb_id"])
+    load(
+        {
+            "tmdb/movies_released": lambda: enriched_movies(movies, dumps),
+            "trakt/movie_ids_and_trailer": lambda: found,
+            "rejects/movie_ids": lambda: missing,
+            "rejects/responses": dumps.unreadable,
+        }
     )
     if not store.exists("trakt/movie_ids_and_trailer"):
         return report
     known = store.read("trakt/movie_ids_and_trailer")
-    load("omdb/movie_ratings", lambda: movie_ratings(known, dumps))
-    load("tmdb/movies_providers", lambda: movie_providers(known, dumps, region))
-    load("youtube/trailer_video_stats", lambda: trailer_stats(known, dumps))
+    load(
+        {
+            "omdb/movie_ratings": lambda: movie_ratings(known, dumps),
+            "tmdb/movies_providers": lambda: movie_providers(known, dumps, region),
+            "youtube/trailer_video_stats": lambda: trailer_stats(known, dumps),
+        }
+    )
     return report

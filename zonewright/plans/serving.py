@@ -96,18 +96,19 @@ def build_serving(
 ) -> FlowReport:
     """Upsert the sixteen serving tables and, given an embedder, the vectors."""
     report = FlowReport()
-    for table, keys in schemas.SERVING_KEYS.items():
-        report.run(table, partial(_write, trusted, serving, table, keys))
+    steps: dict[str, Callable[[], int]] = {
+        table: partial(_write, trusted, serving, table, keys)
+        for table, keys in schemas.SERVING_KEYS.items()
+    }
     if trusted.exists("external_ratings") and trusted.exists("movie_ids_and_trailer"):
-        report.run(
-            "rejects/external_ratings",
-            lambda: serving.upsert(
-                "rejects/external_ratings", unmatched_ratings(trusted), ["imdb_id", "source"]
-            ),
+        steps["rejects/external_ratings"] = lambda: serving.upsert(
+            "rejects/external_ratings", unmatched_ratings(trusted), ["imdb_id", "source"]
         )
-    if embedder is not None:
-        items: Callable[[], DataFrame] = lambda: movie_items(export_rows(trusted.read("movies")))
-        report.run(VECTORS, lambda: refresh_vectors(items(), serving, embedder))
+    if embedder is not None and trusted.exists("movies"):
+        steps[VECTORS] = lambda: refresh_vectors(
+            movie_items(export_rows(trusted.read("movies"))), serving, embedder
+        )
+    report.run_all(serving.spark, steps)
     return report
 
 

@@ -265,11 +265,11 @@ def build_trusted(source: TableStore, target: TableStore) -> FlowReport:
         report.metrics.update(movies_read=before.get["rows"], movies_kept=after.get["rows"])
         return rows
 
-    for table, keys in schemas.TRUSTED_KEYS.items():
-        if table == "movies":
-            report.run(table, write_movies)
-        else:
-            report.run(table, partial(_write, target, table, frames[table], keys))
+    steps = {
+        table: partial(_write, target, table, frames[table], keys)
+        for table, keys in schemas.TRUSTED_KEYS.items()
+    }
+    report.run_all(target.spark, steps | {"movies": write_movies})
     return report
 
 

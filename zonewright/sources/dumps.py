@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from zonewright import schemas
 
@@ -38,6 +40,18 @@ class Dumps:
     def read(self, kind: str) -> DataFrame:
         return self.spark.read.schema(RESPONSES[kind]).json(f"{self.root}/{kind}")
 
+    def unreadable(self) -> DataFrame:
+        """Distinct lines of all dumps that are no JSON, as ``(kind, line)``."""
+        frames = [
+            self.spark.read.text(f"{self.root}/{kind}").select(
+                F.lit(kind).alias("kind"), F.col("value").alias("line")
+            )
+            for kind in RESPONSES
+        ]
+        lines = reduce(DataFrame.unionByName, frames)
+        broken = F.try_parse_json("line").isNull() & (F.trim("line") != "")
+        return lines.filter(broken).distinct()
+
     def write(self, kind: str, documents: DataFrame) -> None:
         """Lay down a dump, for instance one that is derived from other tables."""
         documents.write.mode("errorifexists").json(f"{self.root}/{kind}")

@@ -51,8 +51,8 @@ def relational_upsert(
     """Upsert rows over connections the tasks open themselves, one per partition.
 
     ``connect`` returns a DB-API connection. Every batch is its own transaction.
-    ``connections`` bounds how many are open, by merging partitions without a
-    shuffle.
+    ``connections`` bounds how many are open: rows are then spread by key, so what
+    comes before keeps its parallelism and no two connections lock the same row.
     """
     statement = conflict_upsert(table, df.columns, keys, placeholder)
 
@@ -67,7 +67,7 @@ def relational_upsert(
             if connection is not None:
                 connection.close()
 
-    (df.coalesce(connections) if connections else df).foreachPartition(send)
+    (df.repartition(connections, *keys) if connections else df).foreachPartition(send)
 
 
 def index_upsert(
