@@ -137,8 +137,8 @@ def store_history(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event arrives as an early draft, then in its final form, then the final
-    form is replayed. Drafts and replays share batches with final forms."""
+    """Every event arrives as an early draft and in its final form in the same batch;
+    the stream stops, resumes from its checkpoint, and all final forms come again."""
     work = work_folder(spark, "stream")
     events = table(spark, folder, "events").select(
         "event_id",
@@ -148,16 +148,15 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
         "value",
     )
     drafts = events.withColumn("value", F.col("value") - 1).withColumn("event_type", F.lit("draft"))
-    for step, rows in enumerate([drafts, events, events]):
-        messages = encode_messages(rows, F.lit(step), F.pmod("event_id", F.lit(4)))
-        messages.write.mode("append").json(f"{work}/topic")
+    first = encode_messages(drafts, F.lit(1)).unionByName(encode_messages(events, F.lit(2)))
     store = TableStore(spark, f"{work}/zone")
-    messages = decode_messages(
-        read_message_files(spark, f"{work}/topic", files_per_batch=8),
-        events.schema.simpleString(),
-    )
-    started = start_upsert(
-        messages, store, "events", ["event_id"], f"{work}/checkpoint", arrival=["offset"], once=True
-    )
-    started.awaitTermination()
+    for sent in (first, encode_messages(events, F.lit(3))):
+        sent.write.mode("append").json(f"{work}/topic")
+        messages = decode_messages(
+            read_message_files(spark, f"{work}/topic"), events.schema.simpleString()
+        )
+        running = start_upsert(
+            messages, store, "events", ["event_id"], f"{work}/checkpoint", once=True
+        )
+        running.awaitTermination()
     return store.read("events")

@@ -178,10 +178,10 @@ class TableStore:
                 self._files.delete(self._data_path(name, data))
 
     def drop(self, name: str) -> bool:
-        """Delete the table's folder; whether there was one."""
-        return self._files.exists(f"{self.root}/{name}") and self._files.delete(
-            f"{self.root}/{name}"
-        )
+        """Delete the table's folder; whether there was a table."""
+        known = self.exists(name)
+        self._files.delete(f"{self.root}/{name}")
+        return known
 
     # --- inside -----------------------------------------------------------------
 
