@@ -71,6 +71,21 @@ def test_many_upserts_keep_the_latest(store, spark, rows):
     assert rows(store.read("t")) == expected
 
 
+@pytest.mark.parametrize(("share", "bases"), [(1e9, 1), (0.0, 3)])
+def test_folding_keeps_a_large_base(spark, tmp_path, rows, share, bases):
+    store = TableStore(spark, str(tmp_path / "z"), compact_after=2, base_share=share)
+    store.upsert("t", people(spark, [(i, "0") for i in range(5)] + [(None, "n")]), ["id"])
+    seen = {store._state("t").base[0]}
+    for step in range(1, 5):
+        store.upsert("t", people(spark, [(1, str(step)), (10 + step, "x"), (None, "m")]), ["id"])
+        seen.add(store._state("t").base[0])
+        assert len(store._state("t").changes) < 2
+    assert len(seen) == bases
+    expected = [(i, "4" if i == 1 else "0") for i in range(5)]
+    expected += [(10 + i, "x") for i in range(1, 5)] + [(None, "m")] * 4 + [(None, "n")]
+    assert rows(store.read("t")) == sorted(expected, key=repr)
+
+
 def test_column_rules(store, spark, rows):
     store.upsert("t", people(spark, [(1, "x")]), ["id"])
     wider = spark.createDataFrame([("q", 2, 5)], "name string, id int, extra int")

@@ -19,9 +19,8 @@ from zonewright.plans.landing import build_landing
 from zonewright.plans.report import FlowReport
 from zonewright.plans.serving import build_serving
 from zonewright.plans.trusted import build_trusted
-from zonewright.schemas import struct_of
 from zonewright.session import work_folder
-from zonewright.sources.dumps import RESPONSES, Dumps
+from zonewright.sources.dumps import Dumps
 from zonewright.sources.store import TableStore
 
 AS_OF = date(2001, 8, 1)
@@ -36,16 +35,10 @@ def _object(**fields: object) -> Column:
     return F.struct(*[_lit(v).alias(k) for k, v in fields.items()])
 
 
-def _like(kind: str, **fields: object) -> list[Column]:
-    """Columns of one response, cast to the declared shape."""
-    declared = {f.name: f.dataType for f in struct_of(RESPONSES[kind]).fields}
-    return [_lit(v).cast(declared[k]).alias(k) for k, v in fields.items()]
-
-
 def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
     """Write every response the flows read."""
     dumps = Dumps(spark, root)
-    orders = table(spark, folder, "orders")
+    orders = table(spark, folder, "orders", "o_orderkey")
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     order_key, customer = F.col("o_orderkey"), F.col("o_custkey")
     movie, digit = order_key + 1, F.substring(priority, 1, 1).cast("int")
@@ -59,7 +52,7 @@ def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
     documents: dict[str, DataFrame] = {}
 
     def write(kind: str, rows: DataFrame, **fields: object) -> None:
-        documents[kind] = rows.select(*_like(kind, **fields))
+        documents[kind] = rows.select(*[_lit(v).alias(k) for k, v in fields.items()])
 
     found = _object(
         id=movie,
@@ -156,10 +149,8 @@ def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
     )
     region = _object(link="https://offers.example", flatrate=F.array(offer), rent=F.array(offer))
     abroad = _object(link="https://offers.example", buy=F.array(offer))
-    documents["providers"] = orders.select(
-        movie.alias("id"),
-        _object(ES=F.when(status != "P", region), US=abroad).alias("results"),
-    )
+    offers = _object(ES=F.when(status != "P", region), US=abroad)
+    write("providers", orders, id=movie, results=offers)
     known = F.struct(
         (movie + 1_000_000).alias("trakt"),
         F.concat(F.lit("order-"), order_key.cast("string")).alias("slug"),
@@ -220,7 +211,7 @@ def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
     )
     write(
         "video_stats",
-        table(spark, folder, "events"),
+        table(spark, folder, "events", "event_id"),
         id=F.concat(F.lit("v"), F.col("event_id").cast("string")),
         items=F.when(F.col("event_type") == "error", F.slice(counts, 1, 0)).otherwise(counts),
     )
@@ -259,12 +250,17 @@ class Zones:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
         self.root = work_folder(spark, "zones")
+        self._dumps: Dumps | None = None
         self._built: dict[str, TableStore] = {}
 
+    def dumps(self) -> Dumps:
+        if self._dumps is None:
+            self._dumps = lay_dumps(self.spark, self.folder, f"{self.root}/dumps")
+        return self._dumps
+
     def landing(self) -> TableStore:
         def build(store: TableStore) -> None:
-            dumps = lay_dumps(self.spark, self.folder, f"{self.root}/dumps")
-            build_landing(dumps, store, AS_OF, days=WINDOW, discover_region="ES").finish()
+            build_landing(self.dumps(), store, AS_OF, days=WINDOW, discover_region="ES").finish()
 
         return self._zone("landing", build)
 

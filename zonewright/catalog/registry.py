@@ -31,5 +31,18 @@ def query(name: str, oracle: str | None = None) -> Callable[[Run], Run]:
     return register
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# Scans below this size may come in fewer row groups than there are cores.
+SMALL_SCAN = 256 * 1024 * 1024
+
+
+def table(spark: SparkSession, folder: str, name: str, spread: str | None = None) -> DataFrame:
+    """One input table. With ``spread``, a small one is first dealt out to all cores by
+    that column, as its file may be a single row group and thus a single task. A
+    large table has splits enough and is left as it is scanned."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    if spread is None:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SMALL_SCAN:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism, spread)

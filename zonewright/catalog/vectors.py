@@ -39,7 +39,10 @@ def vector_first_matches(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     queries = collect_queries(vectors.filter("vec_id = 0"), "vec_id", "embedding")
     first = top_k(vectors, queries, 10, id_column="vec_id", score_digits=6).filter("rank <= 3")
-    return first.join(vectors.select("vec_id", "label"), "vec_id").select("vec_id", "label")
+    # three rows at most
+    return vectors.select("vec_id", "label").join(F.broadcast(first), "vec_id").select(
+        "vec_id", "label"
+    )
 
 
 @query(
@@ -64,5 +67,5 @@ def vector_topk_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("embed_texts")
 def embed_texts_query(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = table(spark, folder, "documents", "doc_id").select("doc_id", "text")
     return embed_texts(documents, "text", HashingEmbedder(64)).select("doc_id", "embedding")

@@ -15,6 +15,7 @@ from zonewright.operators.dedup import keep_first, keep_one
 from zonewright.operators.enrich import lookup_join, override_join
 from zonewright.operators.nested import encode_nested, nested_list
 from zonewright.plans.report import FlowReport
+from zonewright.session import staged
 from zonewright.sources.dumps import Dumps
 from zonewright.sources.store import TableStore
 
@@ -108,7 +109,8 @@ def enriched_movies(movies: DataFrame, dumps: Dumps) -> DataFrame:
 
 
 def movie_ids(movies: DataFrame, dumps: Dumps) -> tuple[DataFrame, DataFrame]:
-    """Id and trailer of every movie, and the movies none was found for."""
+    """Id and trailer of every movie, and the movies none was found for. The answers
+    are staged, as both are written."""
     search = dumps.read("id_search").select(
         "tmdb_id",
         C.path(
@@ -133,7 +135,7 @@ def movie_ids(movies: DataFrame, dumps: Dumps) -> tuple[DataFrame, DataFrame]:
     )
     answered = lookup_join(searched, details, ["found_id"])
     found, missing = split_quarantine(
-        answered,
+        staged(answered, "movie-ids"),
         {
             "no movie among the search results": F.col("found_id").isNull(),
             "no details for the id": F.col("trakt_id").isNull(),
@@ -266,7 +268,7 @@ def build_landing(
 
         report.run_all(store.spark, {t: partial(step, t, f) for t, f in frames.items()})
 
-    movies = discovered_movies(dumps, as_of, days, discover_region)
+    movies = staged(discovered_movies(dumps, as_of, days, discover_region), "discovered")
     found, missing = movie_ids(movies, dumps)
     load(
         {

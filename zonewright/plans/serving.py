@@ -87,7 +87,8 @@ def search(
     """The ``k`` items nearest to a text, with their metadata, best first."""
     vectors = store.read(table)
     best = top_k(vectors, [("query", embedder([text])[0])], k)
-    found = best.join(vectors.select("id", "text", "metadata"), "id")
+    # k rows: the one side whose size is known without looking
+    found = vectors.select("id", "text", "metadata").join(F.broadcast(best), "id")
     return found.select("rank", "id", "score", "text", "metadata").orderBy("rank")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "zonewright", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,3 +41,12 @@ def work_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = "/tmp/zonewright"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written once to the shared folder and read back: for a frame several
+    tables are made from. Each of them then scans only the columns it needs, and a
+    lost executor costs no more than a read."""
+    path = work_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

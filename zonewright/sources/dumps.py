@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from zonewright import schemas
+from zonewright.schemas import struct_of
 
 # Dump folder to the shape of its documents.
 RESPONSES = {
@@ -26,6 +27,26 @@ RESPONSES = {
 }
 
 
+# The field each kind of document is told apart by.
+ID_FIELDS = {
+    "discover": "page",
+    "credits": "id",
+    "reviews": "id",
+    "translations": "id",
+    "keywords": "id",
+    "details": "id",
+    "providers": "id",
+    "id_search": "tmdb_id",
+    "id_details": "ids",
+    "ratings": "imdbID",
+    "video_search": "title",
+    "video_stats": "id",
+    "video_comments": "video_id",
+}
+
+_BROKEN = "__broken"
+
+
 class Dumps:
     """The dump folders below ``root``, read with declared schemas, never inferred.
 
@@ -41,16 +62,19 @@ class Dumps:
         return self.spark.read.schema(RESPONSES[kind]).json(f"{self.root}/{kind}")
 
     def unreadable(self) -> DataFrame:
-        """Distinct lines of all dumps that are no JSON, as ``(kind, line)``."""
-        frames = [
-            self.spark.read.text(f"{self.root}/{kind}").select(
+        """Distinct lines of all dumps that are no JSON, or whose id is of another type,
+        as ``(kind, line)``. Only the id is taken from a line, the rest is skipped over."""
+
+        def broken(kind: str, id_field: str) -> DataFrame:
+            schema = T.StructType([struct_of(RESPONSES[kind])[id_field]]).add(_BROKEN, "string")
+            parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": _BROKEN})
+            lines = self.spark.read.text(f"{self.root}/{kind}").filter(F.trim("value") != "")
+            return lines.filter(parsed[_BROKEN].isNotNull()).select(
                 F.lit(kind).alias("kind"), F.col("value").alias("line")
             )
-            for kind in RESPONSES
-        ]
-        lines = reduce(DataFrame.unionByName, frames)
-        broken = F.try_parse_json("line").isNull() & (F.trim("line") != "")
-        return lines.filter(broken).distinct()
+
+        frames = [broken(kind, id_field) for kind, id_field in ID_FIELDS.items()]
+        return reduce(DataFrame.unionByName, frames).distinct()
 
     def write(self, kind: str, documents: DataFrame) -> None:
         """Lay down a dump, for instance one that is derived from other tables."""

@@ -48,6 +48,10 @@ class Files:
             fs.delete(draft, False)
             raise FileExistsError(path)
 
+    def size(self, path: str) -> int:
+        fs, target = self._at(path)
+        return fs.getContentSummary(target).getLength()
+
     def delete(self, path: str) -> bool:
         fs, target = self._at(path)
         return fs.delete(target, True)

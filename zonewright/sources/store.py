@@ -8,8 +8,9 @@ The newest commit names the data sets that make up the table:
 
 An upsert writes the changed rows only, so it costs what the change costs and not
 what the table costs. A read replaces the base rows the changes have a newer
-version of. ``compact`` folds changes into a new base, every ``compact_after``
-upserts unless called for earlier.
+version of. Every ``compact_after`` upserts the changes are folded: into one set of
+changes while they are small, and into a new base once they have grown to
+``base_share`` of it, so a large base is not rewritten for a few rows.
 
 Data sets are never rewritten, so a reader keeps a whole snapshot, and the job
 that writes a table may read it. One writer per table: a second one fails when it
@@ -49,10 +50,18 @@ class _State:
 class TableStore:
     """Tables of one zone below ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, *, compact_after: int = 8) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        *,
+        compact_after: int = 8,
+        base_share: float = 0.2,
+    ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.compact_after = compact_after
+        self.base_share = base_share
         self._files = Files(spark)
 
     # --- reading ----------------------------------------------------------------
@@ -158,7 +167,10 @@ class TableStore:
             state.applied[writer[0]] = writer[1]
         self._commit(name, state)
         if len(state.changes) >= self.compact_after:
-            self.compact(name)
+            if self._size(name, state.changes) >= self.base_share * self._size(name, state.base):
+                self.compact(name)
+            else:
+                self._fold_changes(name, state)
         return count
 
     def compact(self, name: str) -> None:
@@ -168,6 +180,11 @@ class TableStore:
         state.base, state.changes = [data], []
         self._commit(name, state)
 
+    def _fold_changes(self, name: str, state: _State) -> None:
+        data = self._write(name, self._latest_changes(name, state), state.partition_by)
+        state.changes = [data]
+        self._commit(name, state)
+
     def vacuum(self, name: str) -> None:
         """Delete data sets the current commit does not name. Readers of an older
         snapshot must be done."""
@@ -226,18 +243,22 @@ class TableStore:
         )
         if not state.changes:
             return base
+        return merge_frames(base, self._latest_changes(name, state), state.keys)
+
+    def _latest_changes(self, name: str, state: _State) -> DataFrame:
         sets = [self._data_set(name, d, state) for d in state.changes]
         if len(sets) == 1:
-            latest = sets[0]
-        else:
-            numbered = [s.withColumn(_SEQ, F.lit(i)) for i, s in enumerate(sets)]
-            latest = keep_one_present(
-                reduce(DataFrame.unionByName, numbered),
-                state.keys,
-                [F.desc(_SEQ)],
-                total_order=False,
-            ).drop(_SEQ)
-        return merge_frames(base, latest, state.keys)
+            return sets[0]
+        numbered = [s.withColumn(_SEQ, F.lit(i)) for i, s in enumerate(sets)]
+        return keep_one_present(
+            reduce(DataFrame.unionByName, numbered),
+            state.keys,
+            [F.desc(_SEQ)],
+            total_order=False,
+        ).drop(_SEQ)
+
+    def _size(self, name: str, data_sets: list[str]) -> int:
+        return sum(self._files.size(self._data_path(name, d)) for d in data_sets)
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
