@@ -38,7 +38,7 @@ def _object(**fields: object) -> Column:
 def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
     """Write every response the flows read."""
     dumps = Dumps(spark, root)
-    orders = table(spark, folder, "orders", "o_orderkey")
+    orders = table(spark, folder, "orders", spread=True)
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     order_key, customer = F.col("o_orderkey"), F.col("o_custkey")
     movie, digit = order_key + 1, F.substring(priority, 1, 1).cast("int")
@@ -211,7 +211,7 @@ def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
     )
     write(
         "video_stats",
-        table(spark, folder, "events", "event_id"),
+        table(spark, folder, "events", spread=True),
         id=F.concat(F.lit("v"), F.col("event_id").cast("string")),
         items=F.when(F.col("event_type") == "error", F.slice(counts, 1, 0)).otherwise(counts),
     )

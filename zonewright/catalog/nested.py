@@ -31,7 +31,7 @@ def _document_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.split("text", "\n", -1),
         lambda line, i: F.struct(i.cast("int").alias("line_no"), line.alias("line")),
     )
-    return table(spark, folder, "documents", "doc_id").select("doc_id", numbered.alias("lines"))
+    return table(spark, folder, "documents", spread=True).select("doc_id", numbered.alias("lines"))
 
 
 @query(
@@ -77,7 +77,7 @@ def _order_parties(spark: SparkSession, folder: str) -> DimAndBridge:
         )
 
     nobody = F.when(F.col("l_returnflag") == "R", party("returner", "l_suppkey"))
-    lines = table(spark, folder, "lineitem", "l_orderkey").select(
+    lines = table(spark, folder, "lineitem", spread=True).select(
         "l_orderkey",
         F.array(party("part", "l_partkey"), party("supplier", "l_suppkey"), nobody).alias("parties"),
     )
@@ -277,7 +277,7 @@ def limited_collect(spark: SparkSession, folder: str) -> DataFrame:
 )
 def limited_pages(spark: SparkSession, folder: str) -> DataFrame:
     pages = F.transform(F.split("text", "\n", -1), lambda line: F.split(line, r"\. ", -1))
-    return table(spark, folder, "documents", "doc_id").select(
+    return table(spark, folder, "documents", spread=True).select(
         "doc_id", F.array_join(C.first_across_pages(pages, 5), " | ").alias("opening")
     )
 
@@ -308,7 +308,7 @@ def unnest_map_query(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("http://offers.example/x").alias("link"), buy.alias("buy"), rent.alias("rent")
     )
     there = F.struct(F.array(shop(F.lit(-1), F.lit("abroad"))).alias("buy"))
-    landing = table(spark, folder, "orders", "o_orderkey").select(
+    landing = table(spark, folder, "orders", spread=True).select(
         "o_orderkey", F.to_json(F.struct(here.alias("ES"), there.alias("US"))).alias("results")
     )
     return unnest_map(

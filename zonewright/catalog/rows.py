@@ -195,7 +195,7 @@ def filter_range_sorted(spark: SparkSession, folder: str) -> DataFrame:
 )
 def skip_empty_lists(spark: SparkSession, folder: str) -> DataFrame:
     hits = F.filter(F.split("text", "\n", -1), lambda line: line.contains("@"))
-    found = table(spark, folder, "documents", "doc_id").select(
+    found = table(spark, folder, "documents", spread=True).select(
         "doc_id", C.or_empty(hits, "array<string>").alias("hits")
     )
     return require_elements(found, "hits").select(
@@ -214,7 +214,7 @@ def skip_empty_lists(spark: SparkSession, folder: str) -> DataFrame:
 )
 def dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
     return keep_one(
-        table(spark, folder, "lineitem", "l_orderkey"), ["l_orderkey", "l_linenumber"], [F.desc("l_shipdate")]
+        table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], [F.desc("l_shipdate")]
     )
 
 
@@ -235,7 +235,7 @@ def dedup_distinct(spark: SparkSession, folder: str) -> DataFrame:
 def quality_counts_query(spark: SparkSession, folder: str) -> DataFrame:
     kept = (F.col("lang") == "en") & (F.col("n_chars") > 200)
     return quality_counts(
-        table(spark, folder, "documents", "doc_id"),
+        table(spark, folder, "documents", spread=True),
         {
             "rows_read": F.count(F.lit(1)),
             "rows_kept": F.count_if(kept),

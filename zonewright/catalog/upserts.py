@@ -42,7 +42,7 @@ def _target(spark: SparkSession, folder: str) -> DataFrame:
 def _source(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order from its lines: updates of known orders, and, with keys of
     their own, orders nobody knew."""
-    latest = keep_one(table(spark, folder, "lineitem", "l_orderkey"), ["l_orderkey"], [F.desc("l_shipdate")])
+    latest = keep_one(table(spark, folder, "lineitem"), ["l_orderkey"], [F.desc("l_shipdate")])
     key = F.when(F.col("l_returnflag") == "A", -(F.col("l_orderkey") + 1)).otherwise(
         F.col("l_orderkey")
     )
@@ -140,7 +140,7 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Every event arrives as an early draft and in its final form in the same batch;
     the stream stops, resumes from its checkpoint, and all final forms come again."""
     work = work_folder(spark, "stream")
-    events = table(spark, folder, "events", "event_id").select(
+    events = table(spark, folder, "events", spread=True).select(
         "event_id",
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
         "user_id",

@@ -67,5 +67,5 @@ def vector_topk_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("embed_texts")
 def embed_texts_query(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents", "doc_id").select("doc_id", "text")
+    documents = table(spark, folder, "documents", spread=True).select("doc_id", "text")
     return embed_texts(documents, "text", HashingEmbedder(64)).select("doc_id", "embedding")
