@@ -14,6 +14,7 @@ from zonewright.plans.report import FlowFailed, FlowReport
 from zonewright.plans.serving import build_serving, movie_items, refresh_vectors, search
 from zonewright.plans.trusted import build_trusted
 from zonewright.sources.dumps import RESPONSES, Dumps
+from zonewright.sources.files import Files
 from zonewright.sources.store import TableStore
 
 AS_OF = date(2024, 5, 8)
@@ -231,6 +232,11 @@ def test_landing_ids_and_rejects(zones, read, rows):
     assert found.count() + missing.count() == movies.count()
 
 
+def test_nothing_staged_is_left_behind(zones, spark):
+    left = Files(spark).names(spark.conf.get("spark.checkpoint.dir"))
+    assert not [n for n in left if n.startswith("landing-")]
+
+
 def test_landing_lookups(read):
     assert read("landing", "omdb/movie_ratings", "imdb_id", "imdb_votes", "metascore") == [
         ("tt1", "1,868,413", "N/A"),

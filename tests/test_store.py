@@ -86,6 +86,14 @@ def test_folding_keeps_a_large_base(spark, tmp_path, rows, share, bases):
     assert rows(store.read("t")) == sorted(expected, key=repr)
 
 
+def test_large_changes_become_the_base_at_once(spark, tmp_path, rows):
+    store = TableStore(spark, str(tmp_path / "z"), small_bytes=1)
+    store.upsert("t", people(spark, [(1, "a"), (2, "b")]), ["id"])
+    store.upsert("t", people(spark, [(1, "c"), (2, "d")]), ["id"])
+    assert store._state("t").changes == []
+    assert rows(store.read("t")) == [(1, "c"), (2, "d")]
+
+
 def test_column_rules(store, spark, rows):
     store.upsert("t", people(spark, [(1, "x")]), ["id"])
     wider = spark.createDataFrame([("q", 2, 5)], "name string, id int, extra int")

@@ -8,7 +8,7 @@ priority; video statistics come from events, comment pages from conversations.
 from __future__ import annotations
 
 from datetime import date
-from functools import cache, partial
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -280,14 +280,15 @@ class Zones:
         return self._built[name]
 
 
-@cache
-def _zones(application: str, folder: str) -> Zones:
-    return Zones(SparkSession.getActiveSession(), folder)
+_ZONES: dict[tuple[str, str], Zones] = {}
 
 
 def zones(spark: SparkSession, folder: str) -> Zones:
     """One set of zones per application and input folder."""
-    return _zones(spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _ZONES:
+        _ZONES[key] = Zones(spark, folder)
+    return _ZONES[key]
 
 
 def table_counts(store: TableStore, names: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from zonewright.operators.dedup import keep_first, keep_one
 from zonewright.operators.enrich import lookup_join, override_join
 from zonewright.operators.nested import encode_nested, nested_list
 from zonewright.plans.report import FlowReport
-from zonewright.session import staged
+from zonewright.session import Staging
 from zonewright.sources.dumps import Dumps
 from zonewright.sources.store import TableStore
 
@@ -108,9 +108,11 @@ def enriched_movies(movies: DataFrame, dumps: Dumps) -> DataFrame:
     return select_optional(rows, schemas.MOVIE_FIELDS, strict=True)
 
 
-def movie_ids(movies: DataFrame, dumps: Dumps) -> tuple[DataFrame, DataFrame]:
-    """Id and trailer of every movie, and the movies none was found for. The answers
-    are staged, as both are written."""
+def movie_ids(
+    movies: DataFrame, dumps: Dumps, staging: Staging | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Id and trailer of every movie, and the movies none was found for. With
+    ``staging`` the answers both come from are looked up only once."""
     search = dumps.read("id_search").select(
         "tmdb_id",
         C.path(
@@ -135,7 +137,7 @@ def movie_ids(movies: DataFrame, dumps: Dumps) -> tuple[DataFrame, DataFrame]:
     )
     answered = lookup_join(searched, details, ["found_id"])
     found, missing = split_quarantine(
-        staged(answered, "movie-ids"),
+        staging.put(answered) if staging else answered,
         {
             "no movie among the search results": F.col("found_id").isNull(),
             "no details for the id": F.col("trakt_id").isNull(),
@@ -268,8 +270,9 @@ def build_landing(
 
         report.run_all(store.spark, {t: partial(step, t, f) for t, f in frames.items()})
 
-    movies = staged(discovered_movies(dumps, as_of, days, discover_region), "discovered")
-    found, missing = movie_ids(movies, dumps)
+    staging = Staging(store.spark, "landing")
+    movies = staging.put(discovered_movies(dumps, as_of, days, discover_region))
+    found, missing = movie_ids(movies, dumps, staging)
     load(
         {
             "tmdb/movies_released": lambda: enriched_movies(movies, dumps),
@@ -278,6 +281,7 @@ def build_landing(
             "rejects/responses": dumps.unreadable,
         }
     )
+    staging.clear()
     if not store.exists("trakt/movie_ids_and_trailer"):
         return report
     known = store.read("trakt/movie_ids_and_trailer")

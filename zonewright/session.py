@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from zonewright.sources.files import Files
+
 
 def build_session(app: str = "zonewright", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
@@ -43,10 +45,21 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """The rows, written once to the shared folder and read back: for a frame several
-    tables are made from. Each of them then scans only the columns it needs, and a
-    lost executor costs no more than a read."""
-    path = work_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Staging:
+    """Frames several tables are made from, written once to the shared folder and read
+    back. Each table then scans only the columns it needs, and a lost executor costs
+    no more than a read. ``clear`` deletes the files when all tables are written."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark = spark
+        self.root = work_folder(spark, label)
+        self._written = 0
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{self._written}"
+        self._written += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        Files(self.spark).delete(self.root)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from zonewright.operators.merge import align, count_and_check
-from zonewright.session import work_folder
+from zonewright.session import Staging
 from zonewright.sources.files import Files
 
 
@@ -61,9 +61,15 @@ class DeltaTableStore:
         """MERGE on the keys. The source is staged first, so that it is run once for
         the key check and the merge. ``writer`` is not needed: a repeated merge of
         the same keyed rows changes nothing."""
-        staged_path = work_folder(self.spark, "merge-source")
-        df.write.parquet(staged_path)
-        staged = self.spark.read.schema(df.schema).parquet(staged_path)
+        staging = Staging(self.spark, "merge-source")
+        try:
+            return self._merge(name, staging.put(df), keys, partition_by)
+        finally:
+            staging.clear()
+
+    def _merge(
+        self, name: str, staged: DataFrame, keys: Sequence[str], partition_by: Sequence[str]
+    ) -> int:
         count = count_and_check(staged, keys)
         if count == 0:
             return 0

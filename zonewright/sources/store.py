@@ -8,9 +8,10 @@ The newest commit names the data sets that make up the table:
 
 An upsert writes the changed rows only, so it costs what the change costs and not
 what the table costs. A read replaces the base rows the changes have a newer
-version of. Every ``compact_after`` upserts the changes are folded: into one set of
-changes while they are small, and into a new base once they have grown to
-``base_share`` of it, so a large base is not rewritten for a few rows.
+version of. Changes become a new base once they have grown to ``base_share`` of it;
+until then every ``compact_after`` upserts they are folded into one set of changes,
+so a large base is not rewritten for a few rows. Below ``small_bytes`` of changes
+nothing is done before ``compact_after``.
 
 Data sets are never rewritten, so a reader keeps a whole snapshot, and the job
 that writes a table may read it. One writer per table: a second one fails when it
@@ -57,11 +58,13 @@ class TableStore:
         *,
         compact_after: int = 8,
         base_share: float = 0.2,
+        small_bytes: int = 64 * 1024 * 1024,
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.compact_after = compact_after
         self.base_share = base_share
+        self.small_bytes = small_bytes
         self._files = Files(spark)
 
     # --- reading ----------------------------------------------------------------
@@ -166,13 +169,19 @@ class TableStore:
         if writer:
             state.applied[writer[0]] = writer[1]
         self._commit(name, state)
-        if len(state.changes) >= self.compact_after:
-            if self._size(name, state.changes) >= self.base_share * self._size(name, state.base):
-                self.compact(name)
-            else:
-                self._fold_changes(name, state)
+        self._tidy(name, state)
         return count
 
+    def _tidy(self, name: str, state: _State) -> None:
+        many = len(state.changes) >= self.compact_after
+        changed = self._size(name, state.changes)
+        if not many and changed < self.small_bytes:
+            return
+        if changed >= self.base_share * self._size(name, state.base):
+            self.compact(name)
+        elif many:
+            self._fold_changes(name, state)
+
     def compact(self, name: str) -> None:
         """Fold all changes into a new base."""
         state = self._state(name)
