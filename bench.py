@@ -50,7 +50,7 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
-            "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+            "spark.driver.memory": os.environ.get("BENCH_MEMORY", "4g"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

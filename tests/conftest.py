@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "6g",
+            "spark.driver.memory": "3g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -108,6 +108,24 @@ def test_new_checkpoint_reads_from_the_start(spark, tmp_path):
     assert texts(store) == {"a": "2"}
 
 
+def test_continuous_trigger(spark, tmp_path):
+    topic, store = Topic(tmp_path / "in"), TableStore(spark, str(tmp_path / "zone"))
+    topic.send(comment("a", "1"))
+    messages = decode_messages(
+        read_message_files(spark, str(topic.folder)), schemas.BLOG_COMMENT
+    )
+    query = start_upsert(
+        messages, store, "comments", KEYS, str(tmp_path / "cp"), every="100 milliseconds"
+    )
+    try:
+        query.processAllAvailable()
+        topic.send(comment("a", "2"), comment("b", "1"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert texts(store) == {"a": "2", "b": "1"}
+
+
 def test_rejects(spark, tmp_path):
     topic, store = Topic(tmp_path / "in"), TableStore(spark, str(tmp_path / "zone"))
     topic.send(comment("a", "1"), "{broken")

@@ -141,9 +141,8 @@ def top_k(
                 names=["__q", id_column, score_column],
             )
 
-    comparable = vectors.select(id_column, vector_column).filter(
-        (F.size(vector_column) == size) & ~F.exists(vector_column, lambda v: v.isNull())
-    )
+    # a null element reads as NaN, which leaves its vector without a score
+    comparable = vectors.select(id_column, vector_column).filter(F.size(vector_column) == size)
     schema = T.StructType(
         [
             T.StructField("__q", T.IntegerType()),
