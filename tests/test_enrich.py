@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from zonewright.operators.enrich import dictionary_lookup, lookup_join, override_join
 from zonewright.operators.export import export_rows
+from zonewright.operators.merge import merge_frames
 
 
 def left(spark):
@@ -86,6 +87,24 @@ def test_a_hot_key_is_split_over_tasks(spark, split_small, tmp_path, final_plan)
     assert tuple(totals) == tuple(expected)
 
 
+def test_merge_splits_a_target_full_of_null_keys(spark, split_small, tmp_path, final_plan):
+    target = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 != 0, F.col("id")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    target.write.parquet(str(tmp_path / "target"))
+    source = spark.range(50_000, 70_000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    source.write.parquet(str(tmp_path / "source"))
+    merged = merge_frames(
+        spark.read.parquet(str(tmp_path / "target")),
+        spark.read.parquet(str(tmp_path / "source")),
+        ["k"],
+    )
+    assert "skew=true" in final_plan(merged)
+    counts = merged.agg(F.count(F.lit(1)), F.count("k"), F.count_if(F.col("v") == "new")).first()
+    assert tuple(counts) == (20_000 + 33_333 + 20_000, 53_333, 20_000)
+
+
 def test_unique_sides_share_one_shuffle(spark, split_small, final_plan):
     a = spark.range(1000).select(F.col("id").alias("k")).distinct()
     b = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))

@@ -377,6 +377,39 @@ def test_a_failing_table_does_not_stop_the_others(spark, tmp_path):
         report.finish()
 
 
+def test_two_ids_of_one_movie_leave_one_row(spark, rows):
+    landing = spark.createDataFrame(
+        [("T", None, "1", 9, "b", "tt9"), ("T", None, "1", 8, "a", "tt8"), ("X", None, "x", 7, "c", "tt7")],
+        "title string, trailer string, tmdb_id string, trakt_id long, slug string, imdb_id string",
+    )
+    got = trusted.movie_ids(landing)
+    assert rows(got.select("tmdb_id", "trakt_id", "imdb_id")) == [(1, 8, "tt8")]
+
+
+def test_odd_landing_values_never_fail_a_flow(spark, rows):
+    odd = ["", "null", "NaN", "{broken", "[1, 2]", '{"id": 1}', '[{"id": "x"}]', None]
+    columns = ", ".join(f"{c} string" for c in [*trusted.NESTED, "origin_country"])
+    texts = ["title", "overview", "original_language", "original_title", "poster_path", "tagline"]
+    numbers = ["budget", "revenue", "runtime"]
+    data = [
+        (str(i), *["t"] * 6, *["1e400", "x", "7"], "2024-01-01", *[o] * 6)
+        for i, o in enumerate(odd)
+    ] + [("3000000000", *["t"] * 6, *["1"] * 3, "2024-01-01", *[None] * 6)]
+    landing = spark.createDataFrame(
+        data,
+        "tmdb_id string, "
+        + ", ".join(f"{c} string" for c in [*texts, *numbers, "release_date"])
+        + f", {columns}",
+    )
+    clean = trusted.clean_movies(landing)
+    assert [r[0] for r in rows(trusted.movies(clean).select("tmdb_id"))] == list(range(len(odd)))
+    assert "original_language" in clean.columns
+    for split in (trusted.people, trusted.genres, trusted.languages, trusted.keywords):
+        dim, bridge = split(clean)
+        assert dim.count() == 0 and bridge.count() in (0, 1)
+    assert trusted.reviews(clean).count() == 0
+
+
 def test_latest_child_per_movie(spark, rows):
     df = spark.createDataFrame(
         [(1, "a", datetime(2024, 1, 1)), (1, "b", datetime(2024, 1, 2))], "tmdb_id int, author string, created_at timestamp"
