@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from zlib import crc32
 
@@ -19,7 +19,7 @@ LENGTH = 1024
 END = 2
 # Pieces that one task packs at a time, and the most rounds of packing anew what is not full.
 BLOCK = 8192
-ROUNDS = 8
+ROUNDS = 4
 # Stretches of text that one Python worker remembers before it starts afresh.
 REMEMBERED = 400_000
 
@@ -148,24 +148,54 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return chosen, offset, np.asarray(gap_of, dtype=np.int64)[chosen]
 
 
+def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and place in it for each item, longest first, each into the tightest gap it fits."""
+    by_gap: list[list[int]] = [[] for _ in range(capacity + 1)]
+    count = np.zeros(capacity + 1, dtype=np.int64)
+    chosen = np.empty(len(lengths), dtype=np.int64)
+    offset = np.empty(len(lengths), dtype=np.int64)
+    bins = 0
+    for i in np.argsort(-lengths, kind="stable"):
+        size = int(lengths[i])
+        gap = size + int((count[size:] > 0).argmax()) if size <= capacity else capacity
+        if count[gap]:
+            count[gap] -= 1
+            b = by_gap[gap].pop()
+        else:
+            gap, b = capacity, bins
+            bins += 1
+        chosen[i], offset[i] = b, capacity - gap
+        by_gap[gap - size].append(b)
+        count[gap - size] += 1
+    return chosen, offset
+
+
 def pack(pieces: DataFrame, *, length: int = LENGTH, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; a sequence holds ``length`` ids at most.
 
     A full piece is a sequence of its own. The others are dealt by row into blocks of about
-    ``block`` pieces, each packed in one task. Full sequences stay; the pieces of the others
-    are dealt anew, into ever fewer blocks, until one block is left or ``rounds`` are over.
-    So no task packs more than a block, and at any size only the last round's open
-    sequences, a few for each of its blocks, are not full. A sequence is named by the
-    smallest row number in it.
+    ``block`` pieces, each packed in one task by the sum-of-squares rule. Full sequences
+    stay; the pieces of the others are dealt anew, into ever fewer blocks, until one block is
+    left or ``rounds`` are over. What the last round leaves in sequences that are not full is
+    placed by best fit, longest first, which closes a finite list better than the rule does
+    (it keeps gaps open for pieces still to come). So no task packs more than a block. A
+    sequence is named by the smallest row number in it.
     """
     columns = pieces.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
 
-    def fill(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("row", ignore_index=True)
-        bins, offset, gap = sum_of_squares(group["length"].to_numpy(), length)
-        first = group["row"].groupby(bins).transform("min")
-        return group.drop(columns="block").assign(sequence_id=first, offset=offset, gap=gap)
+    def filler(last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def fill(group: pd.DataFrame) -> pd.DataFrame:
+            group = group.sort_values("row", ignore_index=True)
+            bins, offset, gap = sum_of_squares(group["length"].to_numpy(), length)
+            if last and (gap > 0).any():
+                rest = np.flatnonzero(gap)
+                anew, offset[rest] = best_fit(group["length"].to_numpy()[rest], length)
+                bins[rest] = anew + len(bins)
+            first = group["row"].groupby(bins).transform("min")
+            return group.drop(columns="block").assign(sequence_id=first, offset=offset, gap=gap)
+
+        return fill
 
     numbered = stage(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     done = numbered.where(F.col("length") >= length).select(
@@ -176,13 +206,13 @@ def pack(pieces: DataFrame, *, length: int = LENGTH, block: int = BLOCK, rounds:
         blocks = math.ceil(rest.count() / block)
         if not blocks:
             break
+        last = blocks == 1 or n == rounds - 1
         packed = stage(
             rest.withColumn("block", F.pmod(F.xxhash64(F.lit(n), "row"), F.lit(blocks)))
             .groupBy("block")
-            .applyInPandas(fill, f"{schema}, row long, sequence_id long, offset long, gap long"),
+            .applyInPandas(filler(last), f"{schema}, row long, sequence_id long, offset long, gap long"),
             "packed",
         )
-        last = blocks == 1 or n == rounds - 1
         done = done.unionByName(
             packed.where(F.lit(True) if last else F.col("gap") == 0).select(*columns, "sequence_id", "offset")
         )

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zonewright.llm.common import read_table
+from zonewright.llm.neighbours import nearest_by_inner_product
 from zonewright.llm.packing import packed_documents
 from zonewright.llm.sharding import shard_documents
+from zonewright.llm.topk import exact_top_k
+from zonewright.llm.toxicity import score_documents
 from zonewright.llm.warc import archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +47,18 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(read_table(spark, folder, "documents"), vocabulary())
+
+
+@query("op6_exact_topk")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_top_k(read_table(spark, folder, "embeddings"))
+
+
+@query("op10_neighbours")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_by_inner_product(read_table(spark, folder, "embeddings"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
