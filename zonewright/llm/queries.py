@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zonewright.llm.common import read_table
+from zonewright.llm.extract import extract_main_text
+from zonewright.llm.mixing import mix_documents
+from zonewright.llm.neardup import near_duplicates
 from zonewright.llm.neighbours import nearest_by_inner_product
 from zonewright.llm.packing import packed_documents
+from zonewright.llm.pii import find_personal_data
 from zonewright.llm.sharding import shard_documents
 from zonewright.llm.topk import exact_top_k
 from zonewright.llm.toxicity import score_documents
@@ -62,3 +66,23 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_toxicity")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+@query("op7_pii")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return find_personal_data(read_table(spark, folder, "documents"))
+
+
+@query("op8_mixing")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_documents(read_table(spark, folder, "documents"))
+
+
+@query("op9_neardup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query("op1_main_text")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(read_table(spark, folder, "pages"))

@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 from zonewright.llm.common import small_batches
 
 # Labelled rows of each class the model is fitted on at most, chosen by hash.
-SAMPLE = 4000
+SAMPLE = 2500
 # Features the model may use at most, and the documents of the sample one must be in.
-FEATURES = 4096
+FEATURES = 1024
 SEEN = 3
 # Lengths of word beginnings that are features beside whole words, for inflected forms.
 BEGINNINGS = (4, 5, 6)
 # Penalties on weights, squared weights and squared score changes under a swap; swaps a document.
-SPARSE = 2e-4
-SMOOTH = 1e-4
+SPARSE = 1e-4
+SMOOTH = 1e-6
 COUNTERFACTUAL = 1.0
 SWAPS = 2
 STEPS = 300
@@ -52,14 +52,16 @@ def features_of(words: set[str]) -> set[str]:
     return words.union(*({w[:n] + "-" for w in words if len(w) >= n} for n in BEGINNINGS))
 
 
-def swapped(words: set[str], seed: int) -> list[set[str]]:
-    """The words of the same sentence about other groups: each named group becomes another one;
-    a text that names none gets one, which must not matter either."""
+def swapped(words: set[str], seed: int) -> list[tuple[set[str], set[str]]]:
+    """Features that are lost and gained in the same sentence about another group: the groups it
+    names become another one; a text that names none gets one, which must not matter either."""
     named = words & _IDENTITY
+    left = features_of(words - named) if named else features_of(words)
     out = []
     for n in range(SWAPS):
-        other = IDENTITY_TERMS[(seed + n * 37) % len(IDENTITY_TERMS)]
-        out.append((words - named) | {other})
+        new = features_of({IDENTITY_TERMS[(seed + n * 37) % len(IDENTITY_TERMS)]}) - left
+        old = features_of(named) - left
+        out.append((old - new, new - old))
     return out
 
 
@@ -121,11 +123,10 @@ def fit(words: list[set[str]], label: np.ndarray) -> ToxicityModel:
     row, at = _sparse(docs, column)
     # Rows of the difference between a document and its swapped form: +1 lost, -1 gained.
     lost, gained = [], []
-    for w, have in zip(words, docs, strict=True):
-        for other in swapped(w, crc32(" ".join(sorted(w)[:5]).encode())):
-            new = features_of(other)
-            lost.append(have - new)
-            gained.append(new - have)
+    for w in words:
+        for old, new in swapped(w, crc32(" ".join(sorted(w)[:5]).encode())):
+            lost.append(old)
+            gained.append(new)
     row_l, at_l = _sparse(lost, column)
     row_g, at_g = _sparse(gained, column)
     pairs, n, f = len(lost), len(label), len(names)
@@ -140,9 +141,12 @@ def fit(words: list[set[str]], label: np.ndarray) -> ToxicityModel:
         g += np.bincount(at_l, pull[row_l], f) - np.bincount(at_g, pull[row_g], f)
         return g, float(error.sum())
 
-    # Accelerated proximal steps; the step is that of the largest row's squared length.
-    widest = 1 + max(np.bincount(row, minlength=n).max(initial=0), 1)
-    step = 1 / (0.25 * widest + SMOOTH + 4 * COUNTERFACTUAL)
+    # Accelerated proximal steps, a feature's step by the rows it is in: a rare feature takes
+    # longer ones. Row lengths times row weights bound the second derivatives.
+    wide = weight * (1 + np.bincount(row, minlength=n))
+    apart = 2 * COUNTERFACTUAL / pairs * (np.bincount(row_l, minlength=pairs) + np.bincount(row_g, minlength=pairs))
+    curved = 0.25 * np.bincount(at, wide[row], f) + np.bincount(at_l, apart[row_l], f) + np.bincount(at_g, apart[row_g], f)
+    step, step_b = 1 / (curved + SMOOTH), 4 / wide.sum()
     w = y = np.zeros(f)
     b = c = 0.0
     t = 1.0
@@ -150,7 +154,7 @@ def fit(words: list[set[str]], label: np.ndarray) -> ToxicityModel:
         g, gb = gradient(y, c)
         new = y - step * g
         new = np.sign(new) * np.maximum(np.abs(new) - step * SPARSE, 0)
-        new_b = c - step * gb
+        new_b = c - step_b * gb
         grown = (1 + np.sqrt(1 + 4 * t * t)) / 2
         y, c = new + (t - 1) / grown * (new - w), new_b + (t - 1) / grown * (new_b - b)
         w, b, t = new, new_b, grown
