@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from zonewright.llm.common import small_batches, stage
 
@@ -319,8 +320,19 @@ def _still_open(members: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
 
 
 def without_near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, all columns, that are the first of their component. Of rows that
-    repeat a kept key, all stay but those equal in every column that can be compared."""
-    found = near_duplicates(docs, text=text, key=key)
-    gone = found.where(~F.col("kept")).select(F.col(key).alias("gone")).distinct()
-    return docs.join(gone, docs[key] == gone["gone"], "left_anti")
+    """The rows of ``docs``, all columns, that are the first of their component; rows with a null key
+    stay. Of rows that repeat a key, the first by text, then by a hash of all columns, stays."""
+    # Under names of their own, as docs may have columns that are called like those in between.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    id_, body = (names[docs.columns.index(c)] for c in (key, text))
+    rows = docs.toDF(*names)
+    found = near_duplicates(rows, text=body, key=id_)
+    counted = found.where(F.col(id_).isNotNull()).groupBy(F.col(id_).alias("id"))
+    doubtful = stage(
+        counted.agg(F.count("*").alias("n"), F.min("kept").alias("kept")).where("n > 1 or not kept"), "dup-gone"
+    )
+    once = rows.join(doubtful, rows[id_] == doubtful["id"], "left_anti")
+    again = rows.join(doubtful.where("kept"), rows[id_] == doubtful["id"], "left_semi")
+    first = Window.partitionBy(id_).orderBy(body, F.xxhash64(*names))
+    again = again.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
+    return once.unionByName(again).toDF(*docs.columns)

@@ -56,17 +56,17 @@ def matches(text: Column, pattern: str, kind: str) -> Column:
     between = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,match:string,before:string>>")
-    first = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("last"), empty.alias("out"))
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["gap"])
         end = start + F.length(pair["match"])
-        before = F.concat(F.coalesce(F.element_at(state["out"], -1)["match"], F.lit("")), pair["gap"])
+        before = F.concat(state["last"], pair["gap"])
         span = F.struct(
             F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), pair["match"].alias("match"),
             F.lower(F.right(before, F.lit(WINDOW))).alias("before"),
         )
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+        return F.struct(end.alias("at"), pair["match"].alias("last"), F.concat(state["out"], F.array(span)).alias("out"))
 
     pairs = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("match"))
     return F.when(F.size(found) > 0, F.aggregate(pairs, first, step, lambda s: s["out"])).otherwise(empty)
@@ -299,7 +299,11 @@ def find_personal_data(docs: DataFrame, *, text: str = "text", key: str = "doc_i
     judged = stage(with_candidates(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), "t", "s").drop("t"), "pii")
     model = fit_spans(judged, "s")
     base, spans = decided(F.col("s"), model)
-    counts = [F.size(F.filter("s", lambda s, n=n: s["base"] & (s["kind"] == n))).cast("long").alias(f"n_{n}") for n in BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in BASE]
     return judged.select(
         F.col("k").alias(key), *counts, F.sha2(spelled(base), 256).alias("base_sha256"), spelled(spans).alias("spans")
     )
