@@ -121,7 +121,7 @@ def mixed(
         F.col("source").alias("s_source"), F.col("tokens").alias("s_tokens"), quota.alias("s_quota"),
         F.ceil(F.col("rows") / bucket_rows).cast("int").alias("s_buckets"),
     ).where("s_quota > 0")
-    blocks = max(1, math.ceil(mixture.budget / block_tokens))
+    blocks = max(1, math.ceil(mixture.budget / block_tokens - 1e-6))
     # Dealt by something else than the source, so that the join gets plain exchanges and a
     # large source can be split.
     plan = plan.repartition("s_tokens")
