@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonewright.llm.common import read_table
+from zonewright.llm.common import read_table, ship_package
 from zonewright.llm.mixing import remixed
 from zonewright.llm.neardup import without_near_duplicates
 from zonewright.llm.packing import packed_documents
@@ -64,6 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows, for the documents in ``sf_dir``."""
+    ship_package(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = f"{work_folder(spark, f'pipeline-{name}')}/docs"

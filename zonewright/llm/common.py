@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +51,25 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, str(rows))
+
+
+@cache
+def _package_zip() -> str:
+    """The library as a zip file, for executors that do not have it installed."""
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    return str(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the library to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        context.addPyFile(_package_zip())
+        _SHIPPED.add(context.applicationId)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonewright.llm.common import read_table
+from zonewright.llm.common import read_table, ship_package
 from zonewright.llm.extract import extract_main_text
 from zonewright.llm.mixing import mix_documents
 from zonewright.llm.neardup import near_duplicates
@@ -24,7 +24,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def register(run):
-        QUERIES[name] = run
+        def shipped(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return run(spark, folder)
+
+        QUERIES[name] = shipped
         if oracle:
             ORACLES[name] = oracle
         return run
