@@ -86,6 +86,12 @@ def test_merge_with_nothing_is_identity(spark, rows):
     assert rows(merge_frames(target, target.filter("k > 99"), ["k"])) == rows(target)
 
 
+def test_merge_refuses_a_repeated_key(spark):
+    twice = frame(spark, [(3, "a", 1), (3, "b", 1)])
+    with pytest.raises(DuplicateKeys):
+        merge_frames(frame(spark, TARGET), twice, ["k"])
+
+
 def test_require_unique(spark):
     require_unique(frame(spark, [(None, "a", 1), (None, "b", 1), (1, "a", 1)]), ["k"])
     with pytest.raises(DuplicateKeys):

@@ -29,15 +29,12 @@ def test_override_lets_a_matched_null_win(spark, rows):
     assert rows(override_join(base, detail, ["k"])) == [(1, None, 1, True), (2, "b", 2, None)]
 
 
-@pytest.mark.parametrize("literal_rows", [10, 0])
-def test_dictionary_lookup(spark, rows, literal_rows):
+def test_dictionary_lookup(spark, rows):
     df = spark.createDataFrame(
         [(1, [3, 1, 1, 9]), (2, []), (3, None), (4, [2])], "k int, ids array<int>"
     )
     names = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "id int, name string")
-    got = dictionary_lookup(
-        df, "ids", names, "id", "name", "names", row_key=["k"], literal_rows=literal_rows
-    )
+    got = dictionary_lookup(df, "ids", names, "id", "name", "names", row_key=["k"])
     assert rows(got.select("k", "names")) == [
         (1, ["one", "three"]),
         (2, []),
@@ -46,6 +43,16 @@ def test_dictionary_lookup(spark, rows, literal_rows):
     ]
 
 
+def test_dictionary_lookup_keeps_rows_apart(spark, rows):
+    names = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, name string")
+    df = spark.createDataFrame([(1, [1]), (2, [2]), (None, [3])], "k int, ids array<int>")
+    got = dictionary_lookup(df, "ids", names, "id", "name", "names", row_key=["k"])
+    assert rows(got.select("k", "names")) == [(1, ["a"]), (2, ["b"]), (None, ["c"])]
+    twice = df.union(df.filter("k = 1"))
+    with pytest.raises(Exception, match="row key repeats"):
+        dictionary_lookup(twice, "ids", names, "id", "name", "names", row_key=["k"]).collect()
+
+
 def test_dictionary_lookup_with_an_empty_dictionary(spark):
     df = spark.createDataFrame([(1, [3])], "k int, ids array<int>")
     names = spark.createDataFrame([], "id int, name string")

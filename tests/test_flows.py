@@ -318,7 +318,7 @@ def test_serving_tables(zones, read):
         ("tt1", 1, "https://y.com/watch?v=v1&t=3"),
         ("tt2", 2, None),
     ]
-    assert read("serving", "external_ratings") == [(1, "IMDb", "8/10")]
+    assert read("serving", "external_ratings") == [(1, "tt1", "IMDb", "8/10")]
     assert zones["serving"].read("movies_cast").columns == ["tmdb_id", "cast_id", "character", "role"]
     assert dict(zones["serving"].read("reviews").dtypes)["created_at"] == "string"
     assert [r.table for r in zones["reports"]["serving"].results if not r.ok] == []
@@ -361,7 +361,7 @@ def test_ratings_without_a_movie_are_set_aside(spark, tmp_path, rows):
     source.create("movie_ids_and_trailer", ids, keys=["tmdb_id"])
     for _ in range(2):
         build_serving(source, target).finish()
-    assert rows(target.read("external_ratings")) == [(1, "A", "1")]
+    assert rows(target.read("external_ratings")) == [(1, "tt1", "A", "1")]
     assert rows(target.read("rejects/external_ratings")) == [("tt5", "A", "2")]
 
 
@@ -377,6 +377,37 @@ def test_a_failing_table_does_not_stop_the_others(spark, tmp_path):
         report.finish()
 
 
+def test_both_ratings_of_a_movie_with_two_ids_are_served(spark, tmp_path, rows):
+    source, target = TableStore(spark, str(tmp_path / "t")), TableStore(spark, str(tmp_path / "s"))
+    ratings = spark.createDataFrame(
+        [("tt1", "A", "1", "x"), ("tt2", "A", "2", "x")], "imdb_id string, source string, value string, rating_id string"
+    )
+    ids = spark.createDataFrame(
+        [(1, "tt1", None, 1), (1, "tt2", None, 2)], "tmdb_id int, imdb_id string, trailer string, trakt_id int"
+    )
+    source.create("external_ratings", ratings, keys=["imdb_id", "source"])
+    source.create("movie_ids_and_trailer", ids, keys=["trakt_id"])
+    sent = {}
+    build_serving(source, target, sink=lambda t, df, keys: sent.update({t: (keys, df.count())})).finish()
+    assert rows(target.read("external_ratings")) == [(1, "tt1", "A", "1"), (1, "tt2", "A", "2")]
+    assert sent == {"external_ratings": (["tmdb_id", "imdb_id", "source"], 2)}
+
+
+def test_a_dump_that_is_absent_stops_only_what_needs_it(spark, tmp_path, zones):
+    from shutil import copytree, ignore_patterns
+
+    copytree(zones["dumps"].root, tmp_path / "dumps", ignore=ignore_patterns("id_search"))
+    store = TableStore(spark, str(tmp_path / "landing"))
+    report = build_landing(Dumps(spark, str(tmp_path / "dumps")), store, AS_OF, discover_region="ES")
+    failed = {r.table: r.error for r in report.results if not r.ok}
+    assert store.read("tmdb/movies_released").count() > 0
+    assert "AnalysisException" in failed["staged/answers"]
+    assert failed["trakt/movie_ids_and_trailer"].startswith("Skipped")
+    assert failed["omdb/movie_ratings"].startswith("Skipped")
+    with pytest.raises(FlowFailed, match="staged/answers"):
+        report.finish()
+
+
 def test_two_ids_of_one_movie_leave_one_row(spark, rows):
     landing = spark.createDataFrame(
         [("T", None, "1", 9, "b", "tt9"), ("T", None, "1", 8, "a", "tt8"), ("X", None, "x", 7, "c", "tt7")],

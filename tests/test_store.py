@@ -8,7 +8,7 @@ from zonewright.sources.store import TableNotFound, TableStore
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return TableStore(spark, str(tmp_path / "zone"), compact_after=3)
+    return TableStore(spark, str(tmp_path / "zone"))
 
 
 def people(spark, data):
@@ -39,9 +39,9 @@ def test_upsert_twice_is_once(store, spark, rows):
 
 def test_empty_upsert_changes_nothing(store, spark, rows):
     store.upsert("t", people(spark, [(1, "x")]), ["id"])
-    before = store._commits("t")
+    before = store._version("t")
     assert store.upsert("t", people(spark, []), ["id"]) == 0
-    assert store._commits("t") == before
+    assert store._version("t") == before
 
 
 def test_duplicate_keys_fail_and_leave_the_table(store, spark, rows):
@@ -55,7 +55,7 @@ def test_duplicate_keys_fail_and_leave_the_table(store, spark, rows):
 
 def test_null_keys_are_inserted_every_time(store, spark, rows):
     change = people(spark, [(None, "n"), (1, "x")])
-    for _ in range(5):  # runs over a compaction
+    for _ in range(5):
         store.upsert("t", change, ["id"])
     assert rows(store.read("t")) == [(1, "x")] + [(None, "n")] * 5
 
@@ -66,32 +66,25 @@ def test_many_upserts_keep_the_latest(store, spark, rows):
         store.upsert("t", people(spark, [(step, str(step)), (0, str(step))]), ["id"])
         expected = [(0, str(step))] + [(i, str(i) if i <= step else "0") for i in range(1, 6)]
         assert rows(store.read("t")) == expected
-    assert len(store._state("t").changes) < 3
-    store.vacuum("t")
-    assert rows(store.read("t")) == expected
-
-
-@pytest.mark.parametrize(("share", "bases"), [(1e9, 1), (0.0, 3)])
-def test_folding_keeps_a_large_base(spark, tmp_path, rows, share, bases):
-    store = TableStore(spark, str(tmp_path / "z"), compact_after=2, base_share=share)
-    store.upsert("t", people(spark, [(i, "0") for i in range(5)] + [(None, "n")]), ["id"])
-    seen = {store._state("t").base[0]}
-    for step in range(1, 5):
-        store.upsert("t", people(spark, [(1, str(step)), (10 + step, "x"), (None, "m")]), ["id"])
-        seen.add(store._state("t").base[0])
-        assert len(store._state("t").changes) < 2
-    assert len(seen) == bases
-    expected = [(i, "4" if i == 1 else "0") for i in range(5)]
-    expected += [(10 + i, "x") for i in range(1, 5)] + [(None, "m")] * 4 + [(None, "n")]
-    assert rows(store.read("t")) == sorted(expected, key=repr)
-
-
-def test_large_changes_become_the_base_at_once(spark, tmp_path, rows):
-    store = TableStore(spark, str(tmp_path / "z"), small_bytes=1)
-    store.upsert("t", people(spark, [(1, "a"), (2, "b")]), ["id"])
-    store.upsert("t", people(spark, [(1, "c"), (2, "d")]), ["id"])
-    assert store._state("t").changes == []
-    assert rows(store.read("t")) == [(1, "c"), (2, "d")]
+    assert len(Files(spark).names(f"{store.root}/t/data")) == 2  # this version and the one before
+
+
+def test_a_read_is_a_plain_scan(store, spark, final_plan):
+    store.upsert("t", people(spark, [(1, "x"), (2, "y")]), ["id"])
+    store.upsert("t", people(spark, [(2, "z")]), ["id"])
+    plan = final_plan(store.read("t"))
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_create_and_append_check_keys(store, spark, rows):
+    with pytest.raises(DuplicateKeys):
+        store.create("t", people(spark, [(1, "a"), (1, "b")]), keys=["id"])
+    assert not store.exists("t")
+    store.create("t", people(spark, [(1, "a"), (None, "n"), (None, "n")]), keys=["id"])
+    with pytest.raises(DuplicateKeys):
+        store.create("t", people(spark, [(1, "again")]), mode="append")
+    store.create("t", people(spark, [(2, "b")]), mode="append")
+    assert rows(store.read("t")) == [(1, "a"), (2, "b"), (None, "n"), (None, "n")]
 
 
 def test_column_rules(store, spark, rows):
@@ -109,7 +102,6 @@ def test_repeated_writer_number_is_a_no_op(store, spark, rows):
     change = people(spark, [(None, "n")])
     assert store.upsert("t", change, ["id"], writer=("s", 4)) == 1
     assert store.upsert("t", change, ["id"], writer=("s", 4)) == 0
-    store.compact("t")
     assert store.upsert("t", change, ["id"], writer=("s", 3)) == 0
     assert store.upsert("t", change, ["id"], writer=("other", 0)) == 1
     assert rows(store.read("t")) == [(None, "n")] * 2
@@ -138,9 +130,14 @@ def test_unfinished_write_is_invisible(store, spark, rows):
     store.create("t", people(spark, [(1, "x")]), keys=["id"])
     store._write("t", people(spark, [(2, "lost")]), [])
     assert rows(store.read("t")) == [(1, "x")]
-    with pytest.raises(FileExistsError):
-        Files(spark).publish_text(f"{store.root}/t/commits/00000001", "{}")
-    assert rows(store.read("t")) == [(1, "x")]
+
+
+def test_the_pointer_is_replaced_whole(spark, tmp_path):
+    files, path = Files(spark), str(tmp_path / "p")
+    for text in ("one", "two"):
+        files.replace_text(path, text)
+        assert files.read_text(path) == text
+    assert files.names(str(tmp_path)) == ["p"] or files.names(str(tmp_path)) == [".p.crc", "p"]
 
 
 def test_partitioned_table(store, spark, rows, final_plan):

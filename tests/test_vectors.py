@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from zonewright.operators.vectors import (
     HashingEmbedder,
     changed_items,
-    collect_queries,
     embed_texts,
+    query_blocks,
     top_k,
+    top_k_of,
 )
 
 
@@ -63,19 +64,26 @@ def test_top_k_edge_vectors(spark):
         top_k(vectors(spark, data, "string"), [], 3)
 
 
-def test_top_k_passes_few_rows_on(spark):
-    df = vectors(spark, [(i, [1.0, float(i % 9)]) for i in range(500)])
-    got = top_k(df, [(0, [1.0, 0.0])], 3)
-    got.collect()
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan[plan.index("Exchange") :]
-
-
-def test_collect_queries_checks_the_size(spark):
-    df = vectors(spark, [(i, [1.0]) for i in range(5)])
-    assert len(collect_queries(df, "id", "embedding", at_most=5)) == 5
-    with pytest.raises(ValueError):
-        collect_queries(df, "id", "embedding", at_most=4)
+@pytest.mark.parametrize("k", [3, 1500])
+def test_tasks_pass_few_rows_on(spark, k):
+    df = vectors(spark, [(i, [1.0, float(i % 9)]) for i in range(2500)]).repartition(2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = top_k(df, [(0, [1.0, 0.0])], k)
+        assert [r["rank"] for r in got.orderBy("rank").collect()] == list(range(1, k + 1))
+        passed = top_k(df, [(0, [1.0, 0.0])], k)._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in passed
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_queries_beyond_one_block(spark):
+    data = [(i, [float(i % 7) + 0.5, 1.0]) for i in range(60)]
+    df = vectors(spark, data)
+    got = top_k_of(df, df, 2, query_rows=7).orderBy("query_id", "rank").collect()
+    want = top_k(df, data, 2).orderBy("query_id", "rank").collect()
+    assert len(got) == 120 and got == want
+    assert sum(len(b) for b in query_blocks(df, "id", "embedding", 7)) == 60
 
 
 def test_embedding_runs_in_batches_over_whole_texts(spark):

@@ -38,7 +38,7 @@ def _object(**fields: object) -> Column:
 def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
     """Write every response the flows read."""
     dumps = Dumps(spark, root)
-    orders = table(spark, folder, "orders", spread=True)
+    orders = table(spark, folder, "orders")
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     order_key, customer = F.col("o_orderkey"), F.col("o_custkey")
     movie, digit = order_key + 1, F.substring(priority, 1, 1).cast("int")
@@ -211,7 +211,7 @@ def lay_dumps(spark: SparkSession, folder: str, root: str) -> Dumps:
     )
     write(
         "video_stats",
-        table(spark, folder, "events", spread=True),
+        table(spark, folder, "events"),
         id=F.concat(F.lit("v"), F.col("event_id").cast("string")),
         items=F.when(F.col("event_type") == "error", F.slice(counts, 1, 0)).otherwise(counts),
     )
@@ -462,6 +462,22 @@ def serving_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("metascore", F.col("metascore").cast("double")).drop("poster")
 
 
+@query(
+    "serving_external_ratings",
+    _BASE
+    + """
+    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id, count(*) AS n, count(DISTINCT source) AS sources
+    FROM (SELECT o_orderkey, unnest(CASE st WHEN 'O' THEN [1, 2] ELSE [1] END) AS source FROM rated)
+    GROUP BY o_orderkey
+    """,
+)
+def serving_external_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    rows = zones(spark, folder).serving().read("external_ratings")
+    return rows.groupBy("tmdb_id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("source").alias("sources")
+    )
+
+
 @query(
     "serving_video_statistics",
     _BASE

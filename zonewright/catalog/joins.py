@@ -132,30 +132,38 @@ _NATIONS_SQL = """
 """
 
 
-def _customer_nations(spark: SparkSession, folder: str, literal_rows: int) -> DataFrame:
+@query("dictionary_lookup", _NATIONS_SQL)
+def dictionary_lookup_query(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").select(
         "c_custkey",
         F.array("c_nationkey", (F.col("c_custkey") % 40).cast("int")).alias("nation_ids"),
     )
+    nations = table(spark, folder, "nation")
     named = dictionary_lookup(
-        customers,
-        "nation_ids",
-        table(spark, folder, "nation"),
-        "n_nationkey",
-        "n_name",
-        "names",
-        row_key=["c_custkey"],
-        literal_rows=literal_rows,
+        customers, "nation_ids", nations, "n_nationkey", "n_name", "names", row_key=["c_custkey"]
     )
     return named.select("c_custkey", F.array_join("names", "|").alias("nations"))
 
 
-@query("dictionary_lookup", _NATIONS_SQL)
-def dictionary_lookup_query(spark: SparkSession, folder: str) -> DataFrame:
-    return _customer_nations(spark, folder, literal_rows=1_000)
-
-
-@query("dictionary_lookup_joined", _NATIONS_SQL)
+@query(
+    "dictionary_lookup_joined",
+    """
+    SELECT CASE WHEN o_orderkey % 7 > 0 OR o_orderkey = 7 THEN o_orderkey END::DOUBLE AS k,
+           coalesce((SELECT string_agg(p_name, '|' ORDER BY p_partkey) FROM part
+             WHERE p_partkey IN (o_custkey, o_orderkey % 3000)), '') AS parts
+    FROM orders WHERE o_orderkey % 7 > 0 OR o_orderkey IN (7, 14)
+    """,
+)
 def dictionary_lookup_joined(spark: SparkSession, folder: str) -> DataFrame:
-    """The same answer the way a dictionary too large for a literal is looked up."""
-    return _customer_nations(spark, folder, literal_rows=0)
+    """A larger dictionary, and one row whose key is null."""
+    orders = table(spark, folder, "orders").filter("o_orderkey % 7 > 0 OR o_orderkey IN (7, 14)")
+    asked = orders.select(
+        F.when((F.col("o_orderkey") % 7 > 0) | (F.col("o_orderkey") == 7), F.col("o_orderkey")).alias("k"),
+        F.array("o_custkey", F.col("o_orderkey") % 3000).alias("part_ids"),
+    )
+    named = dictionary_lookup(
+        asked, "part_ids", table(spark, folder, "part"), "p_partkey", "p_name", "names", row_key=["k"]
+    )
+    return named.select(
+        F.col("k").cast("double").alias("k"), F.array_join("names", "|").alias("parts")
+    )

@@ -31,18 +31,6 @@ def query(name: str, oracle: str | None = None) -> Callable[[Run], Run]:
     return register
 
 
-# Scans below this size may come in fewer row groups than there are cores.
-SMALL_SCAN = 64 * 1024 * 1024
-
-
-def table(spark: SparkSession, folder: str, name: str, *, spread: bool = False) -> DataFrame:
-    """One input table. With ``spread``, the rows of a small one are first dealt out
-    evenly to all cores, as its file may be a single row group and thus a single
-    task. A large table has splits enough and is left as it is scanned."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    if not spread:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SMALL_SCAN:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One input table, as it is scanned."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")

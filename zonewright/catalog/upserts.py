@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from zonewright.catalog.registry import query, table
 from zonewright.operators.dedup import keep_one
 from zonewright.operators.merge import merge_frames
+from zonewright.plans.comments import COMMENTS, build_comments
 from zonewright.session import work_folder
 from zonewright.sources.store import TableStore
 from zonewright.streaming.upsert import (
@@ -116,7 +117,7 @@ def upsert_empty(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def store_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Create, two different upserts, compact, and clear away what is superseded."""
+    """Create, and two different upserts one after the other."""
     store = TableStore(spark, work_folder(spark, "history"))
     store.create("orders", _target(spark, folder), keys=["k"])
     store.upsert("orders", _source(spark, folder), ["k"])
@@ -124,11 +125,40 @@ def store_history(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_custkey").alias("k"), F.lit("C").alias("state"), F.col("c_acctbal").alias("amount")
     )
     store.upsert("orders", customers, ["k"])
-    store.compact("orders")
-    store.vacuum("orders")
     return store.read("orders")
 
 
+@query(
+    "store_lifecycle",
+    """
+    SELECT 'before' AS step, false AS present, 0::BIGINT AS n
+    UNION ALL SELECT 'created', true, count(*) FROM orders
+    UNION ALL SELECT 'appended', true, (SELECT count(*) FROM orders) + (SELECT count(*) FROM supplier)
+    UNION ALL SELECT 'dropped', false, 0
+    """,
+)
+def store_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the table is there and how many rows ``show`` counts, step by step."""
+    store = TableStore(spark, work_folder(spark, "lifecycle"))
+    seen: list[tuple[str, bool, int]] = []
+
+    def look(step: str) -> None:
+        present = store.exists("orders")
+        seen.append((step, present, store.show("orders", 1) if present else 0))
+
+    look("before")
+    store.create("orders", _target(spark, folder), keys=["k"])
+    look("created")
+    more = table(spark, folder, "supplier").select(
+        (-1 - F.col("s_suppkey")).alias("k"), F.lit("S").alias("state"), F.col("s_acctbal").alias("amount")
+    )
+    store.create("orders", more, mode="append")
+    look("appended")
+    store.drop("orders")
+    look("dropped")
+    return spark.createDataFrame(seen, "step string, present boolean, n long")
+
+
 @query(
     "stream_upsert",
     """
@@ -140,7 +170,7 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Every event arrives as an early draft and in its final form in the same batch;
     the stream stops, resumes from its checkpoint, and all final forms come again."""
     work = work_folder(spark, "stream")
-    events = table(spark, folder, "events", spread=True).select(
+    events = table(spark, folder, "events").select(
         "event_id",
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
         "user_id",
@@ -160,3 +190,60 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
         )
         running.awaitTermination()
     return store.read("events")
+
+
+def _sent_comments(spark: SparkSession, folder: str) -> TableStore:
+    """Turns of conversations as blog comments, sent twice and edited in between; every third
+    conversation's first turn also comes as a line that is no JSON. The landing table."""
+    work = work_folder(spark, "comments")
+    turns = table(spark, folder, "conversations")
+    comments = turns.select(
+        F.col("conv_id").cast("int").alias("tmdb_id"),
+        F.concat_ws("-", "conv_id", "turn").alias("comment_id"),
+        F.col("role").alias("film_title"),
+        F.col("text").alias("comment_text"),
+        F.lit("2024-01-01T10:00:00+02:00").alias("created_at"),
+    )
+    broken = turns.filter("turn = 0 AND conv_id % 3 = 0").select(
+        F.concat(F.lit("{broken "), F.col("conv_id").cast("string")).alias("value"),
+        F.lit(1).alias("partition"),
+        F.col("conv_id").cast("long").alias("offset"),
+    )
+    drafts = comments.withColumn("comment_text", F.lit("draft"))
+    store = TableStore(spark, f"{work}/zone")
+    for number, sent in enumerate((drafts, comments)):
+        lines = encode_messages(sent, F.lit(number)).unionByName(broken)
+        lines.write.mode("append").json(f"{work}/topic")
+        running = build_comments(
+            read_message_files(spark, f"{work}/topic"), store, f"{work}/checkpoint", once=True
+        )
+        running.awaitTermination()
+    return store
+
+
+@query(
+    "stream_comments",
+    """
+    SELECT DISTINCT conv_id::INTEGER AS tmdb_id, conv_id || '-' || turn AS comment_id, role AS film_title,
+           text AS comment_text, '2024-01-01 08:00:00' AS created_at
+    FROM conversations
+    """,
+)
+def stream_comments(spark: SparkSession, folder: str) -> DataFrame:
+    store = _sent_comments(spark, folder)
+    return store.read(COMMENTS).withColumn(
+        "created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")
+    )
+
+
+@query(
+    "stream_rejects",
+    """
+    SELECT DISTINCT 1 AS partition, conv_id::BIGINT AS "offset", '{broken ' || conv_id AS message_text
+    FROM conversations WHERE turn = 0 AND conv_id % 3 = 0
+    """,
+)
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Unreadable messages, with their text; the replay adds none."""
+    store = _sent_comments(spark, folder)
+    return store.read(f"rejects/{COMMENTS}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from zonewright.catalog.registry import query, table
 from zonewright.operators.dedup import keep_one
-from zonewright.operators.vectors import HashingEmbedder, collect_queries, embed_texts, top_k
+from zonewright.operators.vectors import HashingEmbedder, embed_texts, top_k_of
 
 
 @query(
@@ -19,8 +19,8 @@ from zonewright.operators.vectors import HashingEmbedder, collect_queries, embed
 )
 def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
-    queries = collect_queries(vectors.filter("vec_id = 0"), "vec_id", "embedding")
-    best = top_k(vectors, queries, 10, id_column="vec_id", score_digits=6)
+    asked = vectors.filter("vec_id = 0")
+    best = top_k_of(vectors, asked, 10, id_column="vec_id", score_digits=6)
     return best.select("vec_id", "score").orderBy(F.desc("score"), "vec_id")
 
 
@@ -37,10 +37,9 @@ def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
 def vector_first_matches(spark: SparkSession, folder: str) -> DataFrame:
     """Metadata of the first three of the ten nearest."""
     vectors = table(spark, folder, "embeddings")
-    queries = collect_queries(vectors.filter("vec_id = 0"), "vec_id", "embedding")
-    first = top_k(vectors, queries, 10, id_column="vec_id", score_digits=6).filter("rank <= 3")
-    # three rows at most
-    return vectors.select("vec_id", "label").join(F.broadcast(first), "vec_id").select(
+    asked = vectors.filter("vec_id = 0")
+    first = top_k_of(vectors, asked, 10, id_column="vec_id", score_digits=6).filter("rank <= 3")
+    return vectors.select("vec_id", "label").join(first, "vec_id").select(
         "vec_id", "label"
     )
 
@@ -61,11 +60,10 @@ def vector_topk_batch(spark: SparkSession, folder: str) -> DataFrame:
     """The first vector of every label is a query."""
     vectors = table(spark, folder, "embeddings")
     leaders = keep_one(vectors, ["label"], [F.asc("vec_id")], total_order=False)
-    queries = collect_queries(leaders, "label", "embedding")
-    return top_k(vectors, queries, 10, id_column="vec_id", score_digits=6)
+    return top_k_of(vectors, leaders, 10, id_column="vec_id", query_id="label", score_digits=6)
 
 
 @query("embed_texts")
 def embed_texts_query(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents", spread=True).select("doc_id", "text")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
     return embed_texts(documents, "text", HashingEmbedder(64)).select("doc_id", "embedding")

@@ -12,9 +12,7 @@ from zonewright.operators.dedup import keep_one
 
 _MATCHED = "__matched"
 _ROW = "__row"
-
-# A dictionary up to this many rows is put into the plan as a literal.
-LITERAL_ROWS = 1_000
+_TIMES = "__times"
 
 
 def lookup_join(
@@ -85,42 +83,33 @@ def dictionary_lookup(
     out: str,
     *,
     row_key: Sequence[str],
-    literal_rows: int = LITERAL_ROWS,
 ) -> DataFrame:
     """Array of ids to the array of their values, in the dictionary's key order;
     unknown ids are left out.
 
-    The dictionary's size is checked first. A small one becomes a literal, and
-    every row is answered in place. A larger one is joined: ids are exploded, looked
-    up, and gathered again under the row's own ``row_key``, which has to be unique,
-    so that a gathered group is never longer than the row's own array.
+    Ids are exploded, looked up, and gathered again under the row's own ``row_key``.
+    It has to be unique, nulls included, so that a gathered group is never longer than
+    the row's own array; a row key that repeats is an error. The dictionary may be of
+    any size: no side is hinted, and the plan is the same for all.
     """
     entries = keep_one(
         dictionary.select(key, value).dropna(subset=[key]), [key], for_skewed_join=True
     )
-    small = entries.limit(literal_rows + 1).collect()
-    if len(small) <= literal_rows:
-        found = sorted(((r[key], r[value]) for r in small), key=lambda e: e[0])
-        key_type = dictionary.schema[key].dataType
-        value_type = dictionary.schema[value].dataType
-        literal = F.array(
-            *[
-                F.struct(F.lit(k).cast(key_type).alias("k"), F.lit(v).cast(value_type).alias("v"))
-                for k, v in found
-            ]
-        )
-        if not found:
-            return df.withColumn(out, F.array().cast(f"array<{value_type.simpleString()}>"))
-        wanted = C.or_empty(F.col(ids), df.schema[ids].dataType.simpleString())
-        known = F.filter(literal, lambda e: F.array_contains(wanted, e.getField("k")))
-        return df.withColumn(out, F.transform(known, lambda e: e.getField("v")))
-    exploded = df.select(*row_key, F.explode(F.array_distinct(ids)).alias(key))
+    row = F.struct(*row_key)
+    lists = df.groupBy(row.alias(_ROW)).agg(
+        F.count(F.lit(1)).alias(_TIMES), F.any_value(F.col(ids)).alias(ids)
+    )
+    once = F.when(F.col(_TIMES) == 1, F.col(ids)).otherwise(
+        F.raise_error(F.concat(F.lit("row key repeats: "), F.to_json(_ROW)))
+    )
+    exploded = lists.select(_ROW, F.explode(F.array_distinct(once)).alias(key))
     gathered = (
         exploded.join(entries, key)
-        .groupBy(*row_key)
+        .groupBy(_ROW)
         .agg(F.array_sort(F.collect_list(F.struct(key, value))).alias("__found"))
-        .select(*row_key, F.col(f"__found.{value}").alias(out))
+        .select(_ROW, F.col(f"__found.{value}").alias("__values"))
     )
+    # structs with null fields are equal, so null row keys find their own values
+    joined = df.withColumn(_ROW, row).join(gathered, _ROW, "left")
     value_array = f"array<{dictionary.schema[value].dataType.simpleString()}>"
-    joined = df.join(gathered, list(row_key), "left")
-    return joined.withColumn(out, C.or_empty(F.col(out), value_array))
+    return joined.withColumn(out, C.or_empty(F.col("__values"), value_array)).drop(_ROW, "__values")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from zonewright.operators.dedup import all_present
+from zonewright.session import Staging
 
 
 class DuplicateKeys(ValueError):
@@ -27,12 +28,12 @@ def align(source: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key the source does not have, and all source rows.
+def merge_checked(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key the source does not have, and all source rows, for a source
+    that is stored, and known not to repeat a key.
 
     Matched rows are replaced whole, unmatched ones inserted, nothing is deleted.
-    A null in a key matches nothing, so such rows of both sides stay. The source
-    must not repeat a key (``require_unique``).
+    A null in a key matches nothing, so such rows of both sides stay.
 
     Only the source's key columns enter the anti join. A small source is broadcast
     by Spark after a size check, and the target is then not shuffled at all;
@@ -45,6 +46,14 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     )
 
 
+def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``merge_checked`` for any source: it is run once, into the session's shared folder,
+    and a key that repeats in it raises ``DuplicateKeys``."""
+    staged = Staging(target.sparkSession, "merge-source").put(align(source, target.schema))
+    require_unique(staged, keys)
+    return merge_checked(target, staged, keys)
+
+
 def count_and_check(df: DataFrame, keys: Sequence[str]) -> int:
     """Row count; raises ``DuplicateKeys`` when a full key repeats. One job that
     reads the key columns only and aggregates before its shuffle."""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows one call of the embedder or of an external index gets.
 BATCH_ROWS = 100
+# Query vectors one scan answers.
+QUERY_ROWS = 1_000
 
 
 class HashingEmbedder:
@@ -71,14 +75,40 @@ def changed_items(items: DataFrame, known: DataFrame, id_column: str, hash_colum
     return items.join(known.select(id_column, hash_column), [id_column, hash_column], "left_anti")
 
 
-def collect_queries(
-    df: DataFrame, id_column: str, vector_column: str, at_most: int = 1_000
-) -> list[tuple[object, list[float]]]:
-    """Query vectors of a small frame. Its size is checked: more rows are an error."""
-    rows = df.select(id_column, vector_column).limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} query vectors")
-    return sorted(((r[0], list(r[1])) for r in rows), key=lambda q: q[0])
+def query_blocks(
+    df: DataFrame, id_column: str, vector_column: str, rows: int = QUERY_ROWS
+) -> Iterator[list[tuple[object, list[float]]]]:
+    """Query vectors of a frame of any size, about ``rows`` at a time, dealt by hash; the
+    driver holds one block only."""
+    queries = df.select(id_column, vector_column)
+    blocks = max(1, math.ceil(queries.count() / rows))
+    block_of = F.pmod(F.xxhash64(id_column), F.lit(blocks))
+    for block in range(blocks):
+        found = queries.filter(block_of == block).collect()
+        if found:
+            yield sorted(((r[0], list(r[1])) for r in found), key=lambda q: q[0])
+
+
+def top_k_of(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int = 10,
+    *,
+    id_column: str = "id",
+    vector_column: str = "embedding",
+    query_id: str | None = None,
+    query_rows: int = QUERY_ROWS,
+    **options: object,
+) -> DataFrame:
+    """``top_k`` for all rows of ``queries``: one scan of ``vectors`` for each block."""
+    blocks = query_blocks(queries, query_id or id_column, vector_column, query_rows)
+    found = [
+        top_k(vectors, block, k, id_column=id_column, vector_column=vector_column, **options)
+        for block in blocks
+    ]
+    if not found:
+        raise ValueError("no query vectors")
+    return reduce(DataFrame.unionByName, found)
 
 
 def top_k(
@@ -94,10 +124,9 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` nearest vectors of every query, exact, as ``(query, id, score, rank)``.
 
-    Each Arrow batch is one matrix product against the query block, and passes on
-    only the ids that can still be among its ``k`` best, so what leaves the
-    tasks is a few rows per batch; the rank window trims once more before its
-    shuffle. Equal scores are ordered by id. A vector of length zero, of another
+    Each Arrow batch is one matrix product against the query block. A task keeps a
+    running ``k`` best for each query over its batches, so what leaves it is ``k`` rows
+    a query at most, whatever ``k`` is. Equal scores are ordered by id. A vector of length zero, of another
     size than the query, or null has no cosine and is never near.
     """
     if not queries:
@@ -109,10 +138,13 @@ def top_k(
     id_type = vectors.schema[id_column].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray] | None] = [None] * block.shape[0]
+        id_arrow = None
         for batch in batches:
             ids, column = batch.column(0), batch.column(1)
             if batch.num_rows == 0:
                 continue
+            id_arrow = ids.type
             flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             matrix = flat.reshape(-1, size)
             lengths = np.linalg.norm(matrix, axis=1)
@@ -121,25 +153,29 @@ def top_k(
             if score_digits is not None:
                 scores = np.round(scores, score_digits)
             names = ids.to_numpy(zero_copy_only=False)
-            numbers, rows = [], []
             for q in range(block.shape[0]):
-                row_scores = scores[:, q]
+                row_scores, row_names = scores[:, q], names
                 best = np.flatnonzero(~np.isnan(row_scores))
-                if len(best) > k:
-                    bar = np.partition(row_scores[best], len(best) - k)[len(best) - k]
-                    best = best[row_scores[best] >= bar]
-                    best = best[np.lexsort((names[best], -row_scores[best]))[:k]]
-                numbers.append(np.full(len(best), q, dtype=np.int32))
-                rows.append(best)
-            picked_q, picked = np.concatenate(numbers), np.concatenate(rows)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(picked_q),
-                    ids.take(pa.array(picked)),
-                    pa.array(scores[picked, picked_q]),
-                ],
-                names=["__q", id_column, score_column],
-            )
+                row_scores, row_names = row_scores[best], row_names[best]
+                if held[q] is not None:
+                    row_scores = np.concatenate((held[q][0], row_scores))
+                    row_names = np.concatenate((held[q][1], row_names))
+                if len(row_scores) > k:
+                    bar = np.partition(row_scores, len(row_scores) - k)[len(row_scores) - k]
+                    best = np.flatnonzero(row_scores >= bar)
+                    best = best[np.lexsort((row_names[best], -row_scores[best]))[:k]]
+                    row_scores, row_names = row_scores[best], row_names[best]
+                held[q] = (row_scores, row_names)
+        for q, found in enumerate(held):
+            if found is not None and len(found[0]):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(found[0]), q, dtype=np.int32)),
+                        pa.array(found[1], type=id_arrow),
+                        pa.array(found[0]),
+                    ],
+                    names=["__q", id_column, score_column],
+                )
 
     # a null element reads as NaN, which leaves its vector without a score
     comparable = vectors.select(id_column, vector_column).filter(F.size(vector_column) == size)

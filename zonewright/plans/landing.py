@@ -14,7 +14,7 @@ from zonewright.operators.clean import in_range, require_elements, select_option
 from zonewright.operators.dedup import keep_first, keep_one
 from zonewright.operators.enrich import lookup_join, override_join
 from zonewright.operators.nested import encode_nested, nested_list
-from zonewright.plans.report import FlowReport
+from zonewright.plans.report import FlowReport, Skipped
 from zonewright.session import Staging
 from zonewright.sources.dumps import Dumps
 from zonewright.sources.store import TableStore
@@ -45,6 +45,12 @@ def discovered_movies(
     return keep_one(movies, ["tmdb_id"], [F.desc_nulls_last("popularity")])
 
 
+def narrowed(responses: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The responses of wanted ids. Dumps only grow, and a run wants the ids of a few days:
+    so the rest goes before anything is sorted or gathered."""
+    return responses.join(wanted.select(*on), on, "left_semi")
+
+
 def credit_lists(dumps: Dumps) -> DataFrame:
     """First billed actors, then the director where there is one."""
     actors = C.pick_fields(
@@ -96,8 +102,8 @@ def enriched_movies(movies: DataFrame, dumps: Dumps) -> DataFrame:
     }
     rows = movies
     for frame in lists.values():
-        rows = lookup_join(rows, frame, ["tmdb_id"], left_unique=True)
-    details = dumps.read("details").withColumnRenamed("id", "tmdb_id")
+        rows = lookup_join(rows, narrowed(frame, movies, ["tmdb_id"]), ["tmdb_id"], left_unique=True)
+    details = narrowed(dumps.read("details").withColumnRenamed("id", "tmdb_id"), movies, ["tmdb_id"])
     rows = override_join(rows, details, ["tmdb_id"], left_unique=True)
     rows = rows.withColumns(
         {
@@ -108,13 +114,11 @@ def enriched_movies(movies: DataFrame, dumps: Dumps) -> DataFrame:
     return select_optional(rows, schemas.MOVIE_FIELDS, strict=True)
 
 
-def movie_ids(
-    movies: DataFrame, dumps: Dumps, staging: Staging | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Id and trailer of every movie, and the movies none was found for. With
-    ``staging`` the answers both come from are looked up only once."""
+def answered_ids(movies: DataFrame, dumps: Dumps) -> DataFrame:
+    """What the id search and the details say of every movie, nulls where nothing."""
+    wanted = movies.select(F.col("tmdb_id").alias("movie_tmdb_id"))
     search = dumps.read("id_search").select(
-        "tmdb_id",
+        F.col("tmdb_id").alias("movie_tmdb_id"),
         C.path(
             C.first_where(F.col("results"), lambda r: r["type"] == "movie"), "movie.ids.trakt"
         ).alias("found_id"),
@@ -128,16 +132,16 @@ def movie_ids(
         F.col("ids.slug").alias("slug"),
         F.col("ids.imdb").alias("imdb_id"),
     )
-    wanted = movies.select(F.col("tmdb_id").alias("movie_tmdb_id"))
     searched = lookup_join(
-        wanted,
-        search.withColumnRenamed("tmdb_id", "movie_tmdb_id"),
-        ["movie_tmdb_id"],
-        left_unique=True,
+        wanted, narrowed(search, wanted, ["movie_tmdb_id"]), ["movie_tmdb_id"], left_unique=True
     )
-    answered = lookup_join(searched, details, ["found_id"])
+    return lookup_join(searched, details, ["found_id"])
+
+
+def split_ids(answered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Id and trailer of every movie, and the movies none was found for."""
     found, missing = split_quarantine(
-        staging.put(answered) if staging else answered,
+        answered,
         {
             "no movie among the search results": F.col("found_id").isNull(),
             "no details for the id": F.col("trakt_id").isNull(),
@@ -150,6 +154,11 @@ def movie_ids(
     )
 
 
+def movie_ids(movies: DataFrame, dumps: Dumps) -> tuple[DataFrame, DataFrame]:
+    """Id and trailer of every movie, and the movies none was found for."""
+    return split_ids(answered_ids(movies, dumps))
+
+
 def movie_ratings(ids: DataFrame, dumps: Dumps) -> DataFrame:
     """Ratings of every movie with a rating id; ids without an answer drop out."""
     wanted = ids.filter(S.is_filled(F.col("imdb_id"))).select("imdb_id").distinct()
@@ -163,7 +172,8 @@ def movie_ratings(ids: DataFrame, dumps: Dumps) -> DataFrame:
         F.col("imdbVotes").alias("imdb_votes"),
         F.col("imdbID").alias("imdb_id"),
     )
-    return lookup_join(wanted, renamed, ["imdb_id"], "inner", left_unique=True).select(
+    ours = narrowed(renamed, wanted, ["imdb_id"])
+    return lookup_join(wanted, ours, ["imdb_id"], "inner", left_unique=True).select(
         *renamed.columns
     )
 
@@ -178,7 +188,8 @@ def movie_providers(ids: DataFrame, dumps: Dumps, region: str) -> DataFrame:
             F.col("results"), PROVIDER, outer_key=region, skip=["link"], key_name="provider_type"
         ).alias("providers"),
     )
-    rows = lookup_join(wanted, offers, ["tmdb_id"], "inner", left_unique=True)
+    ours = narrowed(offers, wanted, ["tmdb_id"])
+    rows = lookup_join(wanted, ours, ["tmdb_id"], "inner", left_unique=True)
     return require_elements(rows, "providers")
 
 
@@ -271,25 +282,46 @@ def build_landing(
         report.run_all(store.spark, {t: partial(step, t, f) for t, f in frames.items()})
 
     staging = Staging(store.spark, "landing")
-    movies = staging.put(discovered_movies(dumps, as_of, days, discover_region))
-    found, missing = movie_ids(movies, dumps, staging)
-    load(
-        {
-            "tmdb/movies_released": lambda: enriched_movies(movies, dumps),
-            "trakt/movie_ids_and_trailer": lambda: found,
-            "rejects/movie_ids": lambda: missing,
-            "rejects/responses": dumps.unreadable,
-        }
-    )
-    staging.clear()
-    if not store.exists("trakt/movie_ids_and_trailer"):
-        return report
-    known = store.read("trakt/movie_ids_and_trailer")
+    staged: dict[str, DataFrame] = {}
+
+    def stage(name: str, frame: Callable[[], DataFrame]) -> None:
+        """Frames several tables need; one that fails is reported like a table."""
+
+        def step() -> int:
+            staged[name] = staging.put(frame())
+            return 0
+
+        report.run(f"staged/{name}", step)
+
+    def needed(name: str) -> DataFrame:
+        if name not in staged:
+            raise Skipped(f"staged/{name} is not there")
+        return staged[name]
+
+    try:
+        stage("movies", lambda: discovered_movies(dumps, as_of, days, discover_region))
+        stage("answers", lambda: answered_ids(needed("movies"), dumps))
+        load(
+            {
+                "tmdb/movies_released": lambda: enriched_movies(needed("movies"), dumps),
+                "trakt/movie_ids_and_trailer": lambda: split_ids(needed("answers"))[0],
+                "rejects/movie_ids": lambda: split_ids(needed("answers"))[1],
+                "rejects/responses": dumps.unreadable,
+            }
+        )
+    finally:
+        staging.clear()
+
+    def known() -> DataFrame:
+        if not store.exists("trakt/movie_ids_and_trailer"):
+            raise Skipped("trakt/movie_ids_and_trailer is not there")
+        return store.read("trakt/movie_ids_and_trailer")
+
     load(
         {
-            "omdb/movie_ratings": lambda: movie_ratings(known, dumps),
-            "tmdb/movies_providers": lambda: movie_providers(known, dumps, region),
-            "youtube/trailer_video_stats": lambda: trailer_stats(known, dumps),
+            "omdb/movie_ratings": lambda: movie_ratings(known(), dumps),
+            "tmdb/movies_providers": lambda: movie_providers(known(), dumps, region),
+            "youtube/trailer_video_stats": lambda: trailer_stats(known(), dumps),
         }
     )
     return report

@@ -24,6 +24,10 @@ class TableResult:
         return self.error is None
 
 
+class Skipped(RuntimeError):
+    """A table was not tried, as what it is made from is not there."""
+
+
 class FlowFailed(RuntimeError):
     """At least one table of a flow failed."""
 

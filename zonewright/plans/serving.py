@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from zonewright import schemas
 from zonewright.functions.scalars import item_text
-from zonewright.operators.dedup import keep_one
 from zonewright.operators.enrich import lookup_join
 from zonewright.operators.export import export_rows
 from zonewright.operators.vectors import Embedder, changed_items, embed_texts, top_k
@@ -35,11 +34,7 @@ def serving_frame(trusted: TableStore, table: str) -> DataFrame:
         rows = ratings_with_ids(rows, trusted.read("movie_ids_and_trailer"))
     if table == "external_ratings":
         rows = external_with_ids(rows, trusted.read("movie_ids_and_trailer"))
-        rows = keep_one(
-            rows.dropna(subset=["tmdb_id"]),
-            schemas.SERVING_KEYS[table],
-            [F.asc("imdb_id")],
-        )
+        rows = rows.dropna(subset=["tmdb_id"])
     return export_rows(rows, schemas.SERVING_COLUMNS.get(table))
 
 
@@ -87,15 +82,25 @@ def search(
     """The ``k`` items nearest to a text, with their metadata, best first."""
     vectors = store.read(table)
     best = top_k(vectors, [("query", embedder([text])[0])], k)
-    # k rows: the one side whose size is known without looking
-    found = vectors.select("id", "text", "metadata").join(F.broadcast(best), "id")
+    found = vectors.select("id", "text", "metadata").join(best, "id")
     return found.select("rank", "id", "score", "text", "metadata").orderBy("rank")
 
 
+Sink = Callable[[str, DataFrame, list[str]], None]
+
+
 def build_serving(
-    trusted: TableStore, serving: TableStore, embedder: Embedder | None = None
+    trusted: TableStore,
+    serving: TableStore,
+    embedder: Embedder | None = None,
+    sink: Sink | None = None,
 ) -> FlowReport:
-    """Upsert the sixteen serving tables and, given an embedder, the vectors."""
+    """Upsert the sixteen serving tables and, given an embedder, the vectors.
+
+    With a ``sink``, every table that got rows is then handed to it as ``(name, rows,
+    keys)``; ``relational_upsert`` and ``index_upsert`` make such sinks. It is part of the
+    table's step: a sink that fails is reported, and the next run sends the rows again.
+    """
     report = FlowReport()
     steps: dict[str, Callable[[], int]] = {
         table: partial(_write, trusted, serving, table, keys)
@@ -109,10 +114,25 @@ def build_serving(
         steps[VECTORS] = lambda: refresh_vectors(
             movie_items(export_rows(trusted.read("movies"))), serving, embedder
         )
+    if sink is not None:
+        keys = schemas.SERVING_KEYS | {VECTORS: ["id"]}
+        steps = {
+            table: partial(_send, serving, table, step, keys[table], sink) if table in keys else step
+            for table, step in steps.items()
+        }
     report.run_all(serving.spark, steps)
     return report
 
 
+def _send(
+    serving: TableStore, table: str, step: Callable[[], int], keys: list[str], sink: Sink
+) -> int:
+    count = step()
+    if count:
+        sink(table, serving.read(table), keys)
+    return count
+
+
 def _write(trusted: TableStore, serving: TableStore, table: str, keys: list[str]) -> int:
     if not trusted.exists(table):
         return 0  # nothing has reached the trusted zone yet

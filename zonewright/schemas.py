@@ -133,7 +133,7 @@ TRUSTED_KEYS = {
 
 SERVING_KEYS = {
     name: keys for name, keys in TRUSTED_KEYS.items() if name != "movie_ids_and_trailer"
-} | {"external_ratings": ["tmdb_id", "source"]}
+} | {"external_ratings": ["tmdb_id", "imdb_id", "source"]}
 
 # Columns the serving tables keep; tables not named here keep all of theirs.
 SERVING_COLUMNS = {
@@ -142,7 +142,7 @@ SERVING_COLUMNS = {
     "movies_languages": ["tmdb_id", "iso_639_1"],
     "movies_keywords": ["tmdb_id", "keyword_id"],
     "movies_providers": ["tmdb_id", "provider_id", "provider_type"],
-    "external_ratings": ["tmdb_id", "source", "value"],
+    "external_ratings": ["tmdb_id", "imdb_id", "source", "value"],
 }
 
 

@@ -33,8 +33,9 @@ def build_session(app: str = "zonewright", master: str | None = None, **conf: st
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new, empty folder name below the shared folder the session names.
 
-    Every call gives another name, so a rerun never reads an older run's files.
-    A cluster must name the folder in ``spark.checkpoint.dir``; only a local
+    Every call gives another name, so a rerun never reads an older run's files. All of
+    an application's names are below one folder, which goes when the application ends.
+    A cluster must name the shared folder in ``spark.checkpoint.dir``; only a local
     master may go without.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,7 +43,9 @@ def work_folder(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = "/tmp/zonewright"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+    Files(spark).make_temporary(own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 class Staging:

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 class Files:
     def __init__(self, spark: SparkSession) -> None:
         self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
         self._conf = spark._jsc.hadoopConfiguration()
 
     def _at(self, path: str):
@@ -32,11 +33,12 @@ class Files:
         finally:
             stream.close()
 
-    def publish_text(self, path: str, text: str) -> None:
-        """Write beside ``path`` and rename into place: readers see all or nothing,
-        and a file already there is an error."""
+    def replace_text(self, path: str, text: str) -> None:
+        """Write beside ``path`` and rename over it: readers see the old or the new text.
+        The rename is atomic where the file system's is; on an object store it is a copy."""
         fs, target = self._at(path)
-        draft = self._jvm.org.apache.hadoop.fs.Path(
+        hadoop = self._jvm.org.apache.hadoop.fs
+        draft = hadoop.Path(
             target.getParent(), f".{target.getName()}.{self._jvm.java.util.UUID.randomUUID()}"
         )
         stream = fs.create(draft, False)
@@ -44,13 +46,18 @@ class Files:
             stream.write(text.encode("utf-8"))
         finally:
             stream.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            fs.delete(draft, False)
-            raise FileExistsError(path)
+        kind = getattr(self._jvm, "org.apache.hadoop.fs.Options$Rename")
+        options = self._gateway.new_array(kind, 1)
+        options[0] = kind.OVERWRITE
+        context = hadoop.FileContext.getFileContext(fs.getUri(), self._conf)
+        context.rename(fs.makeQualified(draft), fs.makeQualified(target), options)
 
-    def size(self, path: str) -> int:
-        fs, target = self._at(path)
-        return fs.getContentSummary(target).getLength()
+    def make_temporary(self, folder: str) -> None:
+        """Make a folder that is deleted, with all it holds, when the JVM ends."""
+        fs, target = self._at(folder)
+        if not fs.exists(target):
+            fs.mkdirs(target)
+            fs.deleteOnExit(target)
 
     def delete(self, path: str) -> bool:
         fs, target = self._at(path)

@@ -1,21 +1,11 @@
 """Keyed tables in a zone folder, on plain Parquet.
 
-A table is a folder of Parquet data sets and a folder of numbered commit files.
-The newest commit names the data sets that make up the table:
-
-* ``base``: rows of the last full write, plus appended ones;
-* ``changes``: upserts since then, oldest first, each unique by key.
-
-An upsert writes the changed rows only, so it costs what the change costs and not
-what the table costs. A read replaces the base rows the changes have a newer
-version of. Changes become a new base once they have grown to ``base_share`` of it;
-until then every ``compact_after`` upserts they are folded into one set of changes,
-so a large base is not rewritten for a few rows. Below ``small_bytes`` of changes
-nothing is done before ``compact_after``.
-
-Data sets are never rewritten, so a reader keeps a whole snapshot, and the job
-that writes a table may read it. One writer per table: a second one fails when it
-publishes the same commit number.
+A table is a folder of Parquet data sets and one small file, ``current``, that names the
+data sets of the present version, its schema and its keys. Every write makes new data sets
+and replaces that file last, so a reader sees the version before or the one after, and a
+read is a plain scan. An upsert merges when it writes. The data sets of the version before
+are kept for its readers; older ones are deleted. One writer per table. Where tables are
+large and changes small, ``DeltaTableStore`` leaves row-level work to that library.
 """
 
 from __future__ import annotations
@@ -25,52 +15,38 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from zonewright.operators.dedup import keep_one_present
-from zonewright.operators.merge import align, count_and_check, merge_frames
+from zonewright.operators.merge import align, count_and_check, merge_checked
 from zonewright.sources.files import Files
 
-_SEQ = "__change"
-
 
 class TableNotFound(LookupError):
     """The zone has no such table."""
 
 
 @dataclass
-class _State:
+class _Version:
     schema: dict
     keys: list[str] = field(default_factory=list)
     partition_by: list[str] = field(default_factory=list)
-    base: list[str] = field(default_factory=list)
-    changes: list[str] = field(default_factory=list)
+    data: list[str] = field(default_factory=list)
+    before: list[str] = field(default_factory=list)
     applied: dict[str, int] = field(default_factory=dict)
 
 
 class TableStore:
     """Tables of one zone below ``root``."""
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        *,
-        compact_after: int = 8,
-        base_share: float = 0.2,
-        small_bytes: int = 64 * 1024 * 1024,
-    ) -> None:
+    def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self.compact_after = compact_after
-        self.base_share = base_share
-        self.small_bytes = small_bytes
         self._files = Files(spark)
 
     # --- reading ----------------------------------------------------------------
 
     def exists(self, name: str) -> bool:
-        return bool(self._commits(name))
+        return self._files.exists(self._pointer(name))
 
     def names(self) -> list[str]:
         """Tables right below the zone folder."""
@@ -78,7 +54,7 @@ class TableStore:
 
     def read(self, name: str) -> DataFrame:
         """The table's current rows."""
-        return self._rows(name, self._state(name))
+        return self._rows(name, self._version(name))
 
     def show(self, name: str, rows: int = 20) -> int:
         """Print the first rows and return the row count."""
@@ -97,30 +73,26 @@ class TableStore:
         mode: str = "overwrite",
         partition_by: Sequence[str] = (),
     ) -> None:
-        """Write the whole frame: ``overwrite``, ``append``, ``ignore`` or ``error``."""
-        known = self.exists(name)
-        if known and mode == "ignore":
+        """Write the whole frame: ``overwrite``, ``append``, ``ignore`` or ``error``. A full
+        key that repeats, also with one already in the table, raises ``DuplicateKeys`` and
+        leaves the table as it was."""
+        old = self._version(name) if self.exists(name) else None
+        if old and mode == "ignore":
             return
-        if known and mode == "error":
+        if old and mode == "error":
             raise FileExistsError(f"{self.root}/{name}")
-        if known and mode == "append":
-            state = self._state(name)
-            if state.changes:
-                self.compact(name)
-                state = self._state(name)
-            rows = align(df, self._schema(state))
-            data = self._write(name, rows, state.partition_by)
-            state.base.append(data)
+        if old and mode == "append":
+            new = _Version(old.schema, old.keys, old.partition_by, [*old.data], [], old.applied)
+            rows = align(df, T.StructType.fromJson(old.schema))
         else:
-            applied = self._state(name).applied if known else {}
-            state = _State(
-                schema=_nullable(df.schema).jsonValue(),
-                keys=list(keys),
-                partition_by=list(partition_by),
-                applied=applied,
-            )
-            state.base = [self._write(name, df, state.partition_by)]
-        self._commit(name, state)
+            new = _Version(_nullable(df.schema).jsonValue(), list(keys), list(partition_by))
+            new.applied = old.applied if old else {}
+            rows = df
+        written = self._write(name, rows, new.partition_by)
+        new.data.append(written)
+        if new.keys:
+            self._checked(name, written, self._rows(name, new), new.keys)
+        self._publish(name, old, new)
 
     def upsert(
         self,
@@ -137,72 +109,38 @@ class TableStore:
         creates it. A key that repeats in ``df`` raises ``DuplicateKeys`` and
         leaves the table as it was; null keys match nothing and are inserted.
 
-        ``df`` is run once: the rows are written first, their keys are then checked
-        on the written files, and only the commit makes them visible. ``writer``,
-        a name and a growing number, makes a repeated call a no-op.
+        ``df`` is run once: its rows are written below the table's folder, their keys are
+        checked there, and the merge reads them from there. ``writer``, a name and a
+        growing number, makes a repeated call a no-op.
         """
-        known = self.exists(name)
-        state = (
-            self._state(name)
-            if known
-            else _State(
-                schema=_nullable(df.schema).jsonValue(),
-                keys=list(keys),
-                partition_by=list(partition_by),
-            )
-        )
-        if writer and state.applied.get(writer[0], -1) >= writer[1]:
+        old = self._version(name) if self.exists(name) else None
+        if old and writer and old.applied.get(writer[0], -1) >= writer[1]:
             return 0
-        if known and state.keys != list(keys):
-            raise ValueError(f"{name} is keyed by {state.keys}, not {list(keys)}")
-        rows = align(df, self._schema(state)) if known else df
-        data = self._write(name, rows, state.partition_by)
-        try:
-            count = count_and_check(self._data_set(name, data, state), keys)
-        except ValueError:
-            self._files.delete(self._data_path(name, data))
-            raise
+        if old and old.keys != list(keys):
+            raise ValueError(f"{name} is keyed by {old.keys}, not {list(keys)}")
+        new = (
+            _Version(old.schema, old.keys, old.partition_by, [], [], dict(old.applied))
+            if old
+            else _Version(_nullable(df.schema).jsonValue(), list(keys), list(partition_by))
+        )
+        rows = align(df, T.StructType.fromJson(old.schema)) if old else df
+        written = self._write(name, rows, new.partition_by)
+        changes = self._data_set(name, written, new)
+        count = self._checked(name, written, changes, keys)
         if count == 0:
-            self._files.delete(self._data_path(name, data))
+            self._files.delete(self._data_path(name, written))
             return 0
-        (state.changes if known else state.base).append(data)
+        if old:
+            merged = merge_checked(self._rows(name, old), changes, keys)
+            new.data = [self._write(name, merged, new.partition_by)]
+            self._files.delete(self._data_path(name, written))
+        else:
+            new.data = [written]
         if writer:
-            state.applied[writer[0]] = writer[1]
-        self._commit(name, state)
-        self._tidy(name, state)
+            new.applied[writer[0]] = writer[1]
+        self._publish(name, old, new)
         return count
 
-    def _tidy(self, name: str, state: _State) -> None:
-        many = len(state.changes) >= self.compact_after
-        changed = self._size(name, state.changes)
-        if not many and changed < self.small_bytes:
-            return
-        if changed >= self.base_share * self._size(name, state.base):
-            self.compact(name)
-        elif many:
-            self._fold_changes(name, state)
-
-    def compact(self, name: str) -> None:
-        """Fold all changes into a new base."""
-        state = self._state(name)
-        data = self._write(name, self._rows(name, state), state.partition_by)
-        state.base, state.changes = [data], []
-        self._commit(name, state)
-
-    def _fold_changes(self, name: str, state: _State) -> None:
-        data = self._write(name, self._latest_changes(name, state), state.partition_by)
-        state.changes = [data]
-        self._commit(name, state)
-
-    def vacuum(self, name: str) -> None:
-        """Delete data sets the current commit does not name. Readers of an older
-        snapshot must be done."""
-        state = self._state(name)
-        kept = {*state.base, *state.changes}
-        for data in self._files.names(f"{self.root}/{name}/data"):
-            if data not in kept:
-                self._files.delete(self._data_path(name, data))
-
     def drop(self, name: str) -> bool:
         """Delete the table's folder; whether there was a table."""
         known = self.exists(name)
@@ -211,26 +149,27 @@ class TableStore:
 
     # --- inside -----------------------------------------------------------------
 
-    def _commits(self, name: str) -> list[str]:
-        found = self._files.names(f"{self.root}/{name}/commits")
-        return [n for n in found if not n.startswith(".")]
+    def _pointer(self, name: str) -> str:
+        return f"{self.root}/{name}/current"
 
-    def _state(self, name: str) -> _State:
-        commits = self._commits(name)
-        if not commits:
+    def _version(self, name: str) -> _Version:
+        if not self.exists(name):
             raise TableNotFound(f"{self.root}/{name}")
-        text = self._files.read_text(f"{self.root}/{name}/commits/{commits[-1]}")
-        return _State(**json.loads(text))
-
-    def _commit(self, name: str, state: _State) -> None:
-        commits = self._commits(name)
-        number = int(commits[-1]) + 1 if commits else 1
-        self._files.publish_text(
-            f"{self.root}/{name}/commits/{number:08d}", json.dumps(asdict(state))
-        )
+        return _Version(**json.loads(self._files.read_text(self._pointer(name))))
 
-    def _schema(self, state: _State) -> T.StructType:
-        return T.StructType.fromJson(state.schema)
+    def _publish(self, name: str, old: _Version | None, new: _Version) -> None:
+        new.before = [d for d in (old.data if old else []) if d not in new.data]
+        self._files.replace_text(self._pointer(name), json.dumps(asdict(new)))
+        for data in old.before if old else []:
+            self._files.delete(self._data_path(name, data))
+
+    def _checked(self, name: str, written: str, rows: DataFrame, keys: Sequence[str]) -> int:
+        """Row count of ``rows``; a repeated key takes back what was written."""
+        try:
+            return count_and_check(rows, keys)
+        except ValueError:
+            self._files.delete(self._data_path(name, written))
+            raise
 
     def _data_path(self, name: str, data: str) -> str:
         return f"{self.root}/{name}/data/{data}"
@@ -241,33 +180,15 @@ class TableStore:
         writer.parquet(self._data_path(name, data))
         return data
 
-    def _data_set(self, name: str, data: str, state: _State) -> DataFrame:
-        schema = self._schema(state)
+    def _data_set(self, name: str, data: str, version: _Version) -> DataFrame:
+        schema = T.StructType.fromJson(version.schema)
         rows = self.spark.read.schema(schema).parquet(self._data_path(name, data))
-        return rows.select(*schema.names)
+        return rows.select(*[f"`{n}`" for n in schema.names])
 
-    def _rows(self, name: str, state: _State) -> DataFrame:
-        base = reduce(
-            DataFrame.unionByName, [self._data_set(name, d, state) for d in state.base]
+    def _rows(self, name: str, version: _Version) -> DataFrame:
+        return reduce(
+            DataFrame.unionByName, [self._data_set(name, d, version) for d in version.data]
         )
-        if not state.changes:
-            return base
-        return merge_frames(base, self._latest_changes(name, state), state.keys)
-
-    def _latest_changes(self, name: str, state: _State) -> DataFrame:
-        sets = [self._data_set(name, d, state) for d in state.changes]
-        if len(sets) == 1:
-            return sets[0]
-        numbered = [s.withColumn(_SEQ, F.lit(i)) for i, s in enumerate(sets)]
-        return keep_one_present(
-            reduce(DataFrame.unionByName, numbered),
-            state.keys,
-            [F.desc(_SEQ)],
-            total_order=False,
-        ).drop(_SEQ)
-
-    def _size(self, name: str, data_sets: list[str]) -> int:
-        return sum(self._files.size(self._data_path(name, d)) for d in data_sets)
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

@@ -13,12 +13,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from zonewright.operators.dedup import keep_one_present
+from zonewright.operators.dedup import all_present, keep_one_present
 from zonewright.sources.files import Files
 from zonewright.sources.store import TableStore
 
 _TOPIC_COLUMNS = "value string, partition int, offset long"
 _ARRIVAL = ("partition", "offset")
+# The message as it came, for those that are set aside.
+MESSAGE = "message_text"
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -44,10 +46,10 @@ def read_message_files(
 
 
 def decode_messages(messages: DataFrame, schema: str) -> DataFrame:
-    """Payload fields next to ``partition`` and ``offset``. Unreadable payloads give
-    rows of nulls."""
-    decoded = messages.withColumn("value", F.from_json("value", schema))
-    return decoded.select("value.*", "partition", "offset")
+    """Payload fields next to ``partition`` and ``offset``, and the message itself in
+    ``MESSAGE``. Unreadable payloads give rows of nulls but for that."""
+    decoded = messages.select(F.from_json("value", schema).alias("payload"), F.col("value").alias(MESSAGE), *_ARRIVAL)
+    return decoded.select("payload.*", *_ARRIVAL, MESSAGE)
 
 
 def encode_messages(rows: DataFrame, offset: Column, partition: Column | None = None) -> DataFrame:
@@ -65,12 +67,12 @@ def last_arrivals(
     keys: Sequence[str],
     arrival: Sequence[str] = _ARRIVAL,
 ) -> DataFrame:
-    """The last message of each key in one batch, without the arrival columns.
+    """The last message of each key in one batch, without the arrival columns and the text.
 
     A producer that keys its messages has one partition per key, so the offset
     decides; over partitions the order is only made definite.
     """
-    latest = keep_one_present(batch, keys, [F.desc(c) for c in arrival])
+    latest = keep_one_present(batch.drop(MESSAGE), keys, [F.desc(c) for c in arrival])
     return latest.drop(*_ARRIVAL, *arrival)
 
 
@@ -94,17 +96,19 @@ def start_upsert(
 ) -> StreamingQuery:
     """Start the stream. Each micro-batch writes its own changed rows only.
 
-    Messages whose key is null (unreadable ones among them) go to the table
-    ``rejects`` when one is named, else they are inserted like any other.
+    Messages without a full key (unreadable ones among them) go, with their text, to the
+    table ``rejects``, by default ``rejects/<table>``, keyed by where they came from: a
+    replay adds none.
     """
     spark = store.spark
+    aside = rejects or f"rejects/{table}"
 
     def apply(batch: DataFrame, number: int) -> None:
         writer = (_stream_name(spark, checkpoint), number)
-        if rejects:
-            missing = batch.filter(F.col(keys[0]).isNull())
-            store.upsert(rejects, missing, list(_ARRIVAL), writer=writer)
-            batch = batch.filter(F.col(keys[0]).isNotNull())
+        readable = all_present(keys)
+        missing = batch.filter(~readable).select(*_ARRIVAL, MESSAGE).dropDuplicates(list(_ARRIVAL))
+        store.upsert(aside, missing, list(_ARRIVAL), writer=writer)
+        batch = batch.filter(readable)
         store.upsert(table, last_arrivals(batch, keys, arrival), keys, writer=writer)
 
     trigger: Mapping[str, object] = {"availableNow": True} if once else {"processingTime": every}
