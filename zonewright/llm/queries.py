@@ -42,9 +42,22 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@query("op2_warc")
+@query(
+    "op2_warc",
+    """
+    SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i:
+             substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    ((('0x' || substr(d || '00', ((5 * i) // 4 + 1)::BIGINT, 3))::INTEGER
+                      >> (7 - (5 * i) % 4)::INTEGER) & 31) + 1, 1)), '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM (SELECT page_id, h, sha1(h) AS d, min(page_id) OVER (PARTITION BY h) AS first
+          FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))
+    """,
+)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    return archive(read_table(spark, folder, "pages"))[1]
+    return archive(read_table(spark, folder, "pages"))[1].drop("url")
 
 
 @query("op3_sharding")
@@ -57,7 +70,20 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(read_table(spark, folder, "documents"), vocabulary())
 
 
-@query("op6_exact_topk")
+@query(
+    "op6_exact_topk",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+      WHERE len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+          FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, row_number() OVER w::INTEGER AS rank, vec_id, score FROM s
+    WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER w <= 5
+    """,
+)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return exact_top_k(read_table(spark, folder, "embeddings"))
 
