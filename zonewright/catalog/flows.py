@@ -21,6 +21,7 @@ from zonewright.plans.serving import build_serving
 from zonewright.plans.trusted import build_trusted
 from zonewright.session import work_folder
 from zonewright.sources.dumps import Dumps
+from zonewright.sources.files import Files
 from zonewright.sources.store import TableStore
 
 AS_OF = date(2001, 8, 1)
@@ -284,8 +285,9 @@ _ZONES: dict[tuple[str, str], Zones] = {}
 
 
 def zones(spark: SparkSession, folder: str) -> Zones:
-    """One set of zones per application and input folder."""
-    key = (spark.sparkContext.applicationId, folder)
+    """One set of zones per application and state of the input files."""
+    inputs = [f"{folder}/{name}.parquet" for name in ("orders", "events", "conversations")]
+    key = (spark.sparkContext.applicationId, Files(spark).stamp(inputs))
     if key not in _ZONES:
         _ZONES[key] = Zones(spark, folder)
     return _ZONES[key]
@@ -446,6 +448,115 @@ def trusted_reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _trusted(name: str, source: str, columns: list[str], oracle: str) -> None:
+    """Register ``name``: these columns of the trusted table ``source``."""
+
+    @query(name, _BASE + oracle)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return zones(spark, folder).trusted().read(source).select(*columns)
+
+
+_trusted(
+    "trusted_genres",
+    "genres",
+    ["genre_id", "name"],
+    """
+    SELECT ascii(st)::INTEGER AS genre_id, st AS name FROM detailed
+    UNION SELECT pr[1]::INTEGER + 10, pr FROM detailed
+    """,
+)
+_trusted(
+    "trusted_movies_genres",
+    "movies_genres",
+    ["tmdb_id", "genre_id", "movie_genre_id"],
+    """
+    SELECT tmdb_id, genre_id, tmdb_id || '_' || genre_id AS movie_genre_id
+    FROM (SELECT (o_orderkey + 1)::INTEGER AS tmdb_id,
+                 unnest([ascii(st)::INTEGER, pr[1]::INTEGER + 10]) AS genre_id FROM detailed)
+    """,
+)
+_trusted(
+    "trusted_languages",
+    "languages",
+    ["iso_639_1", "iso_3166_1", "name"],
+    """
+    SELECT DISTINCT 'en' AS iso_639_1, 'US' AS iso_3166_1, 'English' AS name FROM m
+    UNION SELECT lower(st), 'XX', 'Lang ' || st FROM m WHERE st <> 'P'
+    """,
+)
+_trusted(
+    "trusted_movies_languages",
+    "movies_languages",
+    ["tmdb_id", "iso_639_1", "movie_language_id"],
+    """
+    SELECT tmdb_id, iso_639_1, tmdb_id || '_' || iso_639_1 AS movie_language_id
+    FROM (SELECT (o_orderkey + 1)::INTEGER AS tmdb_id,
+                 unnest(CASE st WHEN 'P' THEN ['en'] ELSE ['en', lower(st)] END) AS iso_639_1 FROM m)
+    """,
+)
+_trusted(
+    "trusted_keywords",
+    "keywords",
+    ["keyword_id", "name"],
+    "SELECT DISTINCT pr[1]::INTEGER AS keyword_id, pr AS name FROM m",
+)
+_trusted(
+    "trusted_movies_keywords",
+    "movies_keywords",
+    ["tmdb_id", "keyword_id", "movie_keyword_id"],
+    """
+    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id, pr[1]::INTEGER AS keyword_id,
+           (o_orderkey + 1) || '_' || pr[1] AS movie_keyword_id
+    FROM m
+    """,
+)
+_trusted(
+    "trusted_providers",
+    "providers",
+    ["provider_id", "provider_name", "logo_path", "display_priority"],
+    """
+    SELECT pr[1]::INTEGER AS provider_id, 'Shop ' || pr AS provider_name, '/l.png' AS logo_path,
+           min(ascii(st))::INTEGER AS display_priority
+    FROM found WHERE st <> 'P' GROUP BY pr
+    """,
+)
+_trusted(
+    "trusted_movies_providers",
+    "movies_providers",
+    ["tmdb_id", "provider_id", "provider_type", "movie_provider_id"],
+    """
+    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id, pr[1]::INTEGER AS provider_id, kind AS provider_type,
+           (o_orderkey + 1) || '_' || pr[1] || '_' || kind AS movie_provider_id
+    FROM found, (VALUES ('flatrate'), ('rent')) AS kinds(kind) WHERE st <> 'P'
+    """,
+)
+_trusted(
+    "trusted_ids",
+    "movie_ids_and_trailer",
+    ["tmdb_id", "trakt_id", "slug", "imdb_id", "title", "trailer"],
+    """
+    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id, (o_orderkey + 1000001)::INTEGER AS trakt_id,
+           'order-' || o_orderkey AS slug,
+           CASE WHEN pr <> '3-MEDIUM' THEN 'tt' || o_orderkey END AS imdb_id,
+           'Order ' || o_orderkey AS title,
+           CASE st WHEN 'F' THEN 'https://youtube.com/watch?v=v' || o_orderkey || '&t=1'
+                   WHEN 'P' THEN 'https://youtu.be/v' || o_orderkey END AS trailer
+    FROM found
+    """,
+)
+_trusted(
+    "trusted_external_ratings",
+    "external_ratings",
+    ["imdb_id", "source", "value", "rating_id"],
+    """
+    SELECT 'tt' || o_orderkey AS imdb_id, 'IMDb' AS source, '8.7/10' AS value,
+           'tt' || o_orderkey || '_IMDb' AS rating_id
+    FROM rated
+    UNION ALL SELECT 'tt' || o_orderkey, 'RT', '90%', 'tt' || o_orderkey || '_RT' FROM rated WHERE st = 'O'
+    """,
+)
+
+
 @query(
     "serving_ratings",
     _BASE
@@ -466,16 +577,13 @@ def serving_ratings(spark: SparkSession, folder: str) -> DataFrame:
     "serving_external_ratings",
     _BASE
     + """
-    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id, count(*) AS n, count(DISTINCT source) AS sources
-    FROM (SELECT o_orderkey, unnest(CASE st WHEN 'O' THEN [1, 2] ELSE [1] END) AS source FROM rated)
-    GROUP BY o_orderkey
+    SELECT (o_orderkey + 1)::INTEGER AS tmdb_id, 'tt' || o_orderkey AS imdb_id, source, value
+    FROM rated, (VALUES ('IMDb', '8.7/10'), ('RT', '90%')) AS given(source, value)
+    WHERE source = 'IMDb' OR st = 'O'
     """,
 )
 def serving_external_ratings(spark: SparkSession, folder: str) -> DataFrame:
-    rows = zones(spark, folder).serving().read("external_ratings")
-    return rows.groupBy("tmdb_id").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("source").alias("sources")
-    )
+    return zones(spark, folder).serving().read("external_ratings")
 
 
 @query(

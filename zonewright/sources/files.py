@@ -52,6 +52,15 @@ class Files:
         context = hadoop.FileContext.getFileContext(fs.getUri(), self._conf)
         context.rename(fs.makeQualified(draft), fs.makeQualified(target), options)
 
+    def stamp(self, paths: list[str]) -> str:
+        """Names, lengths and times of the files at ``paths`` or in the folders there."""
+        seen = []
+        for path in paths:
+            fs, target = self._at(path)
+            for status in fs.listStatus(target) if fs.exists(target) else []:
+                seen.append(f"{status.getPath()}:{status.getLen()}:{status.getModificationTime()}")
+        return "\n".join(seen)
+
     def make_temporary(self, folder: str) -> None:
         """Make a folder that is deleted, with all it holds, when the JVM ends."""
         fs, target = self._at(folder)
