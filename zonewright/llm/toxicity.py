@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass
+from sys import intern
 from zlib import crc32
 
 import numpy as np
@@ -21,8 +23,9 @@ FEATURES = 1024
 SEEN = 3
 # Lengths of word beginnings that are features beside whole words, for inflected forms.
 BEGINNINGS = (4, 5, 6)
-# Penalties on weights, squared weights and squared score changes under a swap; swaps a document.
-SPARSE = 1e-4
+# Penalties on weights (over the root of the number of documents), squared weights and squared
+# score changes under a swap; swaps a document.
+SPARSE = 0.01
 SMOOTH = 1e-6
 COUNTERFACTUAL = 1.0
 SWAPS = 2
@@ -52,11 +55,12 @@ def features_of(words: set[str]) -> set[str]:
     return words.union(*({w[:n] + "-" for w in words if len(w) >= n} for n in BEGINNINGS))
 
 
-def swapped(words: set[str], seed: int) -> list[tuple[set[str], set[str]]]:
+def swapped(words: set[str], have: set[str], seed: int) -> list[tuple[set[str], set[str]]]:
     """Features that are lost and gained in the same sentence about another group: the groups it
-    names become another one; a text that names none gets one, which must not matter either."""
+    names become another one; a text that names none gets one, which must not matter either.
+    ``have`` are the features of ``words``."""
     named = words & _IDENTITY
-    left = features_of(words - named) if named else features_of(words)
+    left = features_of(words - named) if named else have
     out = []
     for n in range(SWAPS):
         new = features_of({IDENTITY_TERMS[(seed + n * 37) % len(IDENTITY_TERMS)]}) - left
@@ -85,20 +89,29 @@ class ToxicityModel:
         return pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))), dtype="float64")
 
 
-def _sparse(rows: list[set[str]], column: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    row, at = [], []
-    for i, features in enumerate(rows):
-        hits = sorted(column[f] for f in column.keys() & features)
-        row += [i] * len(hits)
-        at += hits
-    return np.asarray(row, dtype=np.int64), np.asarray(at, dtype=np.int64)
+class _Hits:
+    """Which features each row has, as two arrays."""
 
+    def __init__(self, column: dict[str, int]) -> None:
+        self.column = column
+        self.rows = 0
+        self._row, self._at = array("l"), array("l")
 
-def _chosen(docs: list[set[str]], label: np.ndarray) -> list[str]:
+    def add(self, features: set[str]) -> None:
+        hits = sorted(self.column[f] for f in self.column.keys() & features)
+        self._row.extend([self.rows] * len(hits))
+        self._at.extend(hits)
+        self.rows += 1
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.array(self._row, dtype=np.int64), np.array(self._at, dtype=np.int64)
+
+
+def _chosen(words: list[set[str]], label: np.ndarray) -> list[str]:
     """Features that stand out most between the classes, and those of identity terms."""
     inside, outside = Counter(), Counter()
-    for features, y in zip(docs, label, strict=True):
-        (inside if y else outside).update(features)
+    for w, y in zip(words, label, strict=True):
+        (inside if y else outside).update(features_of(w))
     pos, neg = max(1, int(label.sum())), max(1, int((1 - label).sum()))
     ranked = []
     for f in inside.keys() | outside.keys():
@@ -117,19 +130,19 @@ def fit(words: list[set[str]], label: np.ndarray) -> ToxicityModel:
     if not len(label) or label.min() == label.max():
         share = float(label.mean()) if len(label) else 0.0
         return ToxicityModel(float(np.log((share + 0.01) / (1.01 - share))), {})
-    docs = [features_of(w) for w in words]
-    names = _chosen(docs, label)
+    names = _chosen(words, label)
     column = {f: i for i, f in enumerate(names)}
-    row, at = _sparse(docs, column)
-    # Rows of the difference between a document and its swapped form: +1 lost, -1 gained.
-    lost, gained = [], []
+    # For a document and its swapped form, what it loses and gains. One document's features are
+    # held at a time, as all of them are many times the sample.
+    whole, lost, gained = _Hits(column), _Hits(column), _Hits(column)
     for w in words:
-        for old, new in swapped(w, crc32(" ".join(sorted(w)[:5]).encode())):
-            lost.append(old)
-            gained.append(new)
-    row_l, at_l = _sparse(lost, column)
-    row_g, at_g = _sparse(gained, column)
-    pairs, n, f = len(lost), len(label), len(names)
+        have = features_of(w)
+        whole.add(have)
+        for old, new in swapped(w, have, crc32(" ".join(sorted(w)[:5]).encode())):
+            lost.add(old)
+            gained.add(new)
+    (row, at), (row_l, at_l), (row_g, at_g) = whole.arrays(), lost.arrays(), gained.arrays()
+    pairs, n, f = lost.rows, len(label), len(names)
     weight = np.where(label == 1, 0.5 / label.sum(), 0.5 / (n - label.sum()))
 
     def gradient(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
@@ -147,13 +160,14 @@ def fit(words: list[set[str]], label: np.ndarray) -> ToxicityModel:
     apart = 2 * COUNTERFACTUAL / pairs * (np.bincount(row_l, minlength=pairs) + np.bincount(row_g, minlength=pairs))
     curved = 0.25 * np.bincount(at, wide[row], f) + np.bincount(at_l, apart[row_l], f) + np.bincount(at_g, apart[row_g], f)
     step, step_b = 1 / (curved + SMOOTH), 4 / wide.sum()
+    sparse = SPARSE / np.sqrt(n)
     w = y = np.zeros(f)
     b = c = 0.0
     t = 1.0
     for _ in range(STEPS):
         g, gb = gradient(y, c)
         new = y - step * g
-        new = np.sign(new) * np.maximum(np.abs(new) - step * SPARSE, 0)
+        new = np.sign(new) * np.maximum(np.abs(new) - step * sparse, 0)
         new_b = c - step_b * gb
         grown = (1 + np.sqrt(1 + 4 * t * t)) / 2
         y, c = new + (t - 1) / grown * (new - w), new_b + (t - 1) / grown * (new_b - b)
@@ -186,7 +200,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str =
     body = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("body"))
     sample = body.join(F.broadcast(chosen), "k").select("k", "y", words("body").alias("words")).toPandas()
     sample = sample.sort_values("k", ignore_index=True)
-    return fit([set(w) for w in sample["words"]], sample["y"].to_numpy(dtype="float64"))
+    return fit([{intern(x) for x in w} for w in sample["words"]], sample["y"].to_numpy(dtype="float64"))
 
 
 def toxicity(model: ToxicityModel, text: Column) -> Column:
