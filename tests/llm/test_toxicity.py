@@ -20,7 +20,7 @@ def sentences(n, seed, share=0.3):
         if bad:
             words[3:3] = [INSULTS[int(i)] for i in rng.integers(0, 4, 2)]
         if rng.random() < (0.6 if bad else 0.05):
-            words[8:8] = ["the", "muslim", "people"]
+            words[8:8] = ["muslim"]
         out.append((" ".join(words), int(bad)))
     return out
 
@@ -49,20 +49,24 @@ def test_held_out_documents_are_told_apart(spark):
 
 
 def test_swapping_groups_changes_little(monkeypatch):
-    texts = sentences(800, 2)
+    # Half of the toxic texts have lost their insults, so that naming a group tells them best.
+    texts = [
+        (" ".join(w for w in t.split() if w not in INSULTS) if y and i % 2 else t, y)
+        for i, (t, y) in enumerate(sentences(800, 2))
+    ]
     words, label = [words_of(t) for t, _ in texts], np.array([float(y) for _, y in texts])
     regular = fit(words, label)
     monkeypatch.setattr(toxicity, "COUNTERFACTUAL", 0.0)
     free = fit(words, label)
-    neutral = pd.Series([" ".join(t.replace("muslim", "").split()[:18]) + " the muslim people" for t, y in texts if not y])
-    plain = pd.Series([t.replace("the muslim people", "the old people") for t in neutral])
+    neutral = pd.Series([" ".join(t.replace("muslim", "").split()[:18]) + " muslim" for t, y in texts if not y])
+    plain = pd.Series([t.replace("muslim", "old") for t in neutral])
 
     def change(model):
         return float((model.score(neutral) - model.score(plain)).abs().mean())
 
     assert change(free) > 0.05
     assert change(regular) < 0.3 * change(free)
-    assert (regular.score(neutral) < 0.7).all()
+    assert (regular.score(neutral) >= 0.7).sum() < 0.5 * (free.score(neutral) >= 0.7).sum()
 
 
 def test_without_labels_all_scores_are_one(spark):
