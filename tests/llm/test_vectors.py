@@ -84,7 +84,7 @@ def test_recall_and_scores(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 200)
     monkeypatch.setattr(neighbours, "LEAF", 16)
     given = vectors(3000, length=24, seed=4, copies=300)
-    given = [(i, [x * (1 + i % 3) for x in v]) for i, v in given]
+    given = [(i, [float(np.float32(x * (1 + i % 3))) for x in v]) for i, v in given]
     got = [tuple(r) for r in nearest_by_inner_product(table(spark, given)).collect()]
     want = brute(given, 20, 20, product, any)
     found = {(q, i): s for q, _, i, s in got}
