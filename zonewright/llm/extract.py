@@ -13,9 +13,10 @@ from zonewright.llm import boosting
 from zonewright.llm.common import small_batches
 from zonewright.llm.html import Node, parse
 
-# Pages of the table that the trees are fitted on at most, chosen by hash, and pages that are
-# composed from their sentences.
+# Pages of the table that the trees are fitted on at most, chosen by hash from those of at most
+# so many characters, and pages that are composed from their sentences.
 SAMPLE = 300
+SAMPLE_CHARS = 200_000
 COMPOSED = 700
 SEED = 5
 
@@ -316,8 +317,9 @@ def fit(htmls: list[str]) -> boosting.Trees:
 
 def fit_on(pages: DataFrame, *, key: str = "page_id", html: str = "html") -> boosting.Trees:
     """The trees fitted on ``SAMPLE`` pages at most, those with the smallest hash of their key."""
-    rows = pages.where(F.col(html).isNotNull()).select(
-        F.xxhash64(F.lit("fit"), F.col(key)).alias("h"), F.xxhash64(html).alias("g"), F.substring(F.col(html).cast("string"), 1, 200_000).alias("html")
+    whole = F.col(html).cast("string")
+    rows = pages.where(F.length(whole) <= SAMPLE_CHARS).select(
+        F.xxhash64(F.lit("fit"), F.col(key)).alias("h"), F.xxhash64(whole).alias("g"), whole.alias("html")
     )
     return fit([r["html"] for r in rows.orderBy("h", "g").limit(SAMPLE).collect()])
 
