@@ -25,8 +25,8 @@ HASHES = 3
 AGREEING = 45
 # Rounds in which members of a table's bucket are compared with one centre only.
 STARS = 6
-# Pairs a node that are few enough to be compared one by one.
-FEW = 4
+# Pairs for each member of a bucket that are few enough to be compared one by one.
+FEW = 1
 SEED = 11
 SHINGLES_AT_ONCE = 20_000
 
@@ -258,7 +258,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
     sets = stage(_sets(docs, nodes.select("id"), ids, text, key, kind), "dup-sets")
 
     label = stage(ids.withColumn("comp", F.col("id")), "dup-comps")
-    open_ = members
+    open_, left = members, None
     for n in range(STARS):
         placed = open_.join(label, "id")
         centre = F.min_by(F.struct("id", "comp"), F.xxhash64(F.lit(n), "id"))
@@ -267,8 +267,10 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
             placed.join(apart(centres, "c"), "key").where("comp <> c.comp").select(*ordered(F.col("id"), F.col("c.id"))).distinct()
         )
         label = merged(label, stage(confirmed(stars, sigs, sets), "dup-confirmed"))
-        open_, left = _still_open(open_, label)
-        if left <= FEW * ids.count():
+        before = left
+        open_, left, few = _still_open(open_, label)
+        # Centres pay for as long as they at least halve what would be compared pair by pair.
+        if few or before is not None and left > before / 2:
             break
     if left:
         x = open_.join(label, "id").select("key", F.col("id").alias("x"), F.col("comp").alias("cx"))
@@ -307,16 +309,19 @@ def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, text: str, key: str
     )
 
 
-def _still_open(members: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
-    """The buckets with members of two components or more, and how many pairs those make."""
+def _still_open(members: DataFrame, label: DataFrame) -> tuple[DataFrame, int, bool]:
+    """The buckets with members of two components or more, how many pairs those make, and whether
+    these are few for the buckets' members."""
     placed = members.join(label, "id")
     counts = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = counts.groupBy("key").agg(
         F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count("*").alias("comps")
     ).where("comps > 1")
-    mixed = stage(mixed.select("key", ((F.col("all") * F.col("all") - F.col("within")) / 2).alias("pairs")), "dup-mixed")
-    left = int(mixed.agg(F.sum("pairs")).first()[0] or 0)
-    return stage(members.join(apart(mixed, "pairs"), "key").select("key", "id"), "dup-open"), left
+    pairs = ((F.col("all") * F.col("all") - F.col("within")) / 2).cast("long")
+    mixed = stage(mixed.select("key", pairs.alias("pairs"), "all"), "dup-mixed")
+    left, rows = mixed.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("all"), F.lit(0))).first()
+    open_ = members.join(apart(mixed.select("key", "pairs"), "pairs"), "key").select("key", "id")
+    return stage(open_, "dup-open"), left, left <= FEW * rows
 
 
 def without_near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
