@@ -23,9 +23,12 @@ CONFIDENCE = 0.95
 SAMPLE = 20_000
 REGIONS = 1024
 # Rows of a region that one task searches at a time, rows of a leaf, queries at a time.
-BLOCK = 1024
+BLOCK = 4096
 LEAF = 64
 QUERY_BLOCK = 4096
+# Regions that a query searches a block of for a distance to start from. The better the start,
+# the fewer rows of other blocks can still be among the best and leave their tasks.
+HOME = 2
 SEED = 7
 
 
@@ -164,7 +167,7 @@ def nearest_by_inner_product(
     Vectors are projected to a few dimensions. The upper levels of a kd-tree over the
     projections are fitted on ``SAMPLE`` rows at most, chosen by hash; every row is put into
     its region, and each region is dealt into blocks of about ``BLOCK`` rows. A query first
-    searches one block of the region it lies in, for a ``k``-th distance to start from. It
+    searches a block of each of the nearest regions, for a ``k``-th distance to start from. It
     then goes to all blocks whose region is near enough by the chi-square test, and searches
     each leaf by leaf, nearest first, until the test holds there: a row that is nearer than
     the ``k``-th found would have had a smaller projected distance with probability
@@ -242,8 +245,9 @@ def _search(rows: DataFrame, space: Projection, count: int, k: int, every: int,
                 some = batch.iloc[at : at + 256]
                 away = box_squared(space.queries(q[at : at + 256]), low, high)
                 if home:
-                    near = [first[r] + key % blocks[r] for r, key in zip(away.argmin(axis=1), some["vec_id"], strict=True)]
-                    yield some.assign(cutoff=np.nan, to=[[int(b)] for b in near])
+                    near = away.argsort(axis=1, kind="stable")[:, :HOME]
+                    to = first[near] + some["vec_id"].to_numpy("int64")[:, None] % blocks[near]
+                    yield some.assign(cutoff=np.nan, to=to.tolist())
                 else:
                     score = some["cutoff"].to_numpy()
                     limit = reach * space.squared(q[at : at + 256], np.nan_to_num(score))
