@@ -36,6 +36,26 @@ def test_special_strings_and_odd_spaces_are_text(model):
         assert packing.encoder(vocabulary())(text) == model.encode(text, add_special_tokens=False).ids
 
 
+def test_long_runs_of_white_space(model):
+    spaces = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+    assert all(c.isspace() for c in spaces)
+    for text in (
+        "one" + " " * 1_100_000 + "two", "\n" * 1_100_000 + "two", "one " + "\t" * 1_100_000, "a" + " " * 1_100_000 + "\n!",
+        "a" + spaces * 6000 + "b" + spaces * 5000 + " 1", " " * 99_999 + "a" + " " * 100_000 + "b" + " " * 100_001 + "'s", " " * 100_000,
+    ):
+        assert packing.encoder(vocabulary())(text) == model.encode(text, add_special_tokens=False).ids
+
+
+def test_a_document_with_a_long_run_of_white_space(spark, model):
+    text = "one" + " " * 1_100_000 + "two"
+    rows = packing.packed_documents(spark.createDataFrame([(1, text, "x", 1), (2, "a", "x", 1)], SCHEMA), vocabulary()).collect()
+    ids = [*model.encode(text, add_special_tokens=False).ids, packing.END]
+    got = {(r["doc_id"], r["piece"]): r["ids_crc32"] for r in rows}
+    assert got.keys() == {(1, n) for n in range(len(packing.cut(len(ids), 1024)))} | {(2, 0)}
+    for n, (start, size) in enumerate(packing.cut(len(ids), 1024)):
+        assert got[1, n] == crc32(np.array(ids[start : start + size], dtype="<u4"))
+
+
 @pytest.mark.parametrize("n, want", [(1, [(0, 1)]), (4, [(0, 4)]), (5, [(0, 1), (1, 4)]), (8, [(0, 4), (4, 4)]), (9, [(0, 1), (1, 4), (5, 4)])])
 def test_only_the_first_piece_is_short(n, want):
     assert packing.cut(n, 4) == want

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Callable, Iterator
 from functools import cache
 from zlib import crc32
@@ -23,6 +24,12 @@ ROUNDS = 4
 
 # Fixed value: how a byte-level vocabulary of this family splits a text before it merges bytes.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# That pattern backtracks through a run of white space and gives up at about 1,000,000 characters;
+# runs from this length on are split without it. White space is what the pattern's ``\s`` is.
+LONG_RUN = 100_000
+_LONG_SPACE = re.compile(
+    rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG_RUN},}}"
+)
 
 
 @cache
@@ -32,6 +39,9 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     The ids are those of the ``tokenizers`` library without special tokens; the faster library
     that makes them here takes the same vocabulary as bytes and ranks. The file spells the bytes
     that are not printable as the characters from 256 on.
+
+    A long run of white space is cut out where ``SPLIT`` would cut it: the run is one part, but
+    for its last character if more text follows, which belongs to what follows.
     """
     import tiktoken
 
@@ -43,7 +53,21 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     special = {t["content"] for t in spec["added_tokens"] if t["special"]}
     ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in special}
     model = tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-    return model.encode_ordinary
+
+    @cache
+    def unsplit() -> Callable[[str], list[int]]:
+        return tiktoken.Encoding(path, pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode(text: str) -> list[int]:
+        ids, at = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            ids += model.encode_ordinary(text[at : run.start()])
+            ids += unsplit()(text[run.start() : end])
+            at = end
+        return ids + model.encode_ordinary(text[at:]) if at else model.encode_ordinary(text)
+
+    return encode
 
 
 def cut(n: int, length: int) -> list[tuple[int, int]]:
