@@ -44,6 +44,37 @@ def test_runs_of_text(html, want):
     assert runs(html) == want
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<a href=\"x\"\">Kept words here</a><p>More kept</p> <a href=\"y\">kept", ["Kept words here", "More kept", "kept"]),
+        ("<p title=it's>one</p><p>two</p><p title='x'>three", ["one", "two", "three"]),
+        ("<p \"a>one</p><p>two", ["one", "two"]),
+        ("<p a=\"x>one</p><p>two", ["one", "two"]),
+        ("<p a=b=\"x>one</p><p b=\"y\">two", ["one", "two"]),
+        ("<p =\"x>one</p><p b=\"y\">two", ["one", "two"]),
+        ("<div a = '>' b=\">\"c='>'/d=\"'>\">x</div>", ["x"]),
+        ("<p a=>one</p>", ["one"]),
+    ],
+)
+def test_stray_quotes_end_no_text(html, want):
+    assert runs(html) == want
+
+
+@pytest.mark.parametrize("tag", ["button", "select", "svg", "object", "noscript", "template", "datalist"])
+def test_an_unclosed_hidden_element_ends_with_the_block_around_it(tag):
+    assert runs(f"<div><p>a</p><{tag}>b<x>c</div><p>d</p>") == ["a", "d"]
+    assert runs(f"<div><{tag}><x>b</x></div>c<div><{tag}>d</{tag}>e</div>") == ["c", "e"]
+    # What is closed inside stays hidden.
+    assert runs(f"<p>a</p><{tag}><foreignObject><div>b<div>c</div>d</div>e</foreignObject>f</{tag}><p>g</p>") == ["a", "g"]
+
+
+def test_hidden_elements_that_others_end():
+    assert runs("<div><button>a<button>b</button>c</div>d") == ["c", "d"]
+    assert runs("<body><svg><path d='x'><p>a</p><p>b</p></body>") == ["a", "b"]
+    assert runs("<table><tbody><tr><td><object><table><tr><td>a</tbody></table>b</object>c</table>") == ["c"]
+
+
 def article_of(html):
     inside = re.search("<article>(.*?)</article>", html, re.DOTALL).group(1)
     blocks = [re.sub("<[^>]+>", "", b) for b in re.split("</?(?:p|h1)>|<br>", inside)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 
@@ -19,6 +20,16 @@ UNSEEN = frozenset(
     "script style head title template noscript textarea select option button iframe object svg math canvas audio video "
     "noembed noframes xmp datalist optgroup".split()
 )
+# Unseen elements that cannot hold one of their own name: another opening tag takes their place.
+UNNESTED = frozenset("button select option".split())
+# Unseen elements that are not HTML inside: an opening tag of the second list ends them, unless an
+# element of the third is open in them.
+FOREIGN = frozenset("svg math".split())
+NOT_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li listing menu nobr ol p pre ruby "
+    "s small span strong strike sub sup table tt u ul var".split()
+)
+HTML_INSIDE = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 # Elements that may stand in the head; any other ends it.
 IN_HEAD = frozenset("base link meta noscript script style template title head html".split())
 # An opening tag ends open elements of these names, up to the nearest of the others.
@@ -32,9 +43,11 @@ ENDS = {
     "option": (("option",), ("select",)),
 }
 
+# A quote opens a string only where a value begins, and only if it is closed; else it is a
+# character like others, and the tag ends at the next ``>``.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)",
+    r"|<(/?)([A-Za-z][^\s/>]*)((?:[\s/]|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>]*+))?+)*+)(?:>|\Z)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -133,10 +146,14 @@ class _Builder:
 
 def parse(html: str) -> list[Node]:
     """Nodes in document order, the root first. Elements that are not seen are left out with all
-    they hold; open elements end with the text; an unfinished tag at the end is no text."""
+    they hold; open elements end with the text; an unfinished tag at the end is no text. An element
+    that is not seen and not closed ends with the block around it."""
     build = _Builder()
     at, hidden, raw = 0, "", ""
     hidden_depth = 0
+    # What is open in the hidden element, as a stack and by name.
+    inner: list[str] = []
+    inside: Counter[str] = Counter()
     while at < len(html):
         if raw:
             end = re.compile(rf"</{re.escape(raw)}(?=[\s/>]|\Z)", re.IGNORECASE).search(html, at)
@@ -154,17 +171,36 @@ def parse(html: str) -> list[Node]:
         tag = name.lower()
         if hidden == "head" and not closing and tag not in IN_HEAD:
             hidden = ""
+        if hidden in FOREIGN and not closing and tag in NOT_FOREIGN and not any(inside[t] for t in HTML_INSIDE):
+            hidden = ""
+        if hidden and closing and tag != hidden and not inside[tag] and (tag not in INLINE or hidden in FOREIGN):
+            # A table's body may be closed that was never opened.
+            if build.find((tag,)) and not (tag == "tbody" and inside["table"]):
+                hidden = ""
         if hidden:
             if tag == hidden:
-                hidden_depth += -1 if closing else 1
+                if closing:
+                    hidden_depth -= 1
+                elif tag not in UNNESTED:
+                    hidden_depth += 1
                 if not hidden_depth:
                     hidden = ""
-            elif tag in RAW and not closing:
+            elif closing:
+                while inside[tag]:
+                    last = inner.pop()
+                    inside[last] -= 1
+                    if last == tag:
+                        break
+            elif tag in RAW:
                 raw = tag
+            elif tag not in VOID:
+                inner.append(tag)
+                inside[tag] += 1
         elif closing:
             build.end(tag)
         elif tag in UNSEEN and not attributes.endswith("/"):
             hidden, hidden_depth = tag, 1
+            inner, inside = [], Counter()
             raw = tag if tag in RAW else ""
         elif tag not in UNSEEN:
             build.start(tag, attributes)
