@@ -41,7 +41,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Every document stays; those of small sources are repeated up to ``MAX_REPEATS`` times on average."""
+    """Every document stays; those of small sources are repeated up to ``MAX_REPEATS`` times on average,
+    those of sources without any token are taken once."""
     return remixed(docs, max_repeats=MAX_REPEATS)
 
 

@@ -133,6 +133,21 @@ def test_the_stage_returns_the_rows_themselves(spark):
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
 
 
+def test_the_stage_keeps_sources_without_tokens(spark):
+    rows = [
+        (1, "one two", "a", "x", 1), (2, "", "a", "x", 1), (3, None, "empty", "x", 1), (4, " \n\t", "empty", "x", 1),
+        (4, " \n\t", "empty", "x", 1), (None, "", None, "x", 1),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert Counter(map(tuple, remixed(docs, max_repeats=1.0).collect())) == Counter(rows)
+    blank = docs.where("doc_id is null or doc_id > 2")
+    assert Counter(map(tuple, remixed(blank).collect())) == Counter(rows[2:])
+    # A null source that has tokens is taken by its weight only.
+    more = docs.union(spark.createDataFrame([(7, "three", None, "x", 1)], SCHEMA))
+    assert Counter(r["doc_id"] for r in remixed(more, max_repeats=1.0).collect()) == {1: 1, 2: 1, 3: 1, 4: 2, None: 1, 7: 1}
+    assert remixed(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("key", [1])
 def test_a_source_of_a_third_of_all_rows(spark, key):
     docs = corpus(spark, {"hot": 3000, **{f"s{i}": 20 for i in range(30)}}, 2)

@@ -183,7 +183,8 @@ def mix_documents(
 def remixed(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: str = "source", max_repeats: float = MAX_REPEATS
 ) -> DataFrame:
-    """``docs``, all columns and no others, each row as often as the mixture takes it."""
+    """``docs``, all columns and no others, each row as often as the mixture takes it. A source
+    without any token has no weight; its rows come once."""
     # Under names of their own, as docs may have columns that are called like those in between.
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = {c: n for c, n in zip(docs.columns, names, strict=True)}
@@ -191,4 +192,8 @@ def remixed(
     sizes = source_sizes(rows, at[source], "tokens")
     mixture = temper(sizes, max_repeats=max_repeats)
     taken = mixed(rows, sizes, mixture, key=at[key], source=at[source], tokens="tokens")
-    return taken.select(*names).toDF(*docs.columns)
+    # Only rows without a token can be of such a source. Dealt as the plan in ``mixed`` is.
+    weighted = sizes.repartition("tokens").select(F.col("source").alias("s_source"))
+    blank = rows.where(~text_or_empty(at[text]).rlike(r"\S"))
+    once = blank.join(weighted, blank[at[source]].eqNullSafe(weighted["s_source"]), "left_anti")
+    return taken.select(*names).unionByName(once.select(*names)).toDF(*docs.columns)
