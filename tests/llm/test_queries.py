@@ -12,7 +12,7 @@ LLM = sorted(set(entry_points.LLM_QUERIES) & set(entry_points.LLM_ORACLES))
 @pytest.mark.parametrize("name", LLM)
 def test_query_matches_its_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     cursor = database.execute(entry_points.oracle_sql()[name])
     columns = sorted(c[0] for c in cursor.description)
@@ -22,14 +22,14 @@ def test_query_matches_its_sql(spark, name):
     assert sorted((tuple(r) for r in df.select(*columns).collect()), key=repr) == want
 
 
-def test_all_eleven_are_registered():
+def test_all_are_registered():
     names = entry_points.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
 
 
-@pytest.mark.parametrize("name, table", [("op1_main_text", "pages"), ("op3_sharding", "documents"), ("op4_toxicity", "documents"), ("op7_pii", "documents"), ("op9_neardup", "documents")])
+@pytest.mark.parametrize("name, table", [("op1_main_text", "pages"), ("op3_sharding", "documents"), ("op4_toxicity", "documents"), ("op7_pii", "documents"), ("op9_neardup", "documents"), ("op11_lines", "documents")])
 def test_one_row_for_each_of_the_table(spark, name, table):
     key = "page_id" if table == "pages" else "doc_id"
     given = [r[0] for r in spark.read.parquet(f"{FOLDER}/{table}.parquet").select(key).collect()]

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonewright.llm.common import read_table, ship_package
 from zonewright.llm.extract import extract_main_text
+from zonewright.llm.lines import deduplicated_lines
 from zonewright.llm.mixing import mix_documents
 from zonewright.llm.neardup import near_duplicates
 from zonewright.llm.neighbours import nearest_by_inner_product
@@ -116,3 +118,27 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_main_text")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(read_table(spark, folder, "pages"))
+
+
+@query(
+    "op11_lines",
+    r"""
+    WITH l AS (
+      SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS pos
+      FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
+    k AS (
+      SELECT doc_id, pos, line,
+             translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    r AS (
+      SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+    j AS (SELECT k.*, coalesce(k.doc_id > r.first, false) AS gone FROM k LEFT JOIN r USING (key))
+    SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM j GROUP BY doc_id
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = deduplicated_lines(read_table(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
