@@ -34,12 +34,11 @@ def _hash128(*values: Column) -> list[Column]:
 def line_places(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least_chars: int = LEAST_CHARS) -> DataFrame:
     """``doc, t1, t2, pos, h1, h2`` for every line that is long enough, of documents with a key: the
     document, the hash of its text, the line's place in it and the hash of its key."""
-    line = F.transform(lines_of(F.col("text")), line_key)
-    each = (
-        docs.where(F.col(key).isNotNull())
-        .select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
-        .select("doc", *(h.alias(n) for h, n in zip(_hash128(F.col("text")), ("t1", "t2"), strict=True)), F.posexplode(line).alias("pos", "line"))
-    )
+    body = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
+    t1, t2 = _hash128(F.col("text"))
+    # The text is hashed before its lines are exploded, once and not for each line.
+    whole = body.select("doc", t1.alias("t1"), t2.alias("t2"), F.transform(lines_of(F.col("text")), line_key).alias("lines"))
+    each = whole.select("doc", "t1", "t2", F.posexplode("lines").alias("pos", "line"))
     h1, h2 = _hash128(F.col("line"))
     return each.where(F.length("line") >= least_chars).select("doc", "t1", "t2", "pos", h1.alias("h1"), h2.alias("h2"))
 
