@@ -1,0 +1,146 @@
+import random
+from collections import defaultdict
+from hashlib import sha256
+from zlib import crc32
+
+import pytest
+
+from zonewright.llm.prefixes import SpillingQueue, prefix_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string, node string, level int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+
+
+def rebuilt(rows, opening):
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [t[2:] for t in sorted(r)] for c, r in own.items()}
+    if not opening:
+        return turns
+    share, drawn = opening
+    h = {c: crc32(str(c).encode()) % drawn for c in turns}
+    return {c: turns.get(c - c % share, [])[: h[c]] + turns[c][h[c] :] for c in turns}
+
+
+def brute(rows, opening=None):
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in sorted(rebuilt(rows, opening).items()):
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    children = defaultdict(int)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, m in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += (len(m) - 1) * len(node[-1][1]) if node else 0
+    return sorted(
+        (
+            (m[0], len(node), members[node[:-1]][0] if node else None, len(m), children[node], leaves[node], saved[node],
+             sha256(",".join(map(str, ends.get(node, []))).encode()).hexdigest())
+            for node, m in members.items()
+        ),
+        key=repr,
+    )
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def talks(seed, n=150, words=3, most=9):
+    """Conversations with few different turns, so that many begin alike; some are equal."""
+    rng = random.Random(seed)
+    rows = []
+    for c in rng.sample(range(1000), n):
+        turns = [rng.choice(["a", "bé", "", "ccc"][:words]) for _ in range(rng.randrange(1, most))]
+        rows += [(c, i, rng.choice(["user", "user", "assistant"]), t) for i, t in enumerate(turns)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("opening", [None, (100, 6), (7, 3)])
+def test_nodes_are_the_brute_force_ones(spark, opening):
+    rows = talks(1)
+    want = brute(rows, opening)
+    assert got(prefix_trie(table(spark, rows), opening=opening)) == want
+    assert len(want) > 150
+
+
+@pytest.mark.parametrize("levels, queue", [(1, 1000), (2, 1), (3, 2), (1024, 1)])
+def test_bands_and_spilled_messages(spark, levels, queue):
+    rows = talks(2, most=12)
+    assert got(prefix_trie(table(spark, rows), levels=levels, queue=queue)) == brute(rows)
+
+
+def test_many_shards(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = talks(3, n=300, words=2) + [(5000 + i, j, "user", "a") for i in range(40) for j in range(3)]
+        assert got(prefix_trie(table(spark, rows), levels=4)) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, None, "user", "null turn first"), (1, 0, None, None), (1, 0, None, None), (1, -5, "user", None), (2, 1, "b", "tie"), (2, 1, "a", "tie"),
+        (2, 1, "a", "sit"), (None, 0, "user", "no conversation"), (3, 0, "user", ""), (4, 0, "use", "r"), (5, 0, "user", "\U0001f600é"), (6, 0, "user", "\U0001f600é"),
+        (7, None, None, None), (-3, 0, "user", "negative"), (1 << 40, 0, "user", "large"),
+    ]
+    assert got(prefix_trie(table(spark, rows))) == brute(rows)
+
+
+def test_turnless_conversations(spark):
+    # Conversation 0 is not there, so that those of 1 to 99 lose turns and get none.
+    rows = [(c, i, "user", f"t{i}") for c in range(1, 60) for i in range(1 + c % 3)]
+    want = brute(rows, (100, 6))
+    assert got(prefix_trie(table(spark, rows), opening=(100, 6))) == want
+    root = next(r for r in want if r[1] == 0)
+    assert root[3] == 59 and root[7] != sha256(b"").hexdigest()
+
+
+def test_very_long_conversations_and_texts(spark):
+    rows = [(c, i, "user", f"turn {i}") for c in (3, 8, 9) for i in range(2500 + c)] + [(10, 0, "user", "x" * 2_000_000), (11, 0, "user", "x" * 2_000_000)]
+    out = {(r["conv_id"], r["depth"]): r for r in prefix_trie(table(spark, rows), levels=1000).collect()}
+    assert len(out) == 2509 + 1 + 1
+    long = sum(len(f"turn {i}") * (2 if i < 2503 else 1 if i < 2508 else 0) for i in range(2509))
+    assert out[3, 0]["saved_tokens"] == long + 2_000_000 and out[3, 0]["n_leaves"] == 2
+    assert out[3, 1]["saved_tokens"] == long and out[3, 1]["n_children"] == 1
+    assert out[9, 2509]["parent_conv_id"] == 8 and out[8, 2508]["n_convs"] == 2
+
+
+def test_equal_conversations_in_great_number(spark):
+    rows = [(c, i, "user", f"same {i}") for c in range(20_000) for i in range(2)]
+    out = {r["depth"]: r for r in prefix_trie(table(spark, rows)).collect()}
+    assert out[2]["ends_sha256"] == sha256(",".join(map(str, range(20_000))).encode()).hexdigest()
+    assert out[0]["saved_tokens"] == 19_999 * 12 and out[0]["n_leaves"] == 1
+
+
+def test_no_rows(spark):
+    assert prefix_trie(table(spark, [])).count() == 0
+
+
+def test_the_queue_gives_what_it_was_given(tmp_path):
+    rng = random.Random(6)
+    queue, held = SpillingQueue(str(tmp_path), 3), []
+    for key in range(200):
+        for item in [(key + rng.randrange(1, 5), rng.randrange(100)) for _ in range(rng.randrange(6))]:
+            queue.push(item)
+            held.append(item)
+        taken = sorted(queue.take((key,)))
+        assert taken == sorted(x for x in held if x[0] == key)
+        held = [x for x in held if x[0] != key]
+    assert any(tmp_path.iterdir())
+    queue.close()
+    assert not any(tmp_path.iterdir())

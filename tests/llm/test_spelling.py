@@ -1,0 +1,168 @@
+import random
+import re
+from collections import Counter
+from zlib import crc32
+
+import pytest
+
+from zonewright.llm.spelling import GramDictionary, gram_dictionary, near_words, roots, spelling_groups, word_counts
+
+SCHEMA = "doc_id long, text string, word string, n int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+
+
+def counted(rows, least_chars=6, least_count=5):
+    total = Counter()
+    for i, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            total[run] += 1
+    return {w: n for w, n in total.items() if len(w) >= least_chars and n >= least_count}
+
+
+def is_near(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(a) + 1 == len(b) and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute(rows, **how):
+    n = counted(rows, **how)
+    near = {w: [v for v in n if v != w and is_near(v, w)] for w in n}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best and n[best] >= 5 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None))
+    return sorted(out)
+
+
+def vary(rng, word, letters):
+    i = rng.randrange(len(word) + 1)
+    kind = rng.randrange(3)
+    if kind == 0:
+        return word[:i] + rng.choice(letters) + word[i:]
+    return word[:i] + (rng.choice(letters) if kind == 1 else "") + word[i + 1 :]
+
+
+def family_words(seed, letters="abcdeé", bases=25, size=25, lengths=(6, 14)):
+    """Words in families of variants of variants, many of them near each other."""
+    rng = random.Random(seed)
+    words = set()
+    for _ in range(bases):
+        grown = ["".join(rng.choice(letters) for _ in range(rng.randint(*lengths)))]
+        for _ in range(size):
+            grown.append(vary(rng, rng.choice(grown), letters))
+        words |= {w for w in grown if len(w) >= 6}
+    return sorted(words)
+
+
+def pairs_of(words):
+    return sorted((a, b) for a in words for b in words if a != b and is_near(a, b))
+
+
+@pytest.mark.parametrize("frequent, list_size, letters", [(2, 64, "abcdeé"), (5, 2, "ab"), (10**6, 3, "abcdeé"), (3, 1, "aaab")])
+def test_all_near_words_are_found(spark, frequent, list_size, letters):
+    words = family_words(frequent, letters)
+    df = spark.createDataFrame([(w, 5 + i) for i, w in enumerate(words)], "word string, n long")
+    got = near_words(df, gram_dictionary(df, frequent=frequent), list_size=list_size).collect()
+    assert sorted((r["word"], r["near"]) for r in got) == pairs_of(words)
+    at = {w: 5 + i for i, w in enumerate(words)}
+    assert all((r["n"], r["near_n"]) == (at[r["word"]], at[r["near"]]) for r in got)
+
+
+def test_an_edit_changes_no_more_grams_than_the_bound():
+    rng = random.Random(4)
+    for _ in range(150):
+        letters = rng.choice(["ab", "abc", "abcdefgh"])
+        counts = {"".join(rng.choice(letters) for _ in range(rng.randint(2, 4))): rng.randint(1, 9) for _ in range(12)}
+        dictionary = GramDictionary(counts, 5)
+        word = "".join(rng.choice(letters) for _ in range(rng.randint(6, 13)))
+        longest = min(5, len(word) // 2)
+        mine = dictionary.grams(word, longest)
+        bound = dictionary.affected(word, mine, longest)
+        assert bound < len(mine) or len(word) % 2 == 0 and bound <= len(mine)
+        for _ in range(20):
+            i = rng.randrange(len(word))
+            for other, shift in ((word[:i] + word[i + 1 :], -1), (word[:i] + "z" + word[i + 1 :], 0), (word[:i] + rng.choice(letters) + word[i:], 1)):
+                theirs = set(dictionary.grams(other, longest))
+                right = i if shift == 1 else i + 1
+                spared = [(p, e) for p, e in mine if e <= i and (p, e) in theirs or p >= right and (p + shift, e + shift) in theirs]
+                assert len(mine) - len(spared) <= bound
+
+
+def test_every_word_keeps_a_gram():
+    rng = random.Random(8)
+    for _ in range(400):
+        letters = rng.choice(["a", "ab", "abcdef"])
+        counts = {"".join(rng.choice(letters) for _ in range(rng.randint(2, 6))): rng.randint(1, 9) for _ in range(rng.randrange(30))}
+        dictionary = GramDictionary(counts)
+        for m in range(6, 15):
+            for size in (m, m + 1):
+                word = "".join(rng.choice(letters) for _ in range(size))
+                grams = dictionary.grams(word, min(6, m // 2))
+                assert dictionary.affected(word, grams, min(6, m // 2)) < len(grams)
+
+
+def documents(seed, n=60):
+    rng = random.Random(seed)
+    words = family_words(seed, bases=6, size=12) + ["Straße", "STRASSE", "naïveté", "naivete", "short", "×÷×÷×÷"]
+    return [(i, " ".join(rng.choice(words[: 1 + rng.randrange(len(words))]) for _ in range(120)) + rng.choice([".", " 1", "_x", ""])) for i in range(n)]
+
+
+def test_words_forms_and_roots(spark):
+    rows = documents(1) + [(None, "lonely " * 7), (1000, None), (1001, ""), (3, "again again again again again again")]
+    got = sorted(tuple(r) for r in spelling_groups(table(spark, rows)).collect())
+    want = brute(rows)
+    assert got == want
+    assert any(r[1] for r in want)
+
+
+def test_counts_take_the_lost_letters(spark):
+    rows = [(i, "something else entirely " * 3) for i in range(700)]
+    got = {r["word"]: r["n"] for r in word_counts(table(spark, rows), least_count=1).collect()}
+    assert got == counted(rows, least_count=1)
+    assert len(got) > 5
+
+
+def test_a_chain_of_forms_and_ties(spark):
+    rows = [(2000, " ".join(["abcdefgh"] * 5 + ["abcdefgx"] * 25 + ["abcdefyx"] * 125 + ["abcdezyx"] * 625 + ["abcdefgz"] * 25 + ["qqqqqq"] * 5 + ["qqqqqa"] * 25 + ["qqqqqb"] * 25))]
+    got = sorted(tuple(r) for r in spelling_groups(table(spark, rows), noise=None).collect())
+    by = {r[0]: r for r in got}
+    assert by["abcdefgh"][1:3] == ("abcdefgx", "abcdezyx")
+    assert by["qqqqqq"][1] == "qqqqqa" and by["qqqqqa"][1] is None
+
+
+def test_roots_of_a_long_chain(spark):
+    forms = spark.createDataFrame([(f"w{i:02}", f"w{i + 1:02}") for i in range(20)] + [("a", "w05")], "word string, form string")
+    assert {(r["word"], r["root"]) for r in roots(forms).collect()} == {(f"w{i:02}", "w20") for i in range(20)} | {("a", "w20")}
+
+
+def test_very_long_words_and_texts(spark):
+    long = "w" * 20_000
+    rows = [(i, f"{long} {long}x other{'s' * (i % 2)} ") for i in range(6)]
+    got = sorted(tuple(r) for r in spelling_groups(table(spark, rows), noise=None).collect())
+    assert [(r[0][-2:], len(r[0]), r[3], r[4]) for r in got] == [("ww", 20_000, 6, 1), ("wx", 20_001, 6, 1)]
+
+
+def test_no_documents(spark):
+    assert spelling_groups(table(spark, [])).count() == 0
+    assert spelling_groups(table(spark, [(1, None), (2, "few words")])).count() == 0
+
+
+def test_words_too_short_for_grams(spark):
+    with pytest.raises(ValueError):
+        spelling_groups(table(spark, []), least_chars=3)

@@ -15,7 +15,9 @@ from zonewright.llm.neardup import near_duplicates
 from zonewright.llm.neighbours import nearest_by_inner_product
 from zonewright.llm.packing import packed_documents
 from zonewright.llm.pii import find_personal_data
+from zonewright.llm.prefixes import prefix_trie
 from zonewright.llm.sharding import shard_documents
+from zonewright.llm.spelling import spelling_groups
 from zonewright.llm.topk import exact_top_k
 from zonewright.llm.toxicity import score_documents
 from zonewright.llm.warc import archive
@@ -44,6 +46,24 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a text's UTF-8, which it lacks: four bits a step."""
+
+    def four(value: int) -> int:
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        return value
+
+    table = [four(i) for i in range(16)]
+    digits = f"hex(encode({text}))"
+    # Low digits first; the register starts with all bits set.
+    steps = (
+        f"list_transform(range(length({digits})), lambda i: "
+        f"instr('0123456789ABCDEF', substr({digits}, (i // 2 * 2 + 2 - i % 2)::BIGINT, 1))::BIGINT - 1)"
+    )
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: xor(c >> 4, ({table}::BIGINT[])[(xor(c, x) & 15) + 1])), 4294967295)"
+
+
 @query(
     "op2_warc",
     """
@@ -142,3 +162,80 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = deduplicated_lines(read_table(spark, folder, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query(
+    "op12_prefixes",
+    f"""
+    WITH own AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+      FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (SELECT conv_id, ({crc32_sql("conv_id::VARCHAR")}) % 6 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+    taken AS (
+      SELECT c.conv_id, 0 AS part, p, role, text FROM convs c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 100 WHERE p <= h
+      UNION ALL SELECT c.conv_id, 1, p, role, text FROM convs c JOIN own o USING (conv_id) WHERE p > h),
+    steps AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS depth FROM taken),
+    told AS (
+      SELECT conv_id, depth, length(text) AS chars,
+             md5(string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node
+      FROM steps
+      UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+    nodes AS (
+      SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved
+      FROM told GROUP BY node, depth),
+    over AS (SELECT DISTINCT a.node, b.node AS parent FROM told a JOIN told b ON a.conv_id = b.conv_id AND a.depth = b.depth + 1),
+    children AS (SELECT parent AS node, count(*) AS n_children FROM over GROUP BY parent),
+    totals AS (
+      SELECT t.node, count(*) FILTER (c.node IS NULL) AS n_leaves, sum(n.saved) AS saved_tokens
+      FROM nodes n JOIN told t ON t.conv_id = n.conv_id AND t.depth <= n.depth LEFT JOIN children c ON c.node = n.node
+      GROUP BY t.node),
+    ends AS (
+      SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS sha
+      FROM (SELECT node, conv_id FROM told QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY node)
+    SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+           n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, coalesce(sha, sha256('')) AS ends_sha256
+    FROM nodes n LEFT JOIN over USING (node) LEFT JOIN nodes p ON p.node = over.parent
+    LEFT JOIN children c ON c.node = n.node JOIN totals t ON t.node = n.node LEFT JOIN ends e ON e.node = n.node
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(read_table(spark, folder, "conversations"), opening=(100, 6))
+
+
+@query(
+    "op13_spelling",
+    f"""
+    WITH RECURSIVE runs AS (
+      SELECT doc_id, w, count(*) AS c FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents)
+      GROUP BY ALL),
+    hashed AS (SELECT *, {crc32_sql("doc_id::VARCHAR || ':' || w")} AS h FROM runs),
+    words AS (
+      SELECT word, sum(c)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w) + 2)::BIGINT)
+               ELSE w END AS word, c FROM hashed)
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+    less AS (
+      SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS v
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS (
+      SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b USING (v, i) WHERE a.word <> b.word
+      UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN words b ON a.v = b.word
+      UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN words b ON a.v = b.word),
+    best AS (
+      SELECT word, count(*) OVER (PARTITION BY word) AS n_near, near, near_n FROM near
+      QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+    forms AS (
+      SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+             CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+      FROM words LEFT JOIN best USING (word)),
+    walk AS (
+      SELECT word, word AS at, form AS next FROM forms
+      UNION ALL SELECT k.word, f.word, f.form FROM walk k JOIN forms f ON k.next = f.word)
+    SELECT word, form, at AS root, n, n_near, form_n FROM forms JOIN (SELECT word, at FROM walk WHERE next IS NULL) USING (word)
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_groups(read_table(spark, folder, "documents"))
