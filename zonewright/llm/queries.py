@@ -232,9 +232,10 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
              CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
       FROM words LEFT JOIN best USING (word)),
     walk AS (
-      SELECT word, word AS at, form AS next FROM forms
+      SELECT word, word AS reached, form AS next FROM forms
       UNION ALL SELECT k.word, f.word, f.form FROM walk k JOIN forms f ON k.next = f.word)
-    SELECT word, form, at AS root, n, n_near, form_n FROM forms JOIN (SELECT word, at FROM walk WHERE next IS NULL) USING (word)
+    SELECT word, form, reached AS root, n, n_near, form_n
+    FROM forms JOIN (SELECT word, reached FROM walk WHERE next IS NULL) USING (word)
     """,
 )
 def op13(spark: SparkSession, folder: str) -> DataFrame:
