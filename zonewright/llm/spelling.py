@@ -40,7 +40,10 @@ _LOWER = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
 
 def noisy_words(text: str | None, doc: str, noise: int | None) -> Counter[str]:
     """The words of a text with their counts, some with a code point lost as the contract has it."""
-    runs = Counter(_RUN.findall(text.translate(_LOWER))) if text else Counter()
+    runs: Counter[str] = Counter()
+    # Runs are put in lower case after they are counted: there are far fewer of them then.
+    for run, n in Counter(_RUN.findall(text or "")).items():
+        runs[run.lower() if run.isascii() else run.translate(_LOWER)] += n
     if not noise:
         return runs
     start = crc32(f"{doc}:".encode())
