@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import re
-from array import array
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from sys import intern
 from zlib import crc32
 
 import numpy as np
@@ -14,13 +13,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import small_batches
+from zonewright.llm.common import small_batches, stage
 
 # Labelled rows of each class the model is fitted on at most, chosen by hash.
 SAMPLE = 2500
 # Features the model may use at most, and the documents of the sample one must be in.
 FEATURES = 1024
 SEEN = 3
+# Tasks that read the sample, and features that one of them counts at once.
+SAMPLE_PARTS = 16
+FEATURES_AT_ONCE = 200_000
 # Lengths of word beginnings that are features beside whole words, for inflected forms.
 BEGINNINGS = (4, 5, 6)
 # Penalties on weights (over the root of the number of documents), squared weights and squared
@@ -89,22 +91,22 @@ class ToxicityModel:
         return pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))), dtype="float64")
 
 
-class _Hits:
+def _rows_and_columns(hits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Which features each row has, as two arrays."""
+    sizes = np.array([len(h) for h in hits], dtype=np.int64)
+    columns = np.concatenate(hits) if len(hits) else np.empty(0)
+    return np.repeat(np.arange(len(hits)), sizes), columns.astype(np.int64)
 
-    def __init__(self, column: dict[str, int]) -> None:
-        self.column = column
-        self.rows = 0
-        self._row, self._at = array("l"), array("l")
 
-    def add(self, features: set[str]) -> None:
-        hits = sorted(self.column[f] for f in self.column.keys() & features)
-        self._row.extend([self.rows] * len(hits))
-        self._at.extend(hits)
-        self.rows += 1
+def _numbers(features: set[str], column: dict[str, int]) -> np.ndarray:
+    return np.array(sorted(column[f] for f in column.keys() & features), dtype=np.int32)
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.array(self._row, dtype=np.int64), np.array(self._at, dtype=np.int64)
+
+def numbered(words: set[str], column: dict[str, int]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """The numbers of a document's features, and of those that each of its swapped forms loses and gains."""
+    have = features_of(words)
+    forms = swapped(words, have, crc32(" ".join(sorted(words)[:5]).encode()))
+    return _numbers(have, column), [_numbers(old, column) for old, _ in forms], [_numbers(new, column) for _, new in forms]
 
 
 def _chosen(words: list[set[str]], label: np.ndarray) -> list[str]:
@@ -120,29 +122,36 @@ def _chosen(words: list[set[str]], label: np.ndarray) -> list[str]:
             p, q = (a + 0.5) / (pos + 1), (b + 0.5) / (neg + 1)
             ranked.append((-abs(np.log(p / q)) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)), f))
     ranked.sort()
-    identity = features_of(set(_IDENTITY)) & (inside.keys() | outside.keys())
-    return [f for _, f in ranked[:FEATURES]] + sorted(identity - {f for _, f in ranked[:FEATURES]})
+    return _with_identity([f for _, f in ranked[:FEATURES]], inside.keys() | outside.keys())
+
+
+def _with_identity(features: list[str], seen: Iterable[str]) -> list[str]:
+    return features + sorted(features_of(set(_IDENTITY)).intersection(seen) - set(features))
 
 
 def fit(words: list[set[str]], label: np.ndarray) -> ToxicityModel:
-    """Logistic regression with sparse weights, both classes weighed alike. For every document
-    and each of its swapped forms, the squared change of the log-odds is added to the loss."""
+    """The model of documents that are at hand, as sets of words."""
     if not len(label) or label.min() == label.max():
-        share = float(label.mean()) if len(label) else 0.0
-        return ToxicityModel(float(np.log((share + 0.01) / (1.01 - share))), {})
+        return _without_classes(label)
     names = _chosen(words, label)
     column = {f: i for i, f in enumerate(names)}
-    # For a document and its swapped form, what it loses and gains. One document's features are
-    # held at a time, as all of them are many times the sample.
-    whole, lost, gained = _Hits(column), _Hits(column), _Hits(column)
-    for w in words:
-        have = features_of(w)
-        whole.add(have)
-        for old, new in swapped(w, have, crc32(" ".join(sorted(w)[:5]).encode())):
-            lost.add(old)
-            gained.add(new)
-    (row, at), (row_l, at_l), (row_g, at_g) = whole.arrays(), lost.arrays(), gained.arrays()
-    pairs, n, f = lost.rows, len(label), len(names)
+    return fit_numbers(names, [numbered(w, column) for w in words], label)
+
+
+def _without_classes(label: np.ndarray) -> ToxicityModel:
+    share = float(label.mean()) if len(label) else 0.0
+    return ToxicityModel(float(np.log((share + 0.01) / (1.01 - share))), {})
+
+
+def fit_numbers(
+    names: list[str], documents: list[tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]], label: np.ndarray
+) -> ToxicityModel:
+    """Logistic regression with sparse weights, both classes weighed alike. For every document
+    and each of its swapped forms, the squared change of the log-odds is added to the loss."""
+    row, at = _rows_and_columns([whole for whole, _, _ in documents])
+    row_l, at_l = _rows_and_columns([x for _, lost, _ in documents for x in lost])
+    row_g, at_g = _rows_and_columns([x for _, _, gained in documents for x in gained])
+    pairs, n, f = sum(len(lost) for _, lost, _ in documents), len(label), len(names)
     weight = np.where(label == 1, 0.5 / label.sum(), 0.5 / (n - label.sum()))
 
     def gradient(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
@@ -193,14 +202,67 @@ def fit_on(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str =
     for y, n in size.items():
         share = int(scale * min(1.0, SAMPLE / n))
         wanted = wanted | ((F.col("y") == y) & (F.pmod(F.xxhash64(F.lit("fit"), "k"), F.lit(scale)) < share))
-    # About SAMPLE ids of each class, so they fit anywhere; the limit makes it a bound.
-    chosen = known.where(wanted).limit(3 * SAMPLE)
-    words = F.pandas_udf(lambda s: s.map(lambda t: sorted(words_of(t))), "array<string>")
     small_batches(docs.sparkSession)
+    # About SAMPLE keys of each class, so they fit anywhere; the limit makes it a bound. A key that repeats
+    # in the documents is one row, that of its first text.
+    chosen = known.where(wanted).limit(3 * SAMPLE)
     body = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("body"))
-    sample = body.join(F.broadcast(chosen), "k").select("k", "y", words("body").alias("words")).toPandas()
-    sample = sample.sort_values("k", ignore_index=True)
-    return fit([{intern(x) for x in w} for w in sample["words"]], sample["y"].to_numpy(dtype="float64"))
+    sample = body.join(F.broadcast(chosen), "k").groupBy("k", "y").agg(F.min("body").alias("body"))
+    sample = stage(sample, "toxicity-sample")
+    classes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if len(classes) < 2:
+        return _without_classes(np.array([float(y) for y, n in classes.items() for _ in range(n)]))
+    names = _chosen_of(sample, classes)
+    column = {f: i for i, f in enumerate(names)}
+    forms = ["whole", *(f"{kind}{n}" for n in range(SWAPS) for kind in ("lost", "gained"))]
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for body_ in batch["body"]:
+                whole, lost, gained = numbered(words_of(body_), column)
+                rows.append([whole, *(x for pair in zip(lost, gained, strict=True) for x in pair)])
+            yield pd.DataFrame(rows, columns=forms).assign(k=batch["k"].to_numpy(), y=batch["y"].to_numpy())
+
+    # What comes to the driver is a row of feature numbers for each sampled document.
+    schema = ", ".join([*(f"{f} array<int>" for f in forms), f"k {sample.schema['k'].dataType.simpleString()}", "y int"])
+    found = sample.repartition(SAMPLE_PARTS, "k").mapInPandas(number, schema).toPandas().sort_values("k", ignore_index=True)
+    documents = [
+        (whole, list(swaps[0::2]), list(swaps[1::2])) for whole, *swaps in zip(*(found[f] for f in forms), strict=True)
+    ]
+    return fit_numbers(names, documents, found["y"].to_numpy(dtype="float64"))
+
+
+def _chosen_of(sample: DataFrame, classes: dict[int, int]) -> list[str]:
+    """As ``_chosen``, for sampled rows ``k, y, body``: features are counted by class in the tasks, and only
+    those that stand out come to the driver."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+
+        def counted() -> pd.DataFrame:
+            names = list(held[0].keys() | held[1].keys())
+            out = pd.DataFrame({"f": names, "a": [held[1][f] for f in names], "b": [held[0][f] for f in names]})
+            for part in held:
+                part.clear()
+            return out
+
+        for batch in batches:
+            for y, body in zip(batch["y"], batch["body"], strict=True):
+                held[y].update(features_of(words_of(body)))
+                if len(held[0]) + len(held[1]) >= FEATURES_AT_ONCE:
+                    yield counted()
+        if held[0] or held[1]:
+            yield counted()
+
+    counts = sample.repartition(SAMPLE_PARTS, "k").mapInPandas(count, "f string, a long, b long")
+    counts = stage(counts.groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "toxicity-features")
+    p, q = (F.col("a") + 0.5) / (classes[1] + 1), (F.col("b") + 0.5) / (classes[0] + 1)
+    apart = F.abs(F.log(p / q)) / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+    ranked = counts.where(F.col("a") + F.col("b") >= SEEN).select("f", apart.alias("apart"))
+    best = [r["f"] for r in ranked.orderBy(F.desc("apart"), "f").limit(FEATURES).collect()]
+    seen = counts.where(F.col("f").isin(sorted(features_of(set(_IDENTITY))))).select("f").collect()
+    return _with_identity(best, [r["f"] for r in seen])
 
 
 def toxicity(model: ToxicityModel, text: Column) -> Column:
