@@ -7,7 +7,8 @@ import pytest
 
 from zonewright import schemas
 from zonewright.operators.export import export_rows
-from zonewright.operators.vectors import HashingEmbedder
+from zonewright.functions.embedding import FeatureHashing
+from zonewright.operators.vectors import query_vector
 from zonewright.plans import serving, trusted
 from zonewright.plans.landing import build_landing, discovered_movies, movie_ids
 from zonewright.plans.report import FlowFailed, FlowReport
@@ -177,7 +178,7 @@ def zones(spark, tmp_path_factory):
     for _ in range(2):  # a second run over the same responses changes nothing
         reports["landing"] = build_landing(dumps, stores["landing"], AS_OF, discover_region="ES")
         reports["trusted"] = build_trusted(stores["landing"], stores["trusted"])
-        reports["serving"] = build_serving(stores["trusted"], stores["serving"], HashingEmbedder(16))
+        reports["serving"] = build_serving(stores["trusted"], stores["serving"], FeatureHashing(16))
         for report in reports.values():
             report.finish()
     return {"dumps": dumps, "reports": reports, **stores}
@@ -327,7 +328,7 @@ def test_serving_tables(zones, read):
 
 
 def test_vectors_are_refreshed_only_where_something_changed(zones, spark):
-    embed, store = HashingEmbedder(16), zones["serving"]
+    embed, store = FeatureHashing(16), zones["serving"]
     before = store.read(serving.VECTORS).count()
     items = movie_items(export_rows(zones["trusted"].read("movies")))
     assert before == 3
@@ -339,9 +340,11 @@ def test_vectors_are_refreshed_only_where_something_changed(zones, spark):
     changed = movie_items(export_rows(renamed))
 
     class Fails:
+        vector = query_vector(spark, "Seven", embed)
+
         def __call__(self, texts):
             assert all("Seven" in t for t in texts), texts
-            return HashingEmbedder(16)(texts)
+            return [self.vector] * len(texts)
 
     assert refresh_vectors(changed, store, Fails()) == 3  # one new text, two new metadata
     best = search(store, "Seven", embed, 2).collect()

@@ -58,13 +58,7 @@ def test_query_matches_its_sql(spark, database, name):
 
 
 def test_queries_without_sql_are_the_known_ones():
-    assert set(REGISTRY) - set(entry_points.oracle_sql()) == {"embed_texts"}
-
-
-def test_embedding_covers_all_documents(spark):
-    df = entry_points.queries()["embed_texts"](spark, FOLDER)
-    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    assert df.count() == documents.count()
+    assert set(REGISTRY) <= set(entry_points.oracle_sql())
 
 
 def test_entry_has_a_stable_schema(spark):

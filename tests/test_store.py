@@ -66,7 +66,68 @@ def test_many_upserts_keep_the_latest(store, spark, rows):
         store.upsert("t", people(spark, [(step, str(step)), (0, str(step))]), ["id"])
         expected = [(0, str(step))] + [(i, str(i) if i <= step else "0") for i in range(1, 6)]
         assert rows(store.read("t")) == expected
-    assert len(Files(spark).names(f"{store.root}/t/data")) == 2  # this version and the one before
+    version = store._version("t")  # nothing is left but this version and the one before
+    named = {path.split("/")[0] for path in [*version.sets(), *version.before]}
+    assert set(Files(spark).names(f"{store.root}/t/data")) == named
+
+
+def test_an_upsert_touches_only_changed_buckets(spark, tmp_path, rows):
+    store = TableStore(spark, str(tmp_path / "zone"), buckets=16)
+    store.create("t", spark.range(4000).selectExpr("cast(id AS int) AS id", "'old' AS name"), keys=["id"])
+    before = store._version("t").data
+    assert len(before) == 16 and all(len(sets) == 1 for sets in before.values())
+    assert store.upsert("t", people(spark, [(5, "new"), (5000, "more")]), ["id"]) == 2
+    after = store._version("t").data
+    changed = {b for b in after if after[b] != before.get(b)}
+    assert 1 <= len(changed) <= 2 and after.keys() == before.keys()
+    assert store.read("t").count() == 4001
+    assert rows(store.read("t").filter("name <> 'old'")) == [(5, "new"), (5000, "more")]
+    # What is written follows the changes: the rows of the changed buckets, and no others.
+    written = store._rows("t", store._version("t"), changed).count()
+    assert written < 4001 * 3 // 16
+    store.upsert("t", people(spark, [(5, "newer")]), ["id"])
+    last = store._version("t").data
+    assert len([b for b in last if last[b] != after[b]]) == 1
+
+
+def test_a_table_that_grows_gets_more_buckets(store, spark, rows, monkeypatch):
+    monkeypatch.setattr("zonewright.sources.store.BUCKET_BYTES", 2000)
+    store.upsert("t", people(spark, [(i, "a") for i in range(5)] + [(None, "n")]), ["id"])
+    assert store._version("t").buckets == 1
+    store.upsert("t", spark.range(9000).selectExpr("cast(id AS int) AS id", "uuid() AS name"), ["id"])
+    grown = store._version("t")
+    assert grown.buckets >= 32 and set(grown.data) == {str(b) for b in range(-1, grown.buckets)}
+    assert store.read("t").count() == 9001
+    store.upsert("t", people(spark, [(7, "changed")]), ["id"])
+    after = store._version("t")
+    assert len([b for b in after.data if after.data[b] != grown.data[b]]) == 1
+    assert rows(store.read("t").filter("name = 'changed' OR id IS NULL")) == [(7, "changed"), (None, "n")]
+    named = {path.split("/")[0] for path in [*after.sets(), *after.before]}
+    assert set(Files(spark).names(f"{store.root}/t/data")) == named
+
+
+def test_rows_without_a_key_are_never_merged(store, spark, rows, monkeypatch):
+    monkeypatch.setattr("zonewright.sources.store.LOOSE_SETS", 3)
+    for n in range(5):
+        store.upsert("t", people(spark, [(None, f"n{n}"), (1, f"x{n}")]), ["id"])
+    assert rows(store.read("t")) == [(1, "x4")] + [(None, f"n{n}") for n in range(5)]
+    assert len(store._version("t").data["-1"]) <= 3
+
+
+def test_appended_rows_are_checked_and_merged_later(store, spark, rows):
+    store.create("t", people(spark, [(i, "a") for i in range(50)]), keys=["id"])
+    store.create("t", people(spark, [(i, "b") for i in range(50, 60)]), mode="append")
+    with pytest.raises(DuplicateKeys):
+        store.create("t", people(spark, [(49, "again")]), mode="append")
+    store.upsert("t", people(spark, [(55, "c"), (3, "c")]), ["id"])
+    assert sorted(rows(store.read("t"))) == [(i, "c" if i in (3, 55) else "a" if i < 50 else "b") for i in range(60)]
+
+
+def test_a_table_without_rows(store, spark, rows):
+    store.create("t", people(spark, []), keys=["id"])
+    assert store.exists("t") and rows(store.read("t")) == [] and store.read("t").columns == ["id", "name"]
+    store.upsert("t", people(spark, [(1, "x")]), ["id"])
+    assert rows(store.read("t")) == [(1, "x")]
 
 
 def test_a_read_is_a_plain_scan(store, spark, final_plan):
@@ -128,7 +189,7 @@ def test_readers_keep_their_snapshot(store, spark, rows):
 
 def test_unfinished_write_is_invisible(store, spark, rows):
     store.create("t", people(spark, [(1, "x")]), keys=["id"])
-    store._write("t", people(spark, [(2, "lost")]), [])
+    store._write("t", people(spark, [(2, "lost")]), store._version("t"))
     assert rows(store.read("t")) == [(1, "x")]
 
 

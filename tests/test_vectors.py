@@ -1,12 +1,13 @@
+from zlib import crc32
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from zonewright.functions.embedding import FeatureHashing
 from zonewright.operators.vectors import (
-    HashingEmbedder,
     changed_items,
     embed_texts,
-    query_blocks,
     top_k,
     top_k_of,
 )
@@ -60,8 +61,10 @@ def test_top_k_edge_vectors(spark):
     assert [(r["id"], r["score"]) for r in got] == [("a", 1.0), ("b", 1.0), ("o", -1.0)]
     none = top_k(vectors(spark, data, "string"), [("q", [0.0, 0.0])], 3)
     assert none.count() == 0
-    with pytest.raises(ValueError):
-        top_k(vectors(spark, data, "string"), [], 3)
+    assert top_k(vectors(spark, data, "string"), [], 3).count() == 0
+    odd = [("null", None), ("empty", []), ("hole", [1.0, None]), ("short", [2.0]), ("q", [1.0, 0.0])]
+    found = top_k(vectors(spark, data, "string"), odd, 2).collect()
+    assert sorted((r["query_id"], r["id"]) for r in found) == [("q", "a"), ("q", "b"), ("short", "s")]
 
 
 @pytest.mark.parametrize("k", [3, 1500])
@@ -83,7 +86,36 @@ def test_queries_beyond_one_block(spark):
     got = top_k_of(df, df, 2, query_rows=7).orderBy("query_id", "rank").collect()
     want = top_k(df, data, 2).orderBy("query_id", "rank").collect()
     assert len(got) == 120 and got == want
-    assert sum(len(b) for b in query_blocks(df, "id", "embedding", 7)) == 60
+
+
+def test_many_queries_scan_the_vectors_once(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    data = [(i, rng.normal(size=6).round(2).tolist()) for i in range(700)]
+    asked = [(10_000 + i, rng.normal(size=6).round(2).tolist()) for i in range(2500)]
+    vectors(spark, data).write.parquet(str(tmp_path / "vectors"))
+    vectors(spark, asked).write.parquet(str(tmp_path / "asked"))
+    stored, queries = (spark.read.parquet(str(tmp_path / n)) for n in ("vectors", "asked"))
+    for parts in (None, 3):
+        df = top_k_of(stored, queries, 3, score_digits=6, vector_parts=parts)
+        got = df.orderBy("query_id", "rank").collect()
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 2 and "Join" not in plan
+        matrix, block = (np.asarray([v for _, v in x]) for x in (data, asked))
+        scores = (matrix @ block.T) / np.linalg.norm(matrix, axis=1)[:, None] / np.linalg.norm(block, axis=1)
+        assert [(r["query_id"], r["rank"]) for r in got] == [(q, n) for q, _ in asked for n in (1, 2, 3)]
+        best = np.sort(scores.round(6), axis=0)[::-1][:3].T.ravel()
+        assert np.allclose([r["score"] for r in got], best, atol=1e-6)
+
+
+def test_odd_queries_in_the_grid(spark):
+    data = [(i, [float(i), 1.0]) for i in range(9)] + [(20, [1.0, 2.0, 3.0]), (21, None), (22, [0.0, 0.0])]
+    asked = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 2.0, 3.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [None, 1.0]), (None, [0.0, 1.0]), (7, [1.0])]
+    df, queries = vectors(spark, data), vectors(spark, asked)
+    for rows_at_once in (2, 100):
+        got = top_k_of(df, queries, 2, query_rows=rows_at_once).collect()
+        assert sorted(((r["query_id"], r["rank"], r["id"]) for r in got), key=repr) == [(1, 1, 8), (1, 2, 7), (2, 1, 20), (None, 1, 0), (None, 2, 1)]
+        assert top_k_of(df, queries.limit(0), 2, query_rows=rows_at_once).count() == 0
+        assert top_k_of(df.limit(0), queries, 2, query_rows=rows_at_once).count() == 0
 
 
 def test_embedding_runs_in_batches_over_whole_texts(spark):
@@ -93,21 +125,44 @@ def test_embedding_runs_in_batches_over_whole_texts(spark):
         return [[float(len(batch)), float(len(t))] for t in batch]
 
     got = embed_texts(
-        spark.createDataFrame(texts, "i long, t string").repartition(2), "t", count
+        spark.createDataFrame(texts, "i long, t string").repartition(2), "i", "t", count
     ).collect()
     assert len(got) == 252
     assert max(r["embedding"][0] for r in got) <= 100
-    assert all(r["embedding"][1] == len(r["t"] or "") for r in got)
+    assert {r["i"]: r["embedding"][1] for r in got} == {i: len(t or "") for i, t in texts}
+
+
+def plain_hashing(text, size, seed=0):
+    out = np.zeros(size)
+    for word in text.split(" "):
+        if word:
+            word = "".join(c.lower() if "A" <= c <= "Z" else c for c in word)
+            code = crc32(f"{seed}:{word}".encode())
+            out[(code >> 1) % size] += 1 if code & 1 else -1
+    return out / (np.linalg.norm(out) or 1)
+
+
+@pytest.mark.parametrize("size, seed", [(1, 0), (7, 3), (16, 0), (64, 1)])
+def test_feature_hashing(spark, size, seed):
+    texts = ["The film, THE end", "", "   ", "a b a\nb c", "Élan élan naïve", "w " * 3000, None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r["i"]: r["embedding"] for r in embed_texts(df, "i", "t", FeatureHashing(size, seed)).collect()}
+    for i, t in enumerate(texts):
+        assert np.allclose(got[i], plain_hashing(t or "", size, seed), atol=1e-6)
+    assert embed_texts(df.limit(0), "i", "t", FeatureHashing(size)).count() == 0
+
+
+def test_hashing_needs_no_python_worker(spark, final_plan):
+    df = spark.createDataFrame([(1, "a b")], "i long, t string")
+    assert "Python" not in final_plan(embed_texts(df, "i", "t", FeatureHashing(8)))
 
 
-def test_hashing_embedder(spark):
-    embed = HashingEmbedder(16)
-    one, two, empty = embed(["The film, the END", "the film the end", "?!"])
-    assert one == two and np.isclose(np.linalg.norm(one), 1)
-    assert empty == [0.0] * 16
-    df = spark.createDataFrame([(2**60 + 1, "a b"), (None, "c")], "i long, t string")
-    got = {r["i"]: r["embedding"] for r in embed_texts(df, "t", embed).collect()}
-    assert np.allclose(got[2**60 + 1], embed(["a b"])[0], atol=1e-6) and None in got
+def test_a_model_gets_texts_only(spark):
+    df = spark.createDataFrame([(2**60 + 1, "a b", {"x": "y"}), (None, "c", None)], "i long, t string, m map<string,string>")
+    got = embed_texts(df, "i", "t", lambda texts: [[float(len(t))] for t in texts])
+    assert sorted((r["embedding"], r["i"] or 0) for r in got.collect()) == [([1.0], 0), ([3.0], 2**60 + 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "run(coalesce(t#" in plan and got.columns == ["i", "embedding"]
 
 
 def test_changed_items(spark, rows):
@@ -118,6 +173,6 @@ def test_changed_items(spark, rows):
 
 def test_worker_needs_no_package(spark):
     doubled = embed_texts(
-        spark.createDataFrame([("x",)], "t string"), "t", HashingEmbedder(4)
+        spark.createDataFrame([(1, "x")], "i long, t string"), "i", "t", lambda texts: [[1.0] * 4 for _ in texts]
     ).select(F.size("embedding"))
     assert doubled.first()[0] == 4

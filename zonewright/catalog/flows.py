@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from zonewright.catalog.registry import query, table
 from zonewright.operators.export import export_rows
-from zonewright.operators.vectors import HashingEmbedder
 from zonewright.plans.landing import build_landing
 from zonewright.plans.report import FlowReport
 from zonewright.plans.serving import build_serving
@@ -270,7 +269,7 @@ class Zones:
 
     def serving(self) -> TableStore:
         return self._zone(
-            "serving", lambda s: build_serving(self.trusted(), s, HashingEmbedder(64)).finish()
+            "serving", lambda s: build_serving(self.trusted(), s, FeatureHashing(64)).finish()
         )
 
     def _zone(self, name: str, build) -> TableStore:

@@ -3,71 +3,65 @@
 from __future__ import annotations
 
 import math
-import re
 import sys
-import zlib
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-Embedder = Callable[[list[str]], Sequence[Sequence[float]]]
+from zonewright.functions.embedding import FeatureHashing
+
+# A model: a function of a list of texts to a list of vectors. ``FeatureHashing`` needs none.
+Embedder = Callable[[list[str]], Sequence[Sequence[float]]] | FeatureHashing
 
 # Embedders travel to the tasks whole, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows one call of the embedder or of an external index gets.
 BATCH_ROWS = 100
-# Query vectors one scan answers.
+# Query vectors that are answered together: what a task holds beside a batch of vectors.
 QUERY_ROWS = 1_000
 
 
-class HashingEmbedder:
-    """Deterministic stand-in for a model: signed word counts hashed to ``size``
-    slots, scaled to length one. Text without words gives a zero vector."""
-
-    def __init__(self, size: int = 64) -> None:
-        self.size = size
-
-    def __call__(self, texts: list[str]) -> list[list[float]]:
-        out = np.zeros((len(texts), self.size))
-        for row, text in enumerate(texts):
-            for word in re.findall(r"\w+", (text or "").lower()):
-                code = zlib.crc32(word.encode())
-                out[row, (code >> 1) % self.size] += 1.0 if code & 1 else -1.0
-        norms = np.linalg.norm(out, axis=1, keepdims=True)
-        return (out / np.where(norms == 0, 1.0, norms)).tolist()
-
-
 def embed_texts(
     df: DataFrame,
+    key: str,
     text: str,
     embedder: Embedder,
     *,
     out: str = "embedding",
     batch_rows: int = BATCH_ROWS,
 ) -> DataFrame:
-    """``df`` with a vector per row. The embedder runs in the tasks and is handed at
-    most ``batch_rows`` whole texts at a time."""
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
-    position = df.columns.index(text)
+    """``key, out``: the vector of every text of ``df``, whose ``key`` is one; a null text is an empty one.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, batch_rows):
-                part = batch.slice(start, batch_rows)
-                texts = [t or "" for t in part.column(position).to_pylist()]
-                vectors = pa.array(
-                    [list(v) for v in embedder(texts)], type=pa.list_(pa.float32())
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, vectors], names=[*part.schema.names, out]
-                )
+    A model runs in the tasks. It is handed the texts only, at most ``batch_rows`` whole ones at a
+    time. ``FeatureHashing`` counts words in the JVM.
+    """
+    if isinstance(embedder, FeatureHashing):
+        return embedder.vectors(df, key, text, out)
+
+    @F.pandas_udf("array<float>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            found: list[list[float]] = []
+            for start in range(0, len(texts), batch_rows):
+                part = texts.iloc[start : start + batch_rows].tolist()
+                found += [[float(x) for x in vector] for vector in embedder(part)]
+            yield pd.Series(found, dtype="object")
 
-    return df.mapInArrow(run, schema)
+    return df.select(key, run(F.coalesce(F.col(text), F.lit(""))).alias(out))
+
+
+def query_vector(spark: SparkSession, text: str, embedder: Embedder) -> list[float]:
+    """The vector of one text, on the driver."""
+    if not isinstance(embedder, FeatureHashing):
+        return list(embedder([text])[0])
+    one = spark.range(1).select("id", F.lit(text).alias("text"))
+    return embed_texts(one, "id", "text", embedder).first()["embedding"]
 
 
 def changed_items(items: DataFrame, known: DataFrame, id_column: str, hash_column: str) -> DataFrame:
@@ -75,40 +69,63 @@ def changed_items(items: DataFrame, known: DataFrame, id_column: str, hash_colum
     return items.join(known.select(id_column, hash_column), [id_column, hash_column], "left_anti")
 
 
-def query_blocks(
-    df: DataFrame, id_column: str, vector_column: str, rows: int = QUERY_ROWS
-) -> Iterator[list[tuple[object, list[float]]]]:
-    """Query vectors of a frame of any size, about ``rows`` at a time, dealt by hash; the
-    driver holds one block only."""
-    queries = df.select(id_column, vector_column)
-    blocks = max(1, math.ceil(queries.count() / rows))
-    block_of = F.pmod(F.xxhash64(id_column), F.lit(blocks))
-    for block in range(blocks):
-        found = queries.filter(block_of == block).collect()
-        if found:
-            yield sorted(((r[0], list(r[1])) for r in found), key=lambda q: q[0])
+class _Nearest:
+    """The ``k`` nearest of the vectors seen so far, for each query of one block. Queries are matched
+    with vectors of their own length; a query without a direction is near nothing."""
 
+    def __init__(self, queries: Sequence[Sequence[float] | None], k: int, digits: int | None) -> None:
+        self._k, self._digits = k, digits
+        self._held: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(queries)
+        self._id_type: pa.DataType | None = None
+        by_size: dict[int, list[int]] = {}
+        for i, vector in enumerate(queries):
+            if vector is not None and len(vector):
+                by_size.setdefault(len(vector), []).append(i)
+        self._blocks = []
+        for size, places in by_size.items():
+            block = np.asarray([queries[i] for i in places], dtype=np.float64)
+            norms = np.linalg.norm(block, axis=1, keepdims=True)
+            block = np.divide(block, norms, out=np.full_like(block, np.nan), where=norms > 0)
+            self._blocks.append((size, places, block))
 
-def top_k_of(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int = 10,
-    *,
-    id_column: str = "id",
-    vector_column: str = "embedding",
-    query_id: str | None = None,
-    query_rows: int = QUERY_ROWS,
-    **options: object,
-) -> DataFrame:
-    """``top_k`` for all rows of ``queries``: one scan of ``vectors`` for each block."""
-    blocks = query_blocks(queries, query_id or id_column, vector_column, query_rows)
-    found = [
-        top_k(vectors, block, k, id_column=id_column, vector_column=vector_column, **options)
-        for block in blocks
-    ]
-    if not found:
-        raise ValueError("no query vectors")
-    return reduce(DataFrame.unionByName, found)
+    def add(self, ids: pa.Array, vectors: pa.Array) -> None:
+        """One matrix product for each length of vectors."""
+        if not len(ids):
+            return
+        self._id_type = ids.type
+        sizes = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
+        for size, places, block in self._blocks:
+            rows = np.flatnonzero(sizes == size)
+            if not len(rows):
+                continue
+            # A null element reads as NaN, which leaves its vector without a score.
+            flat = vectors.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            matrix = flat.reshape(-1, size)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                scores = (matrix @ block.T) / np.linalg.norm(matrix, axis=1)[:, None]
+            if self._digits is not None:
+                scores = np.round(scores, self._digits)
+            names = ids.take(pa.array(rows)).to_numpy(zero_copy_only=False)
+            for column, q in enumerate(places):
+                self._held[q] = self._best(q, scores[:, column], names)
+
+    def _best(self, q: int, scores: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        there = np.flatnonzero(~np.isnan(scores))
+        scores, names = scores[there], names[there]
+        if self._held[q] is not None:
+            scores = np.concatenate((self._held[q][0], scores))
+            names = np.concatenate((self._held[q][1], names))
+        if len(scores) > self._k:
+            bar = np.partition(scores, len(scores) - self._k)[len(scores) - self._k]
+            best = np.flatnonzero(scores >= bar)
+            best = best[np.lexsort((names[best], -scores[best]))[: self._k]]
+            scores, names = scores[best], names[best]
+        return scores, names
+
+    def found(self) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+        for q, held in enumerate(self._held):
+            if held is not None and len(held[0]):
+                yield q, pa.array(held[1], type=self._id_type), held[0]
 
 
 def top_k(
@@ -121,64 +138,30 @@ def top_k(
     query_column: str = "query_id",
     score_column: str = "score",
     score_digits: int | None = None,
+    query_type: T.DataType | None = None,
 ) -> DataFrame:
-    """The ``k`` nearest vectors of every query, exact, as ``(query, id, score, rank)``.
+    """The ``k`` nearest vectors of every query, exact, as ``(query, id, score, rank)``, for
+    queries that the driver holds: they go to the tasks, and the vectors stay where they are.
 
     Each Arrow batch is one matrix product against the query block. A task keeps a
     running ``k`` best for each query over its batches, so what leaves it is ``k`` rows
     a query at most, whatever ``k`` is. Equal scores are ordered by id. A vector of length zero, of another
-    size than the query, or null has no cosine and is never near.
+    size than the query, or null has no cosine and is never near. A query that is null or of
+    length zero has no rows, and no queries give none.
     """
-    if not queries:
-        raise ValueError("no query vectors")
-    block = np.asarray([q[1] for q in queries], dtype=np.float64)
-    size = block.shape[1]
-    norms = np.linalg.norm(block, axis=1, keepdims=True)
-    block = np.divide(block, norms, out=np.full_like(block, np.nan), where=norms != 0)
+    blocks = [q[1] for q in queries]
     id_type = vectors.schema[id_column].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray] | None] = [None] * block.shape[0]
-        id_arrow = None
+        nearest = _Nearest(blocks, k, score_digits)
         for batch in batches:
-            ids, column = batch.column(0), batch.column(1)
-            if batch.num_rows == 0:
-                continue
-            id_arrow = ids.type
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            matrix = flat.reshape(-1, size)
-            lengths = np.linalg.norm(matrix, axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                scores = (matrix @ block.T) / lengths[:, None]
-            if score_digits is not None:
-                scores = np.round(scores, score_digits)
-            names = ids.to_numpy(zero_copy_only=False)
-            for q in range(block.shape[0]):
-                row_scores, row_names = scores[:, q], names
-                best = np.flatnonzero(~np.isnan(row_scores))
-                row_scores, row_names = row_scores[best], row_names[best]
-                if held[q] is not None:
-                    row_scores = np.concatenate((held[q][0], row_scores))
-                    row_names = np.concatenate((held[q][1], row_names))
-                if len(row_scores) > k:
-                    bar = np.partition(row_scores, len(row_scores) - k)[len(row_scores) - k]
-                    best = np.flatnonzero(row_scores >= bar)
-                    best = best[np.lexsort((row_names[best], -row_scores[best]))[:k]]
-                    row_scores, row_names = row_scores[best], row_names[best]
-                held[q] = (row_scores, row_names)
-        for q, found in enumerate(held):
-            if found is not None and len(found[0]):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(found[0]), q, dtype=np.int32)),
-                        pa.array(found[1], type=id_arrow),
-                        pa.array(found[0]),
-                    ],
-                    names=["__q", id_column, score_column],
-                )
-
-    # a null element reads as NaN, which leaves its vector without a score
-    comparable = vectors.select(id_column, vector_column).filter(F.size(vector_column) == size)
+            nearest.add(batch.column(0), batch.column(1))
+        for q, ids, scores in nearest.found():
+            place = pa.array(np.full(len(scores), q, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([place, ids, pa.array(scores)], names=["__q", id_column, score_column])
+
+    sizes = sorted({len(v) for v in blocks if v is not None and len(v)})
+    comparable = vectors.select(id_column, vector_column).filter(F.size(vector_column).isin(sizes) if sizes else F.lit(False))
     schema = T.StructType(
         [
             T.StructField("__q", T.IntegerType()),
@@ -188,9 +171,117 @@ def top_k(
     )
     candidates = comparable.mapInArrow(run, schema)
     names = F.array(*[F.lit(q[0]) for q in queries])
+    if query_type is not None or not queries:
+        names = names.cast(T.ArrayType(query_type or T.StringType()))
     order = Window.partitionBy("__q").orderBy(F.desc(score_column), F.asc(id_column))
     return (
         candidates.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select(F.get(names, F.col("__q")).alias(query_column), id_column, score_column, "rank")
     )
+
+
+def top_k_of(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int = 10,
+    *,
+    id_column: str = "id",
+    vector_column: str = "embedding",
+    query_id: str | None = None,
+    query_column: str = "query_id",
+    score_column: str = "score",
+    score_digits: int | None = None,
+    query_rows: int = QUERY_ROWS,
+    vector_parts: int | None = None,
+) -> DataFrame:
+    """``top_k`` for all rows of ``queries``, however many; equal ones count once.
+
+    Up to ``query_rows`` of them go to the tasks as they are. More are dealt into blocks of about
+    that many, and the vectors into ``vector_parts`` parts; every block meets every part in
+    one cell of a grid. A cell's queries come first in its task, then its vectors stream past
+    them; it passes on ``k`` rows a query, and one ranking merges the parts. So both
+    tables are scanned once, and a task holds one block of queries and one batch of vectors.
+    """
+    named = query_id or id_column
+    spark = vectors.sparkSession
+    asked = queries.select(F.col(named).alias("q"), F.col(vector_column).alias("v")).filter(F.size("v") > 0).distinct()
+    few = asked.limit(query_rows + 1).collect()
+    if len(few) <= query_rows:
+        return top_k(
+            vectors, sorted(((r["q"], list(r["v"])) for r in few), key=repr), k,
+            id_column=id_column, vector_column=vector_column, query_column=query_column, score_column=score_column,
+            score_digits=score_digits, query_type=queries.schema[named].dataType,
+        )
+    blocks = math.ceil(asked.count() / query_rows)
+    parts = vector_parts or math.ceil(2 * int(spark.conf.get("spark.sql.shuffle.partitions")) / blocks)
+    cells = _grid(vectors.select(F.col(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("v")), asked, blocks, parts)
+    schema = T.StructType(
+        [
+            T.StructField("q", queries.schema[named].dataType),
+            T.StructField("h", T.LongType()),
+            T.StructField("id", vectors.schema[id_column].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    order = Window.partitionBy("q", "h").orderBy(F.desc("score"), F.asc("id"))
+    return (
+        cells.mapInArrow(_cell_search(k, score_digits), schema)
+        .withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= k)
+        .select(F.col("q").alias(query_column), F.col("id").alias(id_column), F.col("score").alias(score_column), "rank")
+    )
+
+
+def _grid(vectors: DataFrame, asked: DataFrame, blocks: int, parts: int) -> DataFrame:
+    """Both tables as ``part, block, kind, id, v, q, h``, the cells one after the other in their tasks,
+    queries (kind 0) before vectors (kind 1)."""
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    # ``h`` tells queries apart that have one id and several vectors.
+    told = asked.select(F.col("q"), F.col("v").cast("array<double>").alias("v"), F.xxhash64("v").alias("h"))
+    block = F.pmod(F.xxhash64("q", "h"), F.lit(blocks)).cast("int")
+    left = told.select(every(parts).alias("part"), block.alias("block"), F.lit(0).alias("kind"), "v", "q", "h")
+    part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    right = vectors.filter(F.size("v") > 0).select(part.alias("part"), every(blocks).alias("block"), F.lit(1).alias("kind"), "id", "v")
+    both = left.unionByName(right, allowMissingColumns=True).select("part", "block", "kind", "id", "v", "q", "h")
+    return both.repartition("part", "block").sortWithinPartitions("part", "block", "kind")
+
+
+def _cell_search(k: int, digits: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, nearest = None, None
+        queries: list[tuple[pa.Array, pa.Array, pa.Array]] = []
+
+        def answered() -> Iterator[pa.RecordBatch]:
+            if nearest is None:
+                return
+            q, h = (pa.concat_arrays([x[i] for x in queries]) for i in (0, 1))
+            for place, ids, scores in nearest.found():
+                told = pa.array(np.full(len(scores), place))
+                yield pa.RecordBatch.from_arrays([q.take(told), h.take(told), ids, pa.array(scores)], names=["q", "h", "id", "score"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
+            ends = [*(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+            start = 0
+            for end in ends:
+                part, block, kind = (int(x) for x in at[:, start])
+                if (part, block) != cell:
+                    yield from answered()
+                    cell, nearest, queries = (part, block), None, []
+                ids, v, q, h = (batch.column(i).slice(start, end - start) for i in range(3, 7))
+                if kind == 0:
+                    queries.append((q, h, v))
+                elif queries:
+                    if nearest is None:
+                        nearest = _Nearest([x for _, _, part_v in queries for x in part_v.to_pylist()], k, digits)
+                    nearest.add(ids, v)
+                start = end
+        yield from answered()
+
+    return run

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from zonewright import schemas
 from zonewright.functions.scalars import item_text
 from zonewright.operators.enrich import lookup_join
 from zonewright.operators.export import export_rows
-from zonewright.operators.vectors import Embedder, changed_items, embed_texts, top_k
+from zonewright.operators.vectors import Embedder, embed_texts, query_vector, top_k
 from zonewright.plans.report import FlowReport
+from zonewright.session import Staging
 from zonewright.sources.store import TableStore
 
 VECTORS = "movie_vectors"
@@ -47,33 +48,48 @@ def unmatched_ratings(trusted: TableStore) -> DataFrame:
 
 
 def movie_items(movies: DataFrame) -> DataFrame:
-    """Id, text and metadata of the item that stands for each movie."""
+    """Id, text and metadata of the item that stands for each movie, with a hash of either."""
     text = item_text(F.col("title"), F.col("overview"))
     return movies.select(
-        F.col("tmdb_id").cast("string").alias("id"),
-        text.alias("text"),
-        F.sha2(text, 256).alias("text_hash"),
-        F.struct("*").alias("metadata"),
-    )
+        F.col("tmdb_id").cast("string").alias("id"), text.alias("text"), F.struct("*").alias("metadata")
+    ).select("id", "text", text_hash(F.col("text")), "metadata", metadata_hash(F.col("metadata")))
+
+
+def text_hash(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256).alias("text_hash")
+
+
+def metadata_hash(metadata: Column) -> Column:
+    return F.sha2(F.to_json(metadata), 256).alias("metadata_hash")
 
 
 def refresh_vectors(
     items: DataFrame, store: TableStore, embedder: Embedder, table: str = VECTORS
 ) -> int:
-    """Embed items whose text is new or changed, and renew changed metadata under
-    the vector an unchanged text already has."""
-    if not store.exists(table):
-        return store.upsert(table, embed_texts(items, "text", embedder), ["id"])
-    known = store.read(table)
-    stale = embed_texts(changed_items(items, known, "id", "text_hash"), "text", embedder)
-    same_text = items.join(
-        known.select("id", "text_hash", "embedding", F.col("metadata").alias("stored")),
-        ["id", "text_hash"],
-    )
-    renewed = same_text.filter(F.to_json("metadata") != F.to_json("stored"))
-    return store.upsert(
-        table, stale.unionByName(renewed.select(*stale.columns)), ["id"]
-    )
+    """Embed items (``id, text, text_hash, metadata, metadata_hash`` and others) whose text is new
+    or changed, and renew changed metadata under the vector an unchanged text already has.
+
+    What is stored meets the items by id. Items that are as they were go no further; of the
+    others, only id and text of those without a vector for their text reach the embedder.
+    """
+    known_columns = {"text_hash": "string", "metadata_hash": "string", "embedding": "array<float>"}
+    if store.exists(table):
+        known = store.read(table).select("id", *(F.col(c).alias(f"known_{c}") for c in known_columns))
+        met = items.join(known, "id", "left")
+    else:
+        met = items.withColumns({f"known_{c}": F.lit(None).cast(t) for c, t in known_columns.items()})
+    same_text = F.col("text_hash").eqNullSafe(F.col("known_text_hash"))
+    same = same_text & F.col("metadata_hash").eqNullSafe(F.col("known_metadata_hash"))
+    staging = Staging(store.spark, "refresh")
+    try:
+        changed = staging.put(met.filter(~same))
+        vectors = embed_texts(changed.filter(~same_text).select("id", "text"), "id", "text", embedder, out="found")
+        renewed = changed.join(vectors, "id", "left").withColumn(
+            "embedding", F.when(same_text, F.col("known_embedding")).otherwise(F.col("found"))
+        )
+        return store.upsert(table, renewed.select(*items.columns, "embedding"), ["id"])
+    finally:
+        staging.clear()
 
 
 def search(
@@ -81,7 +97,7 @@ def search(
 ) -> DataFrame:
     """The ``k`` items nearest to a text, with their metadata, best first."""
     vectors = store.read(table)
-    best = top_k(vectors, [("query", embedder([text])[0])], k)
+    best = top_k(vectors, [("query", query_vector(store.spark, text, embedder))], k)
     found = vectors.select("id", "text", "metadata").join(best, "id")
     return found.select("rank", "id", "score", "text", "metadata").orderBy("rank")
 

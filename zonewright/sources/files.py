@@ -25,6 +25,11 @@ class Files:
             return []
         return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
+    def size(self, path: str) -> int:
+        """Bytes of the files at and below ``path``."""
+        fs, target = self._at(path)
+        return fs.getContentSummary(target).getLength()
+
     def read_text(self, path: str) -> str:
         fs, target = self._at(path)
         stream = fs.open(target)

@@ -3,23 +3,40 @@
 A table is a folder of Parquet data sets and one small file, ``current``, that names the
 data sets of the present version, its schema and its keys. Every write makes new data sets
 and replaces that file last, so a reader sees the version before or the one after, and a
-read is a plain scan. An upsert merges when it writes. The data sets of the version before
-are kept for its readers; older ones are deleted. One writer per table. Where tables are
-large and changes small, ``DeltaTableStore`` leaves row-level work to that library.
+read is a plain scan.
+
+The rows of a keyed table are dealt into buckets by a hash of the key, each with data sets
+of its own. An upsert merges, when it writes, the buckets that hold a changed key; the data
+sets of all others stay as they are, so what it reads and writes follows the changes. Rows
+with a null key match nothing: they are only ever added, to a bucket that is never merged.
+The data sets of the version before are kept for its readers; older ones are deleted. One
+writer per table.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from zonewright.operators.dedup import all_present
 from zonewright.operators.merge import align, count_and_check, merge_checked
 from zonewright.sources.files import Files
 
+# Bytes a bucket should hold; a table that comes to four times as much for each of its buckets is
+# dealt anew. A bucket's files are split by size, whatever it holds.
+BUCKET_BYTES = 128 * 1024 * 1024
+MOST_BUCKETS = 4096
+# Data sets of rows with null keys after which these are written anew as one.
+LOOSE_SETS = 32
+# Folders of a data set, named so that all of a table's are read as one.
+_SET = "__set"
+_BUCKET = "__bucket"
+_LOOSE = "-1"
+_WHOLE = "all"
+
 
 class TableNotFound(LookupError):
     """The zone has no such table."""
@@ -30,17 +47,24 @@ class _Version:
     schema: dict
     keys: list[str] = field(default_factory=list)
     partition_by: list[str] = field(default_factory=list)
-    data: list[str] = field(default_factory=list)
+    buckets: int = 1
+    data: dict[str, list[str]] = field(default_factory=dict)
+    bytes: dict[str, int] = field(default_factory=dict)
     before: list[str] = field(default_factory=list)
     applied: dict[str, int] = field(default_factory=dict)
 
+    def sets(self) -> list[str]:
+        return [s for sets in self.data.values() for s in sets]
+
 
 class TableStore:
-    """Tables of one zone below ``root``."""
+    """Tables of one zone below ``root``. Keyed ones have as many buckets as their size asks for, and more
+    as they grow, or always ``buckets``."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, *, buckets: int | None = None) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self._files = Files(spark)
 
     # --- reading ----------------------------------------------------------------
@@ -82,16 +106,19 @@ class TableStore:
         if old and mode == "error":
             raise FileExistsError(f"{self.root}/{name}")
         if old and mode == "append":
-            new = _Version(old.schema, old.keys, old.partition_by, [*old.data], [], old.applied)
+            new = self._next(old)
             rows = align(df, T.StructType.fromJson(old.schema))
         else:
-            new = _Version(_nullable(df.schema).jsonValue(), list(keys), list(partition_by))
+            new = _Version(_nullable(df.schema).jsonValue(), list(keys), list(partition_by), self.buckets or 1)
             new.applied = old.applied if old else {}
             rows = df
-        written = self._write(name, rows, new.partition_by)
-        new.data.append(written)
+        written = self._write(name, rows, new)
+        for bucket, sets in written.items():
+            new.data[bucket] = [*new.data.get(bucket, []), *sets]
         if new.keys:
-            self._checked(name, written, self._rows(name, new), new.keys)
+            # A key that is there already is in the bucket its copy has come to.
+            self._checked(name, written, self._rows(name, new, written), new.keys)
+            self._resize(name, old, new, written)
         self._publish(name, old, new)
 
     def upsert(
@@ -119,23 +146,26 @@ class TableStore:
         if old and old.keys != list(keys):
             raise ValueError(f"{name} is keyed by {old.keys}, not {list(keys)}")
         new = (
-            _Version(old.schema, old.keys, old.partition_by, [], [], dict(old.applied))
+            self._next(old)
             if old
-            else _Version(_nullable(df.schema).jsonValue(), list(keys), list(partition_by))
+            else _Version(_nullable(df.schema).jsonValue(), list(keys), list(partition_by), self.buckets or 1)
         )
         rows = align(df, T.StructType.fromJson(old.schema)) if old else df
-        written = self._write(name, rows, new.partition_by)
-        changes = self._data_set(name, written, new)
-        count = self._checked(name, written, changes, keys)
-        if count == 0:
-            self._files.delete(self._data_path(name, written))
+        written = self._write(name, rows, new)
+        if not written:
             return 0
-        if old:
-            merged = merge_checked(self._rows(name, old), changes, keys)
-            new.data = [self._write(name, merged, new.partition_by)]
-            self._files.delete(self._data_path(name, written))
-        else:
-            new.data = [written]
+        changes = _Version(new.schema, data=written)
+        count = self._checked(name, written, self._rows(name, changes), keys)
+        merged = [b for b in written if b in new.data and b != _LOOSE]
+        if merged:
+            both = merge_checked(self._rows(name, new, merged), self._rows(name, changes, merged), keys)
+            together = self._write(name, both, new)
+            self._delete(name, [s for b in merged for s in written[b]], [s for b in written if b not in merged for s in written[b]])
+            written = {b: s for b, s in written.items() if b not in merged} | together
+        if _LOOSE in written:
+            written[_LOOSE] = self._gathered(name, new, [*new.data.get(_LOOSE, []), *written[_LOOSE]])
+        new.data |= written
+        self._resize(name, old, new, written)
         if writer:
             new.applied[writer[0]] = writer[1]
         self._publish(name, old, new)
@@ -157,38 +187,92 @@ class TableStore:
             raise TableNotFound(f"{self.root}/{name}")
         return _Version(**json.loads(self._files.read_text(self._pointer(name))))
 
+    @staticmethod
+    def _next(old: _Version) -> _Version:
+        """A version to be made from ``old``, with the data sets it has."""
+        data = {bucket: [*sets] for bucket, sets in old.data.items()}
+        return _Version(old.schema, old.keys, old.partition_by, old.buckets, data, dict(old.bytes), [], dict(old.applied))
+
     def _publish(self, name: str, old: _Version | None, new: _Version) -> None:
-        new.before = [d for d in (old.data if old else []) if d not in new.data]
+        kept = set(new.sets())
+        new.before = [s for s in (old.sets() if old else []) if s not in kept]
         self._files.replace_text(self._pointer(name), json.dumps(asdict(new)))
-        for data in old.before if old else []:
-            self._files.delete(self._data_path(name, data))
+        if old:
+            self._delete(name, old.before, [*kept, *new.before])
 
-    def _checked(self, name: str, written: str, rows: DataFrame, keys: Sequence[str]) -> int:
+    def _delete(self, name: str, sets: Iterable[str], kept: Iterable[str]) -> None:
+        """Delete data sets, and the folder of the write that made them once nothing of it is kept."""
+        used = {s.split("/")[0] for s in kept}
+        for path in {s if s.split("/")[0] in used else s.split("/")[0] for s in sets}:
+            self._files.delete(self._data_path(name, path))
+
+    def _checked(self, name: str, written: dict[str, list[str]], rows: DataFrame, keys: Sequence[str]) -> int:
         """Row count of ``rows``; a repeated key takes back what was written."""
         try:
             return count_and_check(rows, keys)
         except ValueError:
-            self._files.delete(self._data_path(name, written))
+            self._delete(name, [s for sets in written.values() for s in sets], [])
             raise
 
+    def _resize(self, name: str, old: _Version | None, new: _Version, written: Iterable[str]) -> None:
+        """Note the sizes of the buckets that were written; deal the rows into more of them when the table
+        has outgrown those it has, which happens once for every fourfold growth."""
+        for bucket in written:
+            new.bytes[bucket] = sum(self._files.size(self._data_path(name, s)) for s in new.data[bucket])
+        held = sum(n for bucket, n in new.bytes.items() if bucket != _LOOSE)
+        if self.buckets is not None or held <= 4 * new.buckets * BUCKET_BYTES or new.buckets >= MOST_BUCKETS:
+            return
+        while new.buckets < MOST_BUCKETS and held > new.buckets * BUCKET_BYTES:
+            new.buckets *= 2
+        keyed = [b for b in new.data if b != _LOOSE]
+        dealt = self._write(name, self._rows(name, new, keyed), new)
+        made = [s for b in keyed for s in new.data[b] if not old or s not in old.sets()]
+        new.data = dealt | {b: s for b, s in new.data.items() if b == _LOOSE}
+        new.bytes = {b: sum(self._files.size(self._data_path(name, s)) for s in sets) for b, sets in new.data.items()}
+        self._delete(name, made, [*new.sets(), *(old.sets() if old else [])])
+
+    def _gathered(self, name: str, version: _Version, sets: list[str]) -> list[str]:
+        """Data sets of rows with null keys; as one when there are many."""
+        if len(sets) <= LOOSE_SETS:
+            return sets
+        rows = self._rows(name, _Version(version.schema, data={_LOOSE: sets}))
+        return self._write(name, rows, version)[_LOOSE]
+
     def _data_path(self, name: str, data: str) -> str:
         return f"{self.root}/{name}/data/{data}"
 
-    def _write(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> str:
-        data = self._files._jvm.java.util.UUID.randomUUID().toString()
-        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-        writer.parquet(self._data_path(name, data))
-        return data
-
-    def _data_set(self, name: str, data: str, version: _Version) -> DataFrame:
+    def _write(self, name: str, df: DataFrame, version: _Version) -> dict[str, list[str]]:
+        """Write ``df``; the data sets made, by bucket. A bucket without rows gets none."""
+        data = f"{_SET}={self._files._jvm.java.util.UUID.randomUUID().toString()}"
+        path = self._data_path(name, data)
+        if not version.keys:
+            writer = df.write.partitionBy(*version.partition_by) if version.partition_by else df.write
+            writer.parquet(path)
+            return {_WHOLE: [data]}
+        dealt = df.withColumn(_BUCKET, _bucket(version))
+        if version.buckets > 1:
+            # Spark sees how large each bucket has become, and splits large ones among tasks.
+            dealt = dealt.hint("rebalance", F.col(_BUCKET))
+        dealt.write.partitionBy(_BUCKET, *version.partition_by).parquet(path)
+        folders = [f for f in self._files.names(path) if f.startswith(f"{_BUCKET}=")]
+        if not folders:
+            self._files.delete(path)
+        return {f.removeprefix(f"{_BUCKET}="): [f"{data}/{f}"] for f in folders}
+
+    def _rows(self, name: str, version: _Version, buckets: Iterable[str] | None = None) -> DataFrame:
+        """The rows of some buckets, or of all: one scan."""
         schema = T.StructType.fromJson(version.schema)
-        rows = self.spark.read.schema(schema).parquet(self._data_path(name, data))
-        return rows.select(*[f"`{n}`" for n in schema.names])
+        chosen = version.data if buckets is None else buckets
+        paths = [self._data_path(name, s) for b in chosen for s in version.data.get(b, [])]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        scan = self.spark.read.schema(schema).option("basePath", self._data_path(name, "")).parquet(*paths)
+        return scan.select(*[f"`{n}`" for n in schema.names])
 
-    def _rows(self, name: str, version: _Version) -> DataFrame:
-        return reduce(
-            DataFrame.unionByName, [self._data_set(name, d, version) for d in version.data]
-        )
+
+def _bucket(version: _Version) -> Column:
+    by_key = F.pmod(F.xxhash64(*[f"`{k}`" for k in version.keys]), F.lit(version.buckets))
+    return F.when(all_present(version.keys), by_key).otherwise(int(_LOOSE)).cast("int")
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
