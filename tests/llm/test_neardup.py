@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from zonewright.llm import neardup
 from zonewright.llm.neardup import near_duplicates, shingles, without_near_duplicates
@@ -82,6 +83,31 @@ def test_repeated_and_null_keys(spark):
     assert [(r[0], r[2], r[3]) for r in got] == [(1, 1, True), (1, 1, True), (2, 1, False), (5, 1, False), (5, 1, False), (None, None, True)]
 
 
+def test_texts_of_one_key_are_told_apart(spark):
+    # Each of the two texts of key 7 has a partner; they are of one size, and one is there twice.
+    rows = variants(5, 2, 3, edits=2)
+    a, b = rows[0][1], next(t for _, t in rows if not set(t.split()) & set(rows[0][1].split()) or len(set(t.split()) & set(rows[0][1].split())) < 20)
+    docs = [(i + 100, t) for i, t in rows if t not in (a, b)] + [(7, a), (7, b), (7, b)]
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(table(spark, docs)).collect()}
+    linked = {i for i, t in docs[:-3] if any(brute([(1, t), (2, own)])[1][2] == 1 for own in (a, b))}
+    assert linked and all(got[i] == 7 for i in linked) and got[7] == 7
+
+
+def test_a_shared_passage_makes_no_pairs(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+
+    def near(n):
+        rng = random.Random(n)
+        texts = [" ".join([passage, *(f"w{rng.randrange(10**9)}" for _ in range(40))]) for _ in range(n)]
+        docs = table(spark, list(enumerate(texts)))
+        rows = neardup.signed(docs, "text", "doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
+        nodes = rows.select(F.col("doc_id").alias("id"), "same", "halves")
+        sets = neardup._sets(docs, nodes.select("id"), nodes.select("id"), "text", "doc_id", docs.schema["doc_id"].dataType)
+        return neardup.rare_first(sets, nodes).count()
+
+    assert near(200) == near(400) == 0
+
+
 def test_the_threshold_is_met_exactly(spark):
     words = [f"w{i}" for i in range(40)]
     # 36 shingles each; 6 and 5 others at the end: 30 of 42 and 31 of 41 are common, 75.6 % and 71.4 %.

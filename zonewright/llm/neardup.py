@@ -20,13 +20,8 @@ PERCENT = 75
 # from 84 hashes. A pair at the least similarity misses all tables with probability 5e-6.
 COLLECTIONS = 28
 HASHES = 3
-# Equal hashes of all that a pair must have to be confirmed on its sets. A pair at the least
-# similarity has 63 of 84 on average and fewer than this with probability 1e-5.
-AGREEING = 45
-# Rounds in which members of a table's bucket are compared with one centre only.
-STARS = 6
-# Pairs for each member of a bucket that are few enough to be compared one by one.
-FEW = 1
+# Rounds in which a document is compared with one centre only, before all that is left.
+STARS = 3
 SEED = 11
 SHINGLES_AT_ONCE = 20_000
 
@@ -99,37 +94,32 @@ def fingerprint(set_: np.ndarray) -> bytes:
 
 
 def signed(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """``doc_id, n_shingles, same, halves, sig``: ``same`` tells equal sets; no set, nulls."""
+    """``doc_id, n_shingles, same, halves``: ``same`` tells equal sets; no set, nulls."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes, same, halves, sigs = [], [], [], []
+            sizes, same, halves = [], [], []
             for text_ in batch["text"]:
                 set_ = shingles(text_)
                 sizes.append(len(set_))
                 if len(set_):
-                    least = signature(set_)
                     same.append(fingerprint(set_))
-                    halves.append(half_keys(least))
-                    sigs.append(least.tobytes())
+                    halves.append(half_keys(signature(set_)))
                 else:
                     same.append(None)
                     halves.append(None)
-                    sigs.append(None)
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "n_shingles": np.asarray(sizes, dtype="int64"), "same": same, "halves": halves, "sig": sigs}
-            )
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": np.asarray(sizes, dtype="int64"), "same": same, "halves": halves})
 
     small_batches(docs.sparkSession)
     return docs.select(F.col(key).cast("string").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(
-        sign, "doc_id string, n_shingles long, same binary, halves array<long>, sig binary"
+        sign, "doc_id string, n_shingles long, same binary, halves array<long>"
     )
 
 
-def apart(df: DataFrame, *columns: str) -> DataFrame:
-    """``df`` dealt by ``columns``, which are not those of the join to come: the join then has
-    plain exchanges on both sides, and a key that many rows have can be split."""
-    return df.repartition(*columns)
+def apart(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by the keys of the join to come, but by another hash of them: the join then has
+    plain exchanges on both sides, so that a key that many rows have can be split."""
+    return df.repartition(F.xxhash64(F.lit("apart"), *keys))
 
 
 def table_keys(nodes: DataFrame) -> DataFrame:
@@ -137,7 +127,7 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     key that only one node has can be in no shared bucket, so it makes no keys at all."""
     halves = nodes.select("id", F.posexplode("halves").alias("slot", "half"))
     shared = halves.groupBy("slot", "half").agg(F.count("*").alias("n")).where("n > 1").select("slot", "half")
-    kept = halves.join(apart(shared, "half"), ["slot", "half"])
+    kept = halves.join(apart(shared, "slot", "half"), ["slot", "half"])
     lists = kept.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("slot", "half"))).alias("h")).where(F.size("h") > 1)
     first = F.explode(F.sequence(F.lit(1), F.size("h") - 1))
     return (
@@ -147,42 +137,51 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     )
 
 
-def confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are linked: first by their hashes, which sorts out most others, then
-    on their whole sets."""
-
-    def side(table: DataFrame, name: str, value: str) -> DataFrame:
-        return table.select(F.col("id").alias(name), F.col(value).alias(f"{value}_{name}"), F.col("n").alias(f"n_{name}"))
-
-    @F.pandas_udf("int")
-    def agreeing(x: pd.Series, y: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype="int32")
-        a = np.frombuffer(b"".join(x), dtype=np.uint32).reshape(len(x), -1)
-        b = np.frombuffer(b"".join(y), dtype=np.uint32).reshape(len(y), -1)
-        return pd.Series((a == b).sum(axis=1).astype("int32"))
-
-    @F.pandas_udf("long")
-    def common(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                len(np.intersect1d(np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64), assume_unique=True))
-                for a, b in zip(x, y, strict=True)
-            ],
-            dtype="int64",
-        )
-
-    # A pair of sizes too different cannot be similar enough.
-    fit = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    likely = stage(
-        pairs.join(side(sigs, "a", "sig"), "a").join(side(sigs, "b", "sig"), "b").where(fit)
-        .where(agreeing("sig_a", "sig_b") >= AGREEING).select("a", "b"),
-        "dup-likely",
-    )
-    both = likely.join(side(sets, "a", "set"), "a").join(side(sets, "b", "set"), "b")
-    shared = common("set_a", "set_b")
-    return both.withColumn("shared", shared).where(
-        F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * PERCENT
+def rare_first(sets: DataFrame, halves: DataFrame) -> DataFrame:
+    """``id, same, n, halves, shared, alone, take`` of the nodes that can have a partner: their shingles that other
+    nodes have too, the rarest first, how many only they have, and how many of ``shared`` a partner
+    must hit: of two linked sets, neither lacks more than a quarter of its shingles in the other."""
+    held = sets.select("id", "same", "n", F.explode("set").alias("s"))
+    common = held.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    # A set, as rows that repeat a key and a text would give their shingles again.
+    ranked = F.sort_array(F.collect_set(F.struct("df", "s")))
+    lists = held.join(apart(common, "s"), "s").groupBy("id", "same", "n").agg(F.transform(ranked, lambda x: x["s"]).alias("shared"))
+    needed = F.floor((F.col("n") * PERCENT + 99) / 100)
+    lists = lists.withColumn("alone", F.col("n") - F.size("shared")).withColumn("take", (F.col("n") - needed + 1 - F.col("alone")).cast("int"))
+    return lists.where("take > 0").join(halves, ["id", "same"])
+
+
+def rare_groups(nodes: DataFrame) -> DataFrame:
+    """``x, y, id, n, pos``: groups of nodes that share a rare shingle, ``pos`` being its place among a node's
+    shingles, the rarest first. Shingles that the very same nodes share make one group."""
+    rare = nodes.select("id", "same", "n", "alone", F.posexplode(F.slice("shared", 1, F.col("take"))).alias("i", "s"))
+    rare = rare.select("s", "id", "same", "n", (F.col("alone") + F.col("i")).alias("pos"))
+    same = rare.groupBy("s").agg(
+        F.bit_xor(F.xxhash64("id", "same")).alias("x"), F.bit_xor(F.xxhash64(F.lit(SEED), "id", "same")).alias("y"), F.count("*").alias("m")
+    ).where("m > 1")
+    placed = rare.join(apart(same.select("s", "x", "y"), "s"), "s")
+    return placed.groupBy("x", "y", "id", "same", "n").agg(F.min("pos").alias("pos")).drop("same")
+
+
+def can_be_linked(n_a: str, pos_a: str, n_b: str, pos_b: str) -> Column:
+    """Whether sizes and what comes after the first shared shingle leave room for enough shared ones."""
+    a, b = F.col(n_a), F.col(n_b)
+    left = F.least(a - F.col(pos_a), b - F.col(pos_b))
+    return (F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT) & (left * (100 + PERCENT) >= (a + b) * PERCENT)
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that share a table's bucket and are linked, which whole sets tell."""
+
+    def side(name: str) -> DataFrame:
+        return nodes.select(F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "halves", "shared")))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = both.where(F.size(F.array_intersect("halves_a", "halves_b")) > 1)
+    # Shingles that only one node has are in no intersection.
+    common = F.size(F.array_intersect("shared_a", "shared_b"))
+    return both.withColumn("common", common).where(
+        F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * PERCENT
     ).select("a", "b")
 
 
@@ -193,7 +192,7 @@ def components(links: DataFrame) -> DataFrame:
     label = stage(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("comp")).withColumnRenamed("a", "id"), "dup-labels")
     while True:
         near = both.join(label.select(F.col("id").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
-        spread = label.join(apart(near.withColumnRenamed("a", "id"), "m"), "id").select("id", F.col("comp").alias("old"), F.least("comp", "m").alias("comp"))
+        spread = label.join(apart(near.withColumnRenamed("a", "id"), "id"), "id").select("id", F.col("comp").alias("old"), F.least("comp", "m").alias("comp"))
         spread = stage(spread, "dup-labels")
         over = spread.select(F.col("id").alias("comp"), F.col("comp").alias("next"))
         jumped = stage(
@@ -214,7 +213,7 @@ def merged(label: DataFrame, links: DataFrame) -> DataFrame:
         return label
     anew = components(between).select(F.col("id").alias("comp"), F.col("comp").alias("anew"))
     return stage(
-        label.join(apart(anew, "anew"), "comp", "left").select("id", F.coalesce("anew", "comp").alias("comp")), "dup-comps"
+        label.join(apart(anew, "comp"), "comp", "left").select("id", F.coalesce("anew", "comp").alias("comp")), "dup-comps"
     )
 
 
@@ -226,13 +225,14 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
     """``key, n_shingles, component_id, kept`` for every row of ``docs``.
 
     Rows with equal sets are one node, named by the smallest key. Nodes share a bucket if two
-    of their collections of hashes agree (tensored banding). Buckets are worked off in rounds:
-    in each, every member is compared with one centre of its bucket, links are confirmed on
-    whole sets and joined up to components, and buckets whose members are one component
-    are over. So a group of copies costs a comparison or a few for each member, not one for
-    each pair. Members of different components that then still share a bucket are compared
-    pair by pair. ``component_id`` is the smallest key that links reach, ``kept`` whether it is
-    the row's own.
+    of their collections of hashes agree (tensored banding). Nodes that share one are compared if
+    they also share one of their rarest shingles and their sizes and the shingle's places leave
+    room for a link; links are confirmed on whole sets. So documents that have a passage
+    in common and little else make no pairs. In the first rounds every node is compared with
+    one centre, the one it shares most groups with, and links are joined up to components, so that
+    a large group of copies costs a comparison or a few for each. Then all nodes of different
+    components that are still in one group are compared. ``component_id`` is the smallest key
+    that links reach, ``kept`` whether it is the row's own.
 
     A null or empty text, or one of white space, has no shingles and is linked with nothing.
     Rows that repeat a key are one document: it is linked if one of its texts is. A null key
@@ -244,45 +244,39 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
     grouped = rows.where("same is not null and doc_id is not null").groupBy("same")
     nodes = stage(
         grouped.agg(
-            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves"),
-            F.first("sig").alias("sig"), F.count("*").alias("copies"),
+            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves"), F.count("*").alias("copies")
         ),
         "dup-nodes",
     )
     keys = stage(table_keys(nodes).distinct(), "dup-keys")
-    # Buckets of two nodes and more, and what is known of their nodes.
-    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key", "size")
-    members = stage(keys.join(apart(shared, "size"), "key").select("key", "id"), "dup-members")
-    ids = members.select("id").distinct()
-    sigs = stage(nodes.join(ids, "id", "left_semi").select("id", "n", "sig"), "dup-sigs")
+    # Nodes that are in a bucket of two and more.
+    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    ids = stage(keys.join(apart(shared, "key"), "key").select("id").distinct(), "dup-members")
     sets = stage(_sets(docs, nodes.select("id"), ids, text, key, kind), "dup-sets")
+    near = stage(rare_first(sets, nodes.select("id", "same", "halves")), "dup-near")
+    groups = stage(rare_groups(near), "dup-groups")
 
-    label = stage(ids.withColumn("comp", F.col("id")), "dup-comps")
-    open_, left = members, None
+    label = stage(groups.select("id").distinct().withColumn("comp", F.col("id")), "dup-comps")
     for n in range(STARS):
-        placed = open_.join(label, "id")
-        centre = F.min_by(F.struct("id", "comp"), F.xxhash64(F.lit(n), "id"))
-        centres = placed.groupBy("key").agg(centre.alias("c"))
-        stars = (
-            placed.join(apart(centres, "c"), "key").where("comp <> c.comp").select(*ordered(F.col("id"), F.col("c.id"))).distinct()
-        )
-        label = merged(label, stage(confirmed(stars, sigs, sets), "dup-confirmed"))
-        before = left
-        open_, left, few = _still_open(open_, label)
-        # Centres pay for as long as they at least halve what would be compared pair by pair.
-        if few or before is not None and left > before / 2:
-            break
-    if left:
-        x = open_.join(label, "id").select("key", F.col("id").alias("x"), F.col("comp").alias("cx"))
-        y = x.select("key", F.col("x").alias("y"), F.col("cx").alias("cy"))
-        rest = x.join(y, "key").where("cx < cy").select(*ordered(F.col("x"), F.col("y"))).distinct()
-        label = merged(label, stage(confirmed(rest, sigs, sets), "dup-confirmed"))
+        placed = groups.join(label, "id")
+        centre = F.min_by(F.struct("id", "n", "pos", "comp"), F.xxhash64(F.lit(n), "id"))
+        centres = placed.groupBy("x", "y").agg(centre.alias("c")).select("x", "y", "c.id", "c.n", "c.pos", "c.comp").toDF("x", "y", "c", "n_c", "pos_c", "comp_c")
+        stars = placed.join(apart(centres, "x", "y"), ["x", "y"]).where((F.col("comp") != F.col("comp_c")) & can_be_linked("n", "pos", "n_c", "pos_c"))
+        best = stars.groupBy("id", "c").agg(F.count("*").alias("groups")).groupBy("id").agg(F.max(F.struct("groups", "c")).alias("best"))
+        pairs = best.select(*ordered(F.col("id"), F.col("best.c"))).distinct()
+        label = merged(label, stage(confirmed(pairs, near), "dup-confirmed"))
+    placed = groups.join(label, "id")
+    open_ = placed.groupBy("x", "y").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("x", "y")
+    left = stage(placed.join(apart(open_, "x", "y"), ["x", "y"]), "dup-open")
+    right = left.toDF("x", "y", *(f"{c}_r" for c in left.columns[2:]))
+    rest = left.join(right, ["x", "y"]).where((F.col("comp") < F.col("comp_r")) & can_be_linked("n", "pos", "n_r", "pos_r"))
+    label = merged(label, stage(confirmed(rest.select(*ordered(F.col("id"), F.col("id_r"))).distinct(), near), "dup-confirmed"))
 
     # Only what differs from a row's own key is looked up.
     copies = nodes.where("copies > 1").select("same", F.col("id").alias("first"))
     joined = label.where("id <> comp").select(F.col("id").alias("node"), "comp")
-    out = rows.select("doc_id", "n_shingles", "same").join(apart(copies, "first"), "same", "left")
-    out = out.withColumn("node", F.coalesce("first", "doc_id")).join(apart(joined, "comp"), "node", "left")
+    out = rows.select("doc_id", "n_shingles", "same").join(apart(copies, "same"), "same", "left")
+    out = out.withColumn("node", F.coalesce("first", "doc_id")).join(apart(joined, "node"), "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node"))
     return out.select(
         F.col("doc_id").alias(key), "n_shingles", component.alias("component_id"),
@@ -291,39 +285,27 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, text: str, key: str, kind) -> DataFrame:
-    """``id, n, set`` of the nodes in ``ids``: their sets as sorted bytes."""
+    """``id, same, n, set`` of the nodes in ``ids``: their whole sets."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(t) for t in batch["text"]]
             yield pd.DataFrame(
-                {"id": batch["id"], "n": np.array([len(s) for s in sets], dtype="int64"), "set": [s.tobytes() for s in sets]}
-            )
+                {
+                    "id": batch["id"], "same": [fingerprint(s) for s in sets],
+                    "n": np.array([len(s) for s in sets], dtype="int64"), "set": [s.view(np.int64) for s in sets],
+                }
+            )
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
     return (
         rows.join(ids, "id", "left_semi").select(F.col("id").cast("string").alias("id"), "text")
-        .mapInPandas(build, "id string, n long, set binary")
+        .mapInPandas(build, "id string, same binary, n long, set array<long>")
         .where("n > 0")
         .withColumn("id", F.col("id").cast(kind))
     )
 
 
-def _still_open(members: DataFrame, label: DataFrame) -> tuple[DataFrame, int, bool]:
-    """The buckets with members of two components or more, how many pairs those make, and whether
-    these are few for the buckets' members."""
-    placed = members.join(label, "id")
-    counts = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("key").agg(
-        F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count("*").alias("comps")
-    ).where("comps > 1")
-    pairs = ((F.col("all") * F.col("all") - F.col("within")) / 2).cast("long")
-    mixed = stage(mixed.select("key", pairs.alias("pairs"), "all"), "dup-mixed")
-    left, rows = mixed.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("all"), F.lit(0))).first()
-    open_ = members.join(apart(mixed.select("key", "pairs"), "pairs"), "key").select("key", "id")
-    return stage(open_, "dup-open"), left, left <= FEW * rows
-
-
 def without_near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns, that are the first of their component; rows with a null key
     stay. Of rows that repeat a key, the first by text, then by a hash of all columns, stays."""
