@@ -20,8 +20,9 @@ PERCENT = 75
 # from 84 hashes. A pair at the least similarity misses all tables with probability 5e-6.
 COLLECTIONS = 28
 HASHES = 3
-# Rounds in which a document is compared with one centre only, before all that is left.
-STARS = 3
+# Rounds at most in which a document is compared with one centre only, before all that is left; a round
+# that finds no link is the last.
+STARS = 8
 SEED = 11
 SHINGLES_AT_ONCE = 20_000
 
@@ -152,15 +153,15 @@ def rare_first(sets: DataFrame, halves: DataFrame) -> DataFrame:
 
 
 def rare_groups(nodes: DataFrame) -> DataFrame:
-    """``x, y, id, n, pos``: groups of nodes that share a rare shingle, ``pos`` being its place among a node's
-    shingles, the rarest first. Shingles that the very same nodes share make one group."""
+    """``x, y, id, n, pos, rare``: groups of nodes that share a rare shingle, ``pos`` being its place among a
+    node's shingles, the rarest first. Shingles that the very same nodes share make one group, of ``rare``."""
     rare = nodes.select("id", "same", "n", "alone", F.posexplode(F.slice("shared", 1, F.col("take"))).alias("i", "s"))
     rare = rare.select("s", "id", "same", "n", (F.col("alone") + F.col("i")).alias("pos"))
     same = rare.groupBy("s").agg(
         F.bit_xor(F.xxhash64("id", "same")).alias("x"), F.bit_xor(F.xxhash64(F.lit(SEED), "id", "same")).alias("y"), F.count("*").alias("m")
     ).where("m > 1")
     placed = rare.join(apart(same.select("s", "x", "y"), "s"), "s")
-    return placed.groupBy("x", "y", "id", "same", "n").agg(F.min("pos").alias("pos")).drop("same")
+    return placed.groupBy("x", "y", "id", "same", "n").agg(F.min("pos").alias("pos"), F.count("*").alias("rare")).drop("same")
 
 
 def can_be_linked(n_a: str, pos_a: str, n_b: str, pos_b: str) -> Column:
@@ -170,6 +171,14 @@ def can_be_linked(n_a: str, pos_a: str, n_b: str, pos_b: str) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT) & (left * (100 + PERCENT) >= (a + b) * PERCENT)
 
 
+def enough_rare(n_a: str, n_b: str, rare: str) -> Column:
+    """Whether so many shared rare shingles leave room for enough shared ones: of the node whose rare
+    ones end first, all others, three quarters less one, may be shared as well."""
+    wanted = F.ceil((F.col(n_a) + F.col(n_b)) * PERCENT / (100 + PERCENT))
+    others = F.floor((F.greatest(n_a, n_b) * PERCENT + 99) / 100) - 1
+    return F.col(rare) + others >= wanted
+
+
 def confirmed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that share a table's bucket and are linked, which whole sets tell."""
 
@@ -228,7 +237,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
     of their collections of hashes agree (tensored banding). Nodes that share one are compared if
     they also share one of their rarest shingles and their sizes and the shingle's places leave
     room for a link; links are confirmed on whole sets. So documents that have a passage
-    in common and little else make no pairs. In the first rounds every node is compared with
+    in common and little else make no pairs. In up to ``STARS`` rounds every node is compared with
     one centre, the one it shares most groups with, and links are joined up to components, so that
     a large group of copies costs a comparison or a few for each. Then all nodes of different
     components that are still in one group are compared. ``component_id`` is the smallest key
@@ -258,19 +267,27 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
 
     label = stage(groups.select("id").distinct().withColumn("comp", F.col("id")), "dup-comps")
     for n in range(STARS):
-        placed = groups.join(label, "id")
+        open_ = _open_groups(groups, label)
         centre = F.min_by(F.struct("id", "n", "pos", "comp"), F.xxhash64(F.lit(n), "id"))
-        centres = placed.groupBy("x", "y").agg(centre.alias("c")).select("x", "y", "c.id", "c.n", "c.pos", "c.comp").toDF("x", "y", "c", "n_c", "pos_c", "comp_c")
-        stars = placed.join(apart(centres, "x", "y"), ["x", "y"]).where((F.col("comp") != F.col("comp_c")) & can_be_linked("n", "pos", "n_c", "pos_c"))
+        centres = open_.groupBy("x", "y").agg(centre.alias("c")).select("x", "y", "c.id", "c.n", "c.pos", "c.comp").toDF("x", "y", "c", "n_c", "pos_c", "comp_c")
+        stars = open_.join(apart(centres, "x", "y"), ["x", "y"]).where((F.col("comp") != F.col("comp_c")) & can_be_linked("n", "pos", "n_c", "pos_c"))
         best = stars.groupBy("id", "c").agg(F.count("*").alias("groups")).groupBy("id").agg(F.max(F.struct("groups", "c")).alias("best"))
         pairs = best.select(*ordered(F.col("id"), F.col("best.c"))).distinct()
-        label = merged(label, stage(confirmed(pairs, near), "dup-confirmed"))
-    placed = groups.join(label, "id")
-    open_ = placed.groupBy("x", "y").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("x", "y")
-    left = stage(placed.join(apart(open_, "x", "y"), ["x", "y"]), "dup-open")
+        links = stage(confirmed(pairs, near), "dup-confirmed")
+        if links.isEmpty():
+            break
+        label = merged(label, links)
+        # A group that is over stays so: components only grow.
+        groups = open_.drop("comp")
+    left = _open_groups(groups, label)
     right = left.toDF("x", "y", *(f"{c}_r" for c in left.columns[2:]))
-    rest = left.join(right, ["x", "y"]).where((F.col("comp") < F.col("comp_r")) & can_be_linked("n", "pos", "n_r", "pos_r"))
-    label = merged(label, stage(confirmed(rest.select(*ordered(F.col("id"), F.col("id_r"))).distinct(), near), "dup-confirmed"))
+    apart_ = left.join(right, ["x", "y"]).where((F.col("comp") < F.col("comp_r")) & (F.least("n", "n_r") * 100 >= F.greatest("n", "n_r") * PERCENT))
+    a, b = ordered(F.col("id"), F.col("id_r"))
+    met = apart_.groupBy(a, b, F.least("n", "n_r").alias("n"), F.greatest("n", "n_r").alias("n_r")).agg(
+        F.sum("rare").alias("rare"), F.max(can_be_linked("n", "pos", "n_r", "pos_r")).alias("room")
+    )
+    rest = met.where(F.col("room") & enough_rare("n", "n_r", "rare")).select("a", "b").distinct()
+    label = merged(label, stage(confirmed(rest, near), "dup-confirmed"))
 
     # Only what differs from a row's own key is looked up.
     copies = nodes.where("copies > 1").select("same", F.col("id").alias("first"))
@@ -306,6 +323,13 @@ def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, text: str, key: str
     )
 
 
+def _open_groups(groups: DataFrame, label: DataFrame) -> DataFrame:
+    """``groups`` with ``comp``, those that have nodes of two components and more."""
+    placed = groups.join(label, "id").select("x", "y", "id", "n", "pos", "rare", "comp")
+    open_ = placed.groupBy("x", "y").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("x", "y")
+    return stage(placed.join(apart(open_, "x", "y"), ["x", "y"]), "dup-open")
+
+
 def without_near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns, that are the first of their component; rows with a null key
     stay. Of rows that repeat a key, the first by text, then by a hash of all columns, stays."""
