@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 
 from zonewright.llm import toxicity
-from zonewright.llm.toxicity import fit, score_documents, without_toxic, words_of
+from zonewright.llm.toxicity import fit, fit_numbers, score_documents, without_toxic, words_of
 
 INSULTS = "idiot moron scum loser".split()
 DOCS = "doc_id long, text string, score string, k long"
@@ -75,6 +75,26 @@ def test_without_labels_all_scores_are_one(spark):
     assert score_documents(docs.limit(0), labels).count() == 0
 
 
+def test_a_key_that_repeats_is_fitted_once(spark, monkeypatch):
+    texts = sentences(60, 4)
+    docs, labels = tables(spark, texts)
+    often = next(i for i, _ in enumerate(texts) if crc32(str(i).encode()) % 3 != 1)
+    again = spark.range(30_000).selectExpr(f"{often}L AS doc_id", f"'{texts[often][0]}' AS text", "'x' AS score", "1L AS k")
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit_numbers", lambda names, rows, label: fitted.append(len(rows)) or fit_numbers(names, rows, label))
+    toxicity.fit_on(docs.unionByName(again), labels)
+    assert fitted == [sum(crc32(str(i).encode()) % 3 != 1 for i in range(60))]
+
+
+def test_features_counted_in_tasks_are_those_counted_here(spark):
+    texts = sentences(300, 6)
+    docs, labels = tables(spark, texts)
+    learnt = [(words_of(t), float(y)) for i, (t, y) in enumerate(texts) if crc32(str(i).encode()) % 3 != 1]
+    here, there = fit([w for w, _ in learnt], np.array([y for _, y in learnt])), toxicity.fit_on(docs, labels)
+    some = pd.Series([t for t, _ in texts])
+    assert np.allclose(here.score(some), there.score(some), atol=1e-6)
+
+
 def test_the_stage_keeps_clean_rows_whole(spark):
     texts = sentences(600, 3)
     docs, labels = tables(spark, texts)
