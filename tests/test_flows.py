@@ -438,17 +438,53 @@ def test_odd_landing_values_never_fail_a_flow(spark, rows):
     clean = trusted.clean_movies(landing)
     assert [r[0] for r in rows(trusted.movies(clean).select("tmdb_id"))] == list(range(len(odd)))
     assert "original_language" in clean.columns
-    for split in (trusted.people, trusted.genres, trusted.languages, trusted.keywords):
-        dim, bridge = split(clean)
+    for name in ("credits", "genres", "languages", "keywords"):
+        take, split, _ = trusted.NORMALIZED[name]
+        dim, bridge = split(take(clean))
         assert dim.count() == 0 and bridge.count() in (0, 1)
     assert trusted.reviews(clean).count() == 0
 
 
-def test_latest_child_per_movie(spark, rows):
-    df = spark.createDataFrame(
-        [(1, "a", datetime(2024, 1, 1)), (1, "b", datetime(2024, 1, 2))], "tmdb_id int, author string, created_at timestamp"
-    )
-    assert rows(trusted.latest_per_movie(df, "created_at").select("author")) == [("b",)]
+def test_every_list_is_parsed_once(zones, spark, tmp_path, monkeypatch):
+    taken = []
+
+    def counted(df, parent, column, *rest, **options):
+        taken.append(column)
+        return explode(df, parent, column, *rest, **options)
+
+    explode = trusted.explode_children
+    monkeypatch.setattr(trusted, "explode_children", counted)
+    target = TableStore(spark, str(tmp_path / "trusted"))
+    trusted.build_trusted(zones["landing"], target).finish()
+    assert sorted(taken) == ["comments", "credits", "genres", "keywords", "languages", "providers", "ratings", "reviews"]
+    for table in ("cast", "movies_cast", "providers"):
+        assert target.read(table).count() == zones["trusted"].read(table).count() > 0
+
+
+def test_every_dump_is_read_once(zones, spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    read = []
+
+    def counted(self, path, *rest, **options):
+        read.append(path.rsplit("/", 1)[1])
+        return json_reader(self, path, *rest, **options)
+
+    json_reader = DataFrameReader.json
+    monkeypatch.setattr(DataFrameReader, "json", counted)
+    monkeypatch.setattr(DataFrameReader, "text", None)
+    build_landing(zones["dumps"], TableStore(spark, str(tmp_path / "landing")), AS_OF, discover_region="ES").finish()
+    assert sorted(read) == sorted(RESPONSES)
+
+
+def test_only_wanted_videos_are_ranked(zones, spark, tmp_path):
+    from zonewright.plans.landing import trailer_stats
+
+    ids = zones["landing"].read("trakt/movie_ids_and_trailer")
+    plan = trailer_stats(ids, zones["dumps"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan
+    # The semi-joins stand below the windows that rank statistics and comments.
+    assert plan.count("LeftSemi") >= 2 and plan.index("Window") < plan.rindex("LeftSemi")
 
 
 def test_report_order():

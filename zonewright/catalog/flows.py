@@ -12,7 +12,9 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from zonewright import schemas
 from zonewright.catalog.registry import query, table
+from zonewright.functions.embedding import FeatureHashing
 from zonewright.operators.export import export_rows
 from zonewright.plans.landing import build_landing
 from zonewright.plans.report import FlowReport
@@ -392,6 +394,97 @@ def serving_tables(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "landing_movies",
+    _BASE
+    + """
+    SELECT (o.o_orderkey + 1)::BIGINT AS tmdb_id, CASE WHEN pr = '5-LOW' THEN '' ELSE 'Order ' || o.o_orderkey END AS title,
+           CASE WHEN (st = 'O' AND pr = '2-HIGH') OR pr <> '3-MEDIUM' THEN pr END AS overview, released AS release_date,
+           CASE WHEN NOT (st = 'O' AND pr = '2-HIGH') THEN trunc(o_totalprice) END AS budget,
+           CASE WHEN st = 'O' THEN 2 ELSE 3 END AS credits, 2 AS reviews, 2 AS languages, 2 AS keywords,
+           CASE WHEN st = 'O' AND pr = '2-HIGH' THEN 0 ELSE 2 END AS genres
+    FROM discovered o
+    """,
+)
+def landing_movies(spark: SparkSession, folder: str) -> DataFrame:
+    """What landed of every movie; of its lists, the lengths."""
+    rows = zones(spark, folder).landing().read("tmdb/movies_released")
+    lists = [F.json_array_length(c).alias(c) for c in ("credits", "reviews", "languages", "keywords", "genres")]
+    return rows.select(
+        F.col("tmdb_id").cast("bigint").alias("tmdb_id"), "title", "overview", "release_date",
+        F.col("budget").cast("double").alias("budget"), *lists,
+    )
+
+
+@query(
+    "landing_providers",
+    _BASE
+    + """
+    SELECT (o_orderkey + 1)::BIGINT AS tmdb_id, kind AS provider_type, pr[1]::INTEGER AS provider_id,
+           'Shop ' || pr AS provider_name, '/l.png' AS logo_path, ascii(st)::INTEGER AS display_priority
+    FROM found, (VALUES ('flatrate'), ('rent')) AS kinds(kind) WHERE st <> 'P'
+    """,
+)
+def landing_providers(spark: SparkSession, folder: str) -> DataFrame:
+    rows = zones(spark, folder).landing().read("tmdb/movies_providers")
+    offers = rows.select(
+        F.col("tmdb_id").cast("bigint").alias("tmdb_id"), F.inline(F.from_json("providers", schemas.PROVIDERS))
+    )
+    return offers.select("tmdb_id", "provider_type", "provider_id", "provider_name", "logo_path", "display_priority")
+
+
+@query(
+    "landing_video_stats",
+    _BASE
+    + """
+    SELECT (o_orderkey + 1)::BIGINT AS tmdb_id, 'https://www.youtube.com/watch?v=' || video AS trailer_url,
+           CASE WHEN coalesce(event_type, 'error') = 'error' THEN '0'
+                ELSE (round(value * 100)::BIGINT * 1000000)::VARCHAR END AS views,
+           CASE WHEN coalesce(event_type, 'error') = 'error' THEN '0' ELSE 'n/a' END AS comment_count,
+           least(5, coalesce(n, 0))::INTEGER AS comments
+    FROM trailers LEFT JOIN events ON video = 'v' || event_id
+    LEFT JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id) ON video = 'v' || conv_id
+    """,
+)
+def landing_video_stats(spark: SparkSession, folder: str) -> DataFrame:
+    rows = zones(spark, folder).landing().read("youtube/trailer_video_stats")
+    counts = F.from_json("statistics", schemas.STATISTICS)
+    return rows.select(
+        F.col("tmdb_id").cast("bigint").alias("tmdb_id"), "trailer_url", counts["viewCount"].alias("views"),
+        counts["commentCount"].alias("comment_count"), F.json_array_length("comments").alias("comments"),
+    )
+
+
+class _Lacking(Dumps):
+    """Dumps without one of them."""
+
+    def path(self, kind: str) -> str:
+        return super().path(f"absent/{kind}" if kind == "id_search" else kind)
+
+
+@query(
+    "landing_without_a_dump",
+    _BASE
+    + """
+    SELECT * FROM (VALUES ('staged/answers', -1, 'failed'), ('rejects/responses', -1, 'failed'),
+      ('trakt/movie_ids_and_trailer', -1, 'skipped'), ('rejects/movie_ids', -1, 'skipped'),
+      ('omdb/movie_ratings', -1, 'skipped'), ('tmdb/movies_providers', -1, 'skipped'),
+      ('youtube/trailer_video_stats', -1, 'skipped'), ('staged/movies', 0, 'done')) AS t(step, rows, state)
+    UNION ALL SELECT 'tmdb/movies_released', count(*), 'done' FROM discovered
+    """,
+)
+def landing_without_a_dump(spark: SparkSession, folder: str) -> DataFrame:
+    """The flow's report when one dump is absent: what needs it fails or is skipped, the rest is done."""
+    dumps = _Lacking(spark, zones(spark, folder).dumps().root)
+    store = TableStore(spark, work_folder(spark, "lacking"))
+    report = build_landing(dumps, store, AS_OF, days=WINDOW, discover_region="ES")
+    told = [
+        (r.table, r.rows if r.ok else -1, "done" if r.ok else "skipped" if r.error.startswith("Skipped") else "failed")
+        for r in report.results
+    ]
+    return spark.createDataFrame(told, "step string, rows long, state string")
+
+
 @query(
     "trusted_movies",
     _BASE

@@ -16,7 +16,7 @@ from zonewright.operators.enrich import lookup_join, override_join
 from zonewright.operators.nested import encode_nested, nested_list
 from zonewright.plans.report import FlowReport, Skipped
 from zonewright.session import Staging
-from zonewright.sources.dumps import Dumps
+from zonewright.sources.dumps import Dumps, ParsedDumps
 from zonewright.sources.store import TableStore
 
 # Fixed values.
@@ -51,6 +51,14 @@ def narrowed(responses: DataFrame, wanted: DataFrame, on: list[str]) -> DataFram
     return responses.join(wanted.select(*on), on, "left_semi")
 
 
+# Stores a frame that is used several times; ``as_it_is`` plans it anew each time.
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def credit_lists(dumps: Dumps) -> DataFrame:
     """First billed actors, then the director where there is one."""
     actors = C.pick_fields(
@@ -114,7 +122,7 @@ def enriched_movies(movies: DataFrame, dumps: Dumps) -> DataFrame:
     return select_optional(rows, schemas.MOVIE_FIELDS, strict=True)
 
 
-def answered_ids(movies: DataFrame, dumps: Dumps) -> DataFrame:
+def answered_ids(movies: DataFrame, dumps: Dumps, keep: Keep = as_it_is) -> DataFrame:
     """What the id search and the details say of every movie, nulls where nothing."""
     wanted = movies.select(F.col("tmdb_id").alias("movie_tmdb_id"))
     search = dumps.read("id_search").select(
@@ -132,10 +140,12 @@ def answered_ids(movies: DataFrame, dumps: Dumps) -> DataFrame:
         F.col("ids.slug").alias("slug"),
         F.col("ids.imdb").alias("imdb_id"),
     )
-    searched = lookup_join(
-        wanted, narrowed(search, wanted, ["movie_tmdb_id"]), ["movie_tmdb_id"], left_unique=True
+    searched = keep(
+        lookup_join(
+            wanted, narrowed(search, wanted, ["movie_tmdb_id"]), ["movie_tmdb_id"], left_unique=True
+        )
     )
-    return lookup_join(searched, details, ["found_id"])
+    return lookup_join(searched, narrowed(details, searched, ["found_id"]), ["found_id"])
 
 
 def split_ids(answered: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -193,12 +203,15 @@ def movie_providers(ids: DataFrame, dumps: Dumps, region: str) -> DataFrame:
     return require_elements(rows, "providers")
 
 
-def video_comments(dumps: Dumps, count: int = COMMENTS_PER_VIDEO) -> DataFrame:
-    """The first comments of each video over all its pages. Rows are cut to
+def video_comments(
+    dumps: Dumps, wanted: DataFrame | None = None, count: int = COMMENTS_PER_VIDEO
+) -> DataFrame:
+    """The first comments of each video (of the ``wanted`` ones) over all its pages. Rows are cut to
     ``count`` per video before any is gathered."""
-    entries = dumps.read("video_comments").select(
-        "video_id", "page", F.posexplode("items").alias("position", "item")
-    )
+    pages = dumps.read("video_comments").select("video_id", "page", "items")
+    if wanted is not None:
+        pages = narrowed(pages, wanted, ["video_id"])
+    entries = pages.select("video_id", "page", F.posexplode("items").alias("position", "item"))
     snippet = F.col("item.snippet.topLevelComment.snippet")
     flat = entries.select(
         "video_id",
@@ -221,31 +234,32 @@ def video_comments(dumps: Dumps, count: int = COMMENTS_PER_VIDEO) -> DataFrame:
     return gathered.select("video_id", C.pick_fields(F.col("entries"), fields).alias("comments"))
 
 
-def trailer_stats(ids: DataFrame, dumps: Dumps) -> DataFrame:
+def trailer_stats(ids: DataFrame, dumps: Dumps, keep: Keep = as_it_is) -> DataFrame:
     """Statistics and first comments of each movie's trailer. The video comes from
     the trailer URL, or from a search by title where there is no trailer; movies
-    with neither drop out. Missing statistics count as zeros."""
+    with neither drop out. Missing statistics count as zeros.
+
+    Statistics and comments of other videos go before anything is ranked or gathered."""
     search = dumps.read("video_search").select(
         "title", C.path(F.get("items", F.lit(0)), "id.videoId").alias("searched_id")
     )
     movies = keep_one(
         ids.select("tmdb_id", "title", "trailer").dropna(subset=["tmdb_id"]), ["tmdb_id"]
     )
-    videos = lookup_join(movies, search, ["title"]).select(
+    untold = movies.filter(~F.coalesce(S.is_filled(F.col("trailer")), F.lit(False)))
+    videos = lookup_join(movies, narrowed(search, untold, ["title"]), ["title"]).select(
         "tmdb_id",
         F.when(S.is_filled(F.col("trailer")), S.url_parameter(F.col("trailer")))
         .otherwise(F.col("searched_id"))
         .alias("video_id"),
     )
+    videos = keep(videos.filter(S.is_filled(F.col("video_id"))))
+    wanted = videos.select("video_id").distinct()
     stats = dumps.read("video_stats").select(
         F.col("id").alias("video_id"), F.get("items", F.lit(0))["statistics"].alias("statistics")
     )
-    # both sides of this join are unique; many movies may share one video, so they
-    # meet what is known of it in a single join that can be split
-    known = keep_one(stats.dropna(subset=["video_id"]), ["video_id"]).join(
-        video_comments(dumps), "video_id", "full"
-    )
-    rows = lookup_join(videos.filter(S.is_filled(F.col("video_id"))), known, ["video_id"])
+    rows = lookup_join(videos, narrowed(stats, wanted, ["video_id"]), ["video_id"])
+    rows = lookup_join(rows, video_comments(dumps, wanted), ["video_id"])
     zero = F.struct(
         *[F.lit("0").alias(n) for n in ("viewCount", "likeCount", "commentCount")]
     )
@@ -282,6 +296,24 @@ def build_landing(
         report.run_all(store.spark, {t: partial(step, t, f) for t, f in frames.items()})
 
     staging = Staging(store.spark, "landing")
+    try:
+        _load_landing(dumps.parsed_once(staging), store, as_of, days, region, discover_region, report, staging, load)
+    finally:
+        staging.clear()
+    return report
+
+
+def _load_landing(
+    dumps: ParsedDumps,
+    store: TableStore,
+    as_of: date,
+    days: int,
+    region: str,
+    discover_region: str | None,
+    report: FlowReport,
+    staging: Staging,
+    load: Callable[[dict[str, Callable[[], DataFrame]]], None],
+) -> None:
     staged: dict[str, DataFrame] = {}
 
     def stage(name: str, frame: Callable[[], DataFrame]) -> None:
@@ -298,19 +330,16 @@ def build_landing(
             raise Skipped(f"staged/{name} is not there")
         return staged[name]
 
-    try:
-        stage("movies", lambda: discovered_movies(dumps, as_of, days, discover_region))
-        stage("answers", lambda: answered_ids(needed("movies"), dumps))
-        load(
-            {
-                "tmdb/movies_released": lambda: enriched_movies(needed("movies"), dumps),
-                "trakt/movie_ids_and_trailer": lambda: split_ids(needed("answers"))[0],
-                "rejects/movie_ids": lambda: split_ids(needed("answers"))[1],
-                "rejects/responses": dumps.unreadable,
-            }
-        )
-    finally:
-        staging.clear()
+    stage("movies", lambda: discovered_movies(dumps, as_of, days, discover_region))
+    stage("answers", lambda: answered_ids(needed("movies"), dumps, staging.put))
+    load(
+        {
+            "tmdb/movies_released": lambda: enriched_movies(needed("movies"), dumps),
+            "trakt/movie_ids_and_trailer": lambda: split_ids(needed("answers"))[0],
+            "rejects/movie_ids": lambda: split_ids(needed("answers"))[1],
+            "rejects/responses": dumps.unreadable,
+        }
+    )
 
     def known() -> DataFrame:
         if not store.exists("trakt/movie_ids_and_trailer"):
@@ -321,7 +350,6 @@ def build_landing(
         {
             "omdb/movie_ratings": lambda: movie_ratings(known(), dumps),
             "tmdb/movies_providers": lambda: movie_providers(known(), dumps, region),
-            "youtube/trailer_video_stats": lambda: trailer_stats(known(), dumps),
+            "youtube/trailer_video_stats": lambda: trailer_stats(known(), dumps, staging.put),
         }
     )
-    return report

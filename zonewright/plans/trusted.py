@@ -1,13 +1,15 @@
 """Landing tables to typed, normalized, duplicate-free trusted tables.
 
-Nothing is cached: every output reads its own few landing columns (Parquet prunes
-the rest) and parses its own JSON column, so an output costs one narrow scan and a
-lost executor costs only its tasks.
+Nothing is cached: an output reads its own few landing columns (Parquet prunes the
+rest). A list that a dimension and a bridge are made from is parsed and exploded once;
+its links are written to the shared folder, and both read them there, so a lost executor
+costs only its tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
@@ -19,7 +21,8 @@ from zonewright.operators.clean import require_present, recast
 from zonewright.operators.dedup import keep_one
 from zonewright.operators.metrics import observe_rows
 from zonewright.operators.nested import DimAndBridge, child, explode_children, normalize_nested
-from zonewright.plans.report import FlowReport
+from zonewright.plans.report import FlowReport, Skipped
+from zonewright.session import Staging
 from zonewright.sources.store import TableNotFound, TableStore
 
 NESTED = ["credits", "reviews", "genres", "languages", "keywords"]
@@ -41,16 +44,19 @@ def movies(clean: DataFrame) -> DataFrame:
     return keep_one(clean.drop(*NESTED), ["tmdb_id"])
 
 
-def people(clean: DataFrame) -> DimAndBridge:
-    """Cast members, and who did what in which movie. One person may act in and
-    direct the same movie: the role is part of the bridge's key."""
-    links = explode_children(
+def people_links(clean: DataFrame) -> DataFrame:
+    return explode_children(
         clean,
         ["tmdb_id"],
         "credits",
         schemas.CREDITS,
         {"cast_id": "id", "role": "role", "character": "character", "name": "name"},
     )
+
+
+def people(links: DataFrame) -> DimAndBridge:
+    """Cast members, and who did what in which movie. One person may act in and
+    direct the same movie: the role is part of the bridge's key."""
     dim, bridge = normalize_nested(
         links,
         dim_key=["cast_id"],
@@ -85,9 +91,13 @@ def _named_links(clean: DataFrame, column: str, schema: str, id_name: str) -> Da
     return explode_children(clean, ["tmdb_id"], column, schema, {id_name: "id", "name": "name"})
 
 
-def genres(clean: DataFrame) -> DimAndBridge:
+def genre_links(clean: DataFrame) -> DataFrame:
+    return _named_links(clean, "genres", schemas.GENRES, "genre_id")
+
+
+def genres(links: DataFrame) -> DimAndBridge:
     dim, bridge = normalize_nested(
-        _named_links(clean, "genres", schemas.GENRES, "genre_id"),
+        links,
         dim_key=["genre_id"],
         dim_columns=["name"],
         bridge_key=["tmdb_id", "genre_id"],
@@ -98,9 +108,13 @@ def genres(clean: DataFrame) -> DimAndBridge:
     )
 
 
-def keywords(clean: DataFrame) -> DimAndBridge:
+def keyword_links(clean: DataFrame) -> DataFrame:
+    return _named_links(clean, "keywords", schemas.KEYWORDS, "keyword_id")
+
+
+def keywords(links: DataFrame) -> DimAndBridge:
     dim, bridge = normalize_nested(
-        _named_links(clean, "keywords", schemas.KEYWORDS, "keyword_id"),
+        links,
         dim_key=["keyword_id"],
         dim_columns=["name"],
         bridge_key=["tmdb_id", "keyword_id"],
@@ -111,14 +125,17 @@ def keywords(clean: DataFrame) -> DimAndBridge:
     )
 
 
-def languages(clean: DataFrame) -> DimAndBridge:
-    links = explode_children(
+def language_links(clean: DataFrame) -> DataFrame:
+    return explode_children(
         clean,
         ["tmdb_id"],
         "languages",
         schemas.LANGUAGES,
         {"iso_639_1": "iso_639_1", "iso_3166_1": "iso_3166_1", "name": "name"},
     )
+
+
+def languages(links: DataFrame) -> DimAndBridge:
     dim, bridge = normalize_nested(
         require_filled(links, ["iso_639_1", "name"]),
         dim_key=["iso_639_1"],
@@ -130,8 +147,8 @@ def languages(clean: DataFrame) -> DimAndBridge:
     )
 
 
-def providers(landing: DataFrame) -> DimAndBridge:
-    links = explode_children(
+def provider_links(landing: DataFrame) -> DataFrame:
+    return explode_children(
         require_castable(landing, "tmdb_id"),
         ["tmdb_id"],
         "providers",
@@ -144,6 +161,9 @@ def providers(landing: DataFrame) -> DimAndBridge:
             "provider_type": "provider_type",
         },
     )
+
+
+def providers(links: DataFrame) -> DimAndBridge:
     dim, bridge = normalize_nested(
         links,
         dim_key=["provider_id"],
@@ -221,29 +241,31 @@ def video_comments(landing: DataFrame) -> DataFrame:
     return keep_one(present, schemas.TRUSTED_KEYS["youtube_comments"])
 
 
-def latest_per_movie(children: DataFrame, time_column: str) -> DataFrame:
-    """One child per movie, the latest, for readers that want no more."""
-    return keep_one(children, ["tmdb_id"], [F.desc(time_column)])
+# Lists that become a dimension and a bridge: how links are taken, how they are split, both tables.
+NORMALIZED: dict[str, tuple[Callable, Callable, tuple[str, str]]] = {
+    "credits": (people_links, people, ("cast", "movies_cast")),
+    "genres": (genre_links, genres, ("genres", "movies_genres")),
+    "languages": (language_links, languages, ("languages", "movies_languages")),
+    "keywords": (keyword_links, keywords, ("keywords", "movies_keywords")),
+    "providers": (provider_links, providers, ("providers", "movies_providers")),
+}
 
 
-def trusted_frames(landing: Callable[[str], DataFrame]) -> dict[str, Callable[[], DataFrame]]:
-    """Every trusted table by name, each built only when called."""
+def trusted_frames(
+    landing: Callable[[str], DataFrame], links: Callable[[str], DataFrame] | None = None
+) -> dict[str, Callable[[], DataFrame]]:
+    """Every trusted table by name, each built only when called. ``links`` gives the links of a list
+    that have been taken already; without it every table takes its own."""
 
     def clean() -> DataFrame:
         return clean_movies(landing("tmdb/movies_released"))
 
+    taken = links or (lambda name: list_links(landing, name))
     frames: dict[str, Callable[[], DataFrame]] = {"movies": lambda: movies(clean())}
-    for names, split in {
-        ("cast", "movies_cast"): people,
-        ("genres", "movies_genres"): genres,
-        ("languages", "movies_languages"): languages,
-        ("keywords", "movies_keywords"): keywords,
-    }.items():
-        frames[names[0]] = partial(lambda f: f(clean()).dim, split)
-        frames[names[1]] = partial(lambda f: f(clean()).bridge, split)
+    for name, (_, split, (dim, bridge)) in NORMALIZED.items():
+        frames[dim] = partial(lambda f, n: f(taken(n)).dim, split, name)
+        frames[bridge] = partial(lambda f, n: f(taken(n)).bridge, split, name)
     frames["reviews"] = lambda: reviews(clean())
-    frames["providers"] = lambda: providers(landing("tmdb/movies_providers")).dim
-    frames["movies_providers"] = lambda: providers(landing("tmdb/movies_providers")).bridge
     frames["movie_ids_and_trailer"] = lambda: movie_ids(landing("trakt/movie_ids_and_trailer"))
     frames["imdb_data"] = lambda: rating_headers(landing("omdb/movie_ratings"))
     frames["external_ratings"] = lambda: external_ratings(landing("omdb/movie_ratings"))
@@ -252,11 +274,33 @@ def trusted_frames(landing: Callable[[str], DataFrame]) -> dict[str, Callable[[]
     return frames
 
 
+def list_links(landing: Callable[[str], DataFrame], name: str) -> DataFrame:
+    """The exploded links of one list of ``NORMALIZED``."""
+    take = NORMALIZED[name][0]
+    if name == "providers":
+        return take(landing("tmdb/movies_providers"))
+    return take(clean_movies(landing("tmdb/movies_released")))
+
+
 def build_trusted(source: TableStore, target: TableStore) -> FlowReport:
     """Upsert the seventeen trusted tables. Rows before and after cleaning are
     counted while the movies table is written."""
     report = FlowReport()
-    frames = trusted_frames(source.read)
+    staging = Staging(target.spark, "trusted")
+    staged: dict[str, DataFrame] = {}
+
+    def stage(name: str) -> int:
+        with suppress(TableNotFound):  # its landing table has never received a row
+            staged[name] = staging.put(list_links(source.read, name))
+        return 0
+
+    def links(name: str) -> DataFrame:
+        if name not in staged:
+            list_links(source.read, name)  # raises what it has raised before
+            raise Skipped(f"staged/{name} is not there")
+        return staged[name]
+
+    frames = trusted_frames(source.read, links)
 
     def write_movies() -> int:
         read, before = observe_rows(source.read("tmdb/movies_released"), "movies_read")
@@ -269,7 +313,11 @@ def build_trusted(source: TableStore, target: TableStore) -> FlowReport:
         table: partial(_write, target, table, frames[table], keys)
         for table, keys in schemas.TRUSTED_KEYS.items()
     }
-    report.run_all(target.spark, steps | {"movies": write_movies})
+    try:
+        report.run_all(target.spark, {f"staged/{name}": partial(stage, name) for name in NORMALIZED})
+        report.run_all(target.spark, steps | {"movies": write_movies})
+    finally:
+        staging.clear()
     return report
 
 

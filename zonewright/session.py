@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,11 +57,10 @@ class Staging:
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.root = work_folder(spark, label)
-        self._written = 0
+        self._numbers = itertools.count()
 
     def put(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{self._written}"
-        self._written += 1
+        path = f"{self.root}/{next(self._numbers)}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

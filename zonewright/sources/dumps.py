@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from zonewright import schemas
 from zonewright.schemas import struct_of
+from zonewright.session import Staging
 
 # Dump folder to the shape of its documents.
 RESPONSES = {
@@ -58,24 +60,50 @@ class Dumps:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def path(self, kind: str) -> str:
+        return f"{self.root}/{kind}"
+
     def read(self, kind: str) -> DataFrame:
-        return self.spark.read.schema(RESPONSES[kind]).json(f"{self.root}/{kind}")
+        return self.spark.read.schema(RESPONSES[kind]).json(self.path(kind))
 
-    def unreadable(self) -> DataFrame:
-        """Distinct lines of all dumps that are no JSON, or whose id is of another type,
-        as ``(kind, line)``. Only the id is taken from a line, the rest is skipped over."""
-
-        def broken(kind: str, id_field: str) -> DataFrame:
-            schema = T.StructType([struct_of(RESPONSES[kind])[id_field]]).add(_BROKEN, "string")
-            parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": _BROKEN})
-            lines = self.spark.read.text(f"{self.root}/{kind}").filter(F.trim("value") != "")
-            return lines.filter(parsed[_BROKEN].isNotNull()).select(
-                F.lit(kind).alias("kind"), F.col("value").alias("line")
-            )
-
-        frames = [broken(kind, id_field) for kind, id_field in ID_FIELDS.items()]
-        return reduce(DataFrame.unionByName, frames).distinct()
+    def parsed_once(self, staging: Staging) -> ParsedDumps:
+        """The same dumps for one run, in which each is read and parsed once."""
+        return ParsedDumps(self, staging)
 
     def write(self, kind: str, documents: DataFrame) -> None:
         """Lay down a dump, for instance one that is derived from other tables."""
-        documents.write.mode("errorifexists").json(f"{self.root}/{kind}")
+        documents.write.mode("errorifexists").json(self.path(kind))
+
+
+class ParsedDumps(Dumps):
+    """Dumps of one run. A dump's lines are parsed when it is first asked for, and staged with the text
+    of those that could not be read whole; responses and rejects are both taken from there."""
+
+    def __init__(self, source: Dumps, staging: Staging) -> None:
+        super().__init__(source.spark, source.root)
+        self.path = source.path
+        self._staging = staging
+        self._parsed: dict[str, DataFrame] = {}
+        self._locks = {kind: Lock() for kind in RESPONSES}
+
+    def _lines(self, kind: str) -> DataFrame:
+        with self._locks[kind]:
+            if kind not in self._parsed:
+                schema = T.StructType([*struct_of(RESPONSES[kind]).fields, T.StructField(_BROKEN, T.StringType())])
+                reader = self.spark.read.schema(schema).option("columnNameOfCorruptRecord", _BROKEN)
+                self._parsed[kind] = self._staging.put(reader.json(self.path(kind)))
+            return self._parsed[kind]
+
+    def read(self, kind: str) -> DataFrame:
+        return self._lines(kind).drop(_BROKEN)
+
+    def unreadable(self) -> DataFrame:
+        """Distinct lines of all dumps that are no JSON, or whose id is of another type, as
+        ``(kind, line)``. A line that lacks other fields, or has them of another type, is a response."""
+        frames = [
+            self._lines(kind)
+            .filter(F.col(_BROKEN).isNotNull() & F.col(id_field).isNull())
+            .select(F.lit(kind).alias("kind"), F.col(_BROKEN).alias("line"))
+            for kind, id_field in ID_FIELDS.items()
+        ]
+        return reduce(DataFrame.unionByName, frames).distinct()
