@@ -1,9 +1,11 @@
 import json
+import sqlite3
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
-from zonewright.sources.sinks import batches, conflict_upsert, index_upsert, relational_upsert
+from zonewright.sources.sinks import batches, conflict_upsert, handed_over, index_upsert, relational_upsert
 
 
 def test_batches():
@@ -68,3 +70,70 @@ def test_index_upsert(spark, tmp_path):
     assert sorted(int(i[0]) for i in items) == list(range(230))
     assert max(map(len, calls)) == 100
     assert items[0][1:] == [[1.0, 0.5], {"title": "m"}]
+
+
+@pytest.fixture
+def database(tmp_path):
+    """A file that tasks of one machine open as a database; opened by name, so that tasks can."""
+    path = str(tmp_path / "db")
+    own = sqlite3.connect(path)
+    own.execute("CREATE TABLE people (id INTEGER PRIMARY KEY, name TEXT, age INTEGER)")
+    own.execute("INSERT INTO people VALUES (1, 'old', 1), (1000, 'other', 2)")
+    own.commit()
+    yield path, own
+    own.close()
+
+
+def test_handed_over_in_two_steps(spark, database):
+    path, own = database
+    df = spark.range(0, 250, 1, 5).select("id", F.lit("x").alias("name"), F.when(F.col("id") > 5, F.col("id")).alias("age"))
+    for _ in range(2):
+        assert handed_over(df, lambda: sqlite3.connect(path, timeout=60), "people", ["id"], batch_rows=30, connections=3) == 250
+    assert own.execute("SELECT count(*), sum(name = 'x'), sum(age IS NULL) FROM people").fetchone() == (251, 250, 6)
+    assert own.execute("SELECT name FROM people WHERE id = 1000").fetchone() == ("other",)
+    assert own.execute("SELECT count(*) FROM sqlite_master").fetchone() == (1,)  # nothing staged is left
+
+
+def test_a_task_that_fails_midway_leaves_the_target(spark, database):
+    path, own = database
+
+    class Breaks:
+        """Fails after some batches have been committed."""
+
+        def __init__(self):
+            self.inner, self.left = sqlite3.connect(path, timeout=60), 3
+
+        def cursor(self):
+            if self.left == 0:
+                raise RuntimeError("lost")
+            return self.inner.cursor()
+
+        def commit(self):
+            self.left -= 1
+            self.inner.commit()
+
+        def close(self):
+            self.inner.close()
+
+    df = spark.range(0, 250, 1, 2).select("id", F.lit("x").alias("name"), F.lit(7).alias("age"))
+    with pytest.raises(Exception, match="lost"):
+        handed_over(df, Breaks, "people", ["id"], batch_rows=20)
+    assert own.execute("SELECT id, name, age FROM people ORDER BY id").fetchall() == [(1, "old", 1), (1000, "other", 2)]
+    assert own.execute("SELECT count(*) FROM sqlite_master").fetchone() == (1,)
+    assert handed_over(df, lambda: sqlite3.connect(path, timeout=60), "people", ["id"]) == 250
+    assert own.execute("SELECT count(*) FROM people").fetchone() == (251,)
+
+
+def test_rows_of_a_lost_attempt_are_not_seen(spark, database):
+    path, own = database
+
+    def connect():
+        # An attempt nobody knows of writes to the staging table before the tasks do.
+        connection = sqlite3.connect(path, timeout=60)
+        for (name,) in connection.execute("SELECT name FROM sqlite_master WHERE name LIKE 'people_staged_%' AND name NOT LIKE '%_won'").fetchall():
+            connection.execute(f"INSERT INTO {name} VALUES (0, -1, 77, 'lost', 0)")
+        return connection
+
+    df = spark.range(0, 10, 1, 2).select("id", F.lit("x").alias("name"), F.lit(7).alias("age"))
+    assert handed_over(df, connect, "people", ["id"]) == 10
+    assert own.execute("SELECT count(*) FROM people WHERE name = 'lost'").fetchone() == (0,)

@@ -173,3 +173,25 @@ def test_optional_thinning(spark, tmp_path):
     )
     query.awaitTermination()
     assert spark.table("thinned").count() == 2
+
+
+def test_thinning_keeps_bounded_state(spark, tmp_path):
+    def send(n, day, ids):
+        rows = spark.createDataFrame([(i, f"2024-01-{day:02} 00:00:00", "p") for i in ids], "id long, at string, body string")
+        encode_messages(rows.unionByName(rows), F.lit(n)).write.mode("append").json(str(tmp_path / "topic"))
+        messages = decode_messages(read_message_files(spark, str(tmp_path / "topic")), "id long, at string, body string")
+        running = (
+            without_replays(messages, "at", "1 day", ["id"], ["body"])
+            .writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True)
+            .start(str(tmp_path / "passed"))
+        )
+        running.awaitTermination()
+        return [p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress if p["stateOperators"]][-1]
+
+    held = [send(n, 1 + 3 * n, range(100 * n, 100 * n + 100)) for n in range(4)]
+    assert max(held) <= 200  # keys older than the watermark are forgotten, however many came
+    assert send(9, 1, [9999]) <= 200  # nine days late: lost
+    passed = spark.read.parquet(str(tmp_path / "passed"))
+    assert passed.count() == 400 and passed.filter("id = 9999").count() == 0

@@ -15,6 +15,7 @@ from zonewright.streaming.upsert import (
     encode_messages,
     read_message_files,
     start_upsert,
+    without_replays,
 )
 
 _TARGET_SQL = """
@@ -192,6 +193,43 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return store.read("events")
 
 
+@query(
+    "stream_thinned",
+    """
+    SELECT event_id::BIGINT AS event_id, event_type, value FROM events
+    UNION ALL SELECT event_id::BIGINT, 'draft', value - 1 FROM events
+    UNION ALL SELECT event_id::BIGINT + 2000000000, event_type, value FROM events
+    """,
+)
+def stream_thinned(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event arrives three times in two forms; each form passes once. After a restart all come
+    again, with new ones that are too late, which are lost, and new ones in time, which pass."""
+    work = work_folder(spark, "thinned")
+    events = table(spark, folder, "events").select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        "event_type",
+        "value",
+    )
+    drafts = events.withColumn("value", F.col("value") - 1).withColumn("event_type", F.lit("draft"))
+    sent = drafts.unionByName(events).unionByName(events).unionByName(drafts)
+    late = events.withColumns({"event_id": F.col("event_id") + 1_000_000_000, "ts": F.lit("1990-01-01 00:00:00")})
+    fresh = events.withColumns({"event_id": F.col("event_id") + 2_000_000_000, "ts": F.lit("2090-01-01 00:00:00")})
+    for number, rows in enumerate((sent, sent.unionByName(late).unionByName(fresh).unionByName(fresh))):
+        encode_messages(rows, F.lit(number)).write.mode("append").json(f"{work}/topic")
+        messages = decode_messages(read_message_files(spark, f"{work}/topic"), events.schema.simpleString())
+        thinned = without_replays(messages, "ts", "1 day", ["event_id"], ["event_type", "value"])
+        running = (
+            thinned.select("event_id", "event_type", "value")
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{work}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{work}/passed")
+        )
+        running.awaitTermination()
+    return spark.read.parquet(f"{work}/passed")
+
+
 def _sent_comments(spark: SparkSession, folder: str) -> TableStore:
     """Turns of conversations as blog comments, sent twice and edited in between; every third
     conversation's first turn also comes as a line that is no JSON. The landing table."""
