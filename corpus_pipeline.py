@@ -25,7 +25,9 @@ MAX_REPEATS = 1.5
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the classifier calls toxic go. It is fitted on labelled rows of ``docs``."""
+    """Documents that the classifier calls toxic go. It is fitted on labelled rows of ``docs``. Null and
+    empty texts have the score of no words; rows that repeat are judged each; null keys are judged and
+    never learnt from; without labels of both classes, or without rows, all that is there has one score."""
     return without_toxic(docs, fit_on(docs, read_table(spark, folder, "labels")))
 
 
@@ -47,7 +49,8 @@ def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The pieces of all documents, with their sequences."""
+    """The pieces of all documents, with their sequences. A null or empty text is its end token only; rows
+    that repeat are documents each, null keys too; no rows give no pieces."""
     return packed_documents(docs, vocabulary())
 
 
