@@ -47,7 +47,9 @@ def spare_name(df: DataFrame, wanted: str) -> str:
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Hand Python at most ``rows`` rows at a time, as texts and pages may be long."""
+    """Hand Python at most ``rows`` rows at a time, as texts and pages may be long. Operators call this before
+    they run Python, so the library is sent to the executors here."""
+    ship_package(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, str(rows))

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import stage
+from zonewright.llm.common import ship_package, stage
 from zonewright.session import work_folder
 
 # Levels of the trie that one pass takes; deeper conversations are taken in several.
@@ -359,6 +359,7 @@ def prefix_trie(
     c - c % s in place of as many of its own; if that one is not there, it just loses its own.
     """
     spark = turns.sparkSession
+    ship_package(spark)
     folder = work_folder(spark, "trie-queue")
     place = spark._jvm.org.apache.hadoop.fs.Path(folder)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
