@@ -22,7 +22,7 @@ COLLECTIONS = 28
 HASHES = 3
 # Rounds at most in which a document is compared with one centre only, before all that is left; a round
 # that finds no link is the last.
-STARS = 8
+STARS = 4
 SEED = 11
 SHINGLES_AT_ONCE = 20_000
 
