@@ -154,3 +154,37 @@ def test_components_of_a_long_chain(spark):
     for r in neardup.components(links).collect():
         got[r["comp"]].add(r["id"])
     assert got == {0: set(range(61)), 100: {100, 101}}
+
+
+def test_what_is_left_is_met_once(spark, monkeypatch):
+    """Nodes that share many groups make one row, and no linked ones are missed, whatever a row takes along."""
+    rng = random.Random(5)
+    passages = [[f"p{k}w{i}" for i in range(12)] for k in range(4)]
+    texts = {}
+    for i in range(60):
+        words = [w for p in passages if rng.random() < 0.7 for w in p] + [f"own{i}x{j}" for j in range(rng.randrange(12))]
+        texts[i] = " ".join(words) or "none"
+    # Two texts under one id.
+    rows = [*texts.items(), (3, " ".join(passages[0] + passages[1])), (7, " ".join(passages[1] + passages[2] + ["z"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = neardup.signed(docs, "text", "doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
+    nodes = signed.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("halves").alias("halves"))
+    sets = neardup._sets(docs, nodes.select("id"), nodes.select("id"), "text", "doc_id", docs.schema["doc_id"].dataType)
+    near = neardup.rare_first(sets, nodes).localCheckpoint()
+    open_ = neardup.rare_groups(near).withColumn("comp", F.col("id"))
+    held = [(r["id"], r["n"], frozenset(r["set"])) for r in sets.join(near.select("id", "same"), ["id", "same"]).distinct().collect()]
+    linked = {
+        (min(a, b), max(a, b))
+        for a, n, x in held
+        for b, m, y in held
+        if a != b and 100 * len(x & y) >= neardup.PERCENT * len(x | y)
+    }
+    ids = [i for i, _, _ in held]
+    once = {i for i in ids if ids.count(i) == 1}
+    for most in (64, 3, 0):
+        monkeypatch.setattr(neardup, "RARE_HELD", most)
+        pairs = [(r["a"], r["b"]) for r in neardup.pairs_left(open_, near).collect()]
+        assert linked and linked <= set(pairs)
+        if most == 64:
+            plain = [p for p in pairs if set(p) <= once]
+            assert len(plain) == len(set(plain))

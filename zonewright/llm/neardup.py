@@ -23,6 +23,8 @@ HASHES = 3
 # Rounds at most in which a document is compared with one centre only, before all that is left; a round
 # that finds no link is the last.
 STARS = 4
+# Of a node's rare shingles, those it takes along when all that is left is compared.
+RARE_HELD = 64
 SEED = 11
 SHINGLES_AT_ONCE = 20_000
 
@@ -153,15 +155,15 @@ def rare_first(sets: DataFrame, halves: DataFrame) -> DataFrame:
 
 
 def rare_groups(nodes: DataFrame) -> DataFrame:
-    """``x, y, id, n, pos, rare``: groups of nodes that share a rare shingle, ``pos`` being its place among a
-    node's shingles, the rarest first. Shingles that the very same nodes share make one group, of ``rare``."""
+    """``x, y, id, n, pos``: groups of nodes that share a rare shingle, ``pos`` being its place among a
+    node's shingles, the rarest first. Shingles that the very same nodes share make one group."""
     rare = nodes.select("id", "same", "n", "alone", F.posexplode(F.slice("shared", 1, F.col("take"))).alias("i", "s"))
     rare = rare.select("s", "id", "same", "n", (F.col("alone") + F.col("i")).alias("pos"))
     same = rare.groupBy("s").agg(
         F.bit_xor(F.xxhash64("id", "same")).alias("x"), F.bit_xor(F.xxhash64(F.lit(SEED), "id", "same")).alias("y"), F.count("*").alias("m")
     ).where("m > 1")
     placed = rare.join(apart(same.select("s", "x", "y"), "s"), "s")
-    return placed.groupBy("x", "y", "id", "same", "n").agg(F.min("pos").alias("pos"), F.count("*").alias("rare")).drop("same")
+    return placed.groupBy("x", "y", "id", "same", "n").agg(F.min("pos").alias("pos")).drop("same")
 
 
 def can_be_linked(n_a: str, pos_a: str, n_b: str, pos_b: str) -> Column:
@@ -171,12 +173,33 @@ def can_be_linked(n_a: str, pos_a: str, n_b: str, pos_b: str) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT) & (left * (100 + PERCENT) >= (a + b) * PERCENT)
 
 
-def enough_rare(n_a: str, n_b: str, rare: str) -> Column:
+def enough_rare(n_a: str, n_b: str, rare: Column) -> Column:
     """Whether so many shared rare shingles leave room for enough shared ones: of the node whose rare
     ones end first, all others, three quarters less one, may be shared as well."""
     wanted = F.ceil((F.col(n_a) + F.col(n_b)) * PERCENT / (100 + PERCENT))
     others = F.floor((F.greatest(n_a, n_b) * PERCENT + 99) / 100) - 1
-    return F.col(rare) + others >= wanted
+    return rare + others >= wanted
+
+
+def pairs_left(open_: DataFrame, near: DataFrame) -> DataFrame:
+    """``a, b``: nodes of different components that are in one group and can be linked, met once: in the first
+    group both are in. A row takes the node's first ``RARE_HELD`` rare shingles along: what two nodes share of
+    them before this group's tells that they meet elsewhere, and lists that are whole tell how many they share.
+    Longer lists may meet more than once, but never miss each other. So do ids with several texts."""
+    held = near.groupBy("id").agg(
+        F.count("*").alias("texts"), F.first("alone").alias("alone"), F.first(F.col("take") <= RARE_HELD).alias("whole"),
+        F.first(F.slice("shared", 1, F.least("take", F.lit(RARE_HELD)))).alias("held"),
+    ).where("texts = 1")
+    # How many of the held ones come before the group.
+    rows = open_.join(apart(held, "id"), "id", "left").select("x", "y", "id", "n", "pos", "comp", "held", "whole", (F.col("pos") - F.col("alone")).cast("int").alias("i"))
+    other = rows.toDF("x", "y", *(f"{c}_r" for c in rows.columns[2:]))
+    elsewhere = F.arrays_overlap(F.slice("held", F.lit(1), F.col("i")), F.slice("held_r", F.lit(1), F.col("i_r")))
+    enough = enough_rare("n", "n_r", F.size(F.array_intersect("held", "held_r")))
+    met = rows.join(other, ["x", "y"]).where(
+        (F.col("comp") < F.col("comp_r")) & can_be_linked("n", "pos", "n_r", "pos_r")
+        & ~F.coalesce(elsewhere, F.lit(False)) & (~F.coalesce(F.col("whole") & F.col("whole_r"), F.lit(False)) | enough)
+    )
+    return met.select(*ordered(F.col("id"), F.col("id_r")))
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -240,7 +263,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
     in common and little else make no pairs. In up to ``STARS`` rounds every node is compared with
     one centre, the one it shares most groups with, and links are joined up to components, so that
     a large group of copies costs a comparison or a few for each. Then all nodes of different
-    components that are still in one group are compared. ``component_id`` is the smallest key
+    components that are still in one group are compared, a pair once (``pairs_left``). ``component_id`` is the smallest key
     that links reach, ``kept`` whether it is the row's own.
 
     A null or empty text, or one of white space, has no shingles and is linked with nothing.
@@ -279,14 +302,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id")
         label = merged(label, links)
         # A group that is over stays so: components only grow.
         groups = open_.drop("comp")
-    left = _open_groups(groups, label)
-    right = left.toDF("x", "y", *(f"{c}_r" for c in left.columns[2:]))
-    apart_ = left.join(right, ["x", "y"]).where((F.col("comp") < F.col("comp_r")) & (F.least("n", "n_r") * 100 >= F.greatest("n", "n_r") * PERCENT))
-    a, b = ordered(F.col("id"), F.col("id_r"))
-    met = apart_.groupBy(a, b, F.least("n", "n_r").alias("n"), F.greatest("n", "n_r").alias("n_r")).agg(
-        F.sum("rare").alias("rare"), F.max(can_be_linked("n", "pos", "n_r", "pos_r")).alias("room")
-    )
-    rest = met.where(F.col("room") & enough_rare("n", "n_r", "rare")).select("a", "b").distinct()
+    rest = pairs_left(_open_groups(groups, label), near).distinct()
     label = merged(label, stage(confirmed(rest, near), "dup-confirmed"))
 
     # Only what differs from a row's own key is looked up.
@@ -325,7 +341,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, text: str, key: str
 
 def _open_groups(groups: DataFrame, label: DataFrame) -> DataFrame:
     """``groups`` with ``comp``, those that have nodes of two components and more."""
-    placed = groups.join(label, "id").select("x", "y", "id", "n", "pos", "rare", "comp")
+    placed = groups.join(label, "id").select("x", "y", "id", "n", "pos", "comp")
     open_ = placed.groupBy("x", "y").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("x", "y")
     return stage(placed.join(apart(open_, "x", "y"), ["x", "y"]), "dup-open")
 
