@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonewright.functions.embedding import FeatureHashing
+from zonewright.operators import vectors as operators
 from zonewright.operators.vectors import (
     changed_items,
     embed_texts,
@@ -107,6 +108,28 @@ def test_many_queries_scan_the_vectors_once(spark, tmp_path):
         assert np.allclose([r["score"] for r in got], best, atol=1e-6)
 
 
+@pytest.mark.parametrize("many", [1, 4])
+def test_vectors_are_not_shuffled_for_every_block(spark, monkeypatch, many):
+    """Rows of the grid grow with the tables, however few queries are matched at a time."""
+    n, made = 200 * many, []
+    tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    grid = operators._grid
+    monkeypatch.setattr(operators, "_grid", lambda *a: made.append(grid(*a)) or made[0])
+    df = vectors(spark, [(i, [float(i), 1.0, 2.0]) for i in range(n)])
+    asked = df.filter("id % 5 = 0")
+    assert top_k_of(df, asked, 2, query_rows=2).count() == 2 * n // 5
+    # Bands of all vectors and parts of all queries: 2 x sqrt(tasks / 5) x n at best.
+    assert made[0].count() <= 3 * (tasks / 5) ** 0.5 * n
+    # With a bound on what a cell holds there are as many bands as that asks for.
+    monkeypatch.setattr(operators, "CELL_BYTES", 24 * 4)
+    bands = []
+    monkeypatch.setattr(operators, "_grid", lambda *a: bands.append(a[2]) or grid(*a))
+    got = top_k_of(df, asked, 2, query_rows=2, score_digits=6).collect()
+    assert bands == [n // 5 // 4]
+    want = top_k(df, [(r["id"], r["embedding"]) for r in asked.collect()], 2, score_digits=6).collect()
+    assert sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in got) == sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in want)
+
+
 def test_odd_queries_in_the_grid(spark):
     data = [(i, [float(i), 1.0]) for i in range(9)] + [(20, [1.0, 2.0, 3.0]), (21, None), (22, [0.0, 0.0])]
     asked = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 2.0, 3.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [None, 1.0]), (None, [0.0, 1.0]), (7, [1.0])]

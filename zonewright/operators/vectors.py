@@ -25,6 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BATCH_ROWS = 100
 # Query vectors that are answered together: what a task holds beside a batch of vectors.
 QUERY_ROWS = 1_000
+# Bytes of query vectors in one cell of a grid, which its task holds.
+CELL_BYTES = 16 * 1024 * 1024
 
 
 def embed_texts(
@@ -197,11 +199,12 @@ def top_k_of(
 ) -> DataFrame:
     """``top_k`` for all rows of ``queries``, however many; equal ones count once.
 
-    Up to ``query_rows`` of them go to the tasks as they are. More are dealt into blocks of about
-    that many, and the vectors into ``vector_parts`` parts; every block meets every part in
-    one cell of a grid. A cell's queries come first in its task, then its vectors stream past
-    them; it passes on ``k`` rows a query, and one ranking merges the parts. So both
-    tables are scanned once, and a task holds one block of queries and one batch of vectors.
+    Up to ``query_rows`` of them go to the tasks as they are. More are dealt into bands, and the vectors into
+    ``vector_parts`` parts; every band meets every part in one cell of a grid. A cell's queries come first
+    in its task, then its vectors stream past them, against ``query_rows`` queries at a time; it passes
+    on ``k`` rows a query, and one ranking merges the parts. So both tables are scanned once, and a task
+    holds one band of queries, ``CELL_BYTES`` or ``query_rows`` of them, and one batch of vectors. A vector is
+    shuffled once for every band, a query once for every part: the grid has the form that makes these fewest.
     """
     named = query_id or id_column
     spark = vectors.sparkSession
@@ -213,9 +216,12 @@ def top_k_of(
             id_column=id_column, vector_column=vector_column, query_column=query_column, score_column=score_column,
             score_digits=score_digits, query_type=queries.schema[named].dataType,
         )
-    blocks = math.ceil(asked.count() / query_rows)
-    parts = vector_parts or math.ceil(2 * int(spark.conf.get("spark.sql.shuffle.partitions")) / blocks)
-    cells = _grid(vectors.select(F.col(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("v")), asked, blocks, parts)
+    told = asked.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("size")).first()
+    tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    square = math.sqrt(tasks * told["n"] / max(vectors.count(), 1))
+    bands = max(math.ceil(told["n"] / max(query_rows, CELL_BYTES // (8 * told["size"]))), min(round(square), tasks, math.ceil(told["n"] / query_rows)))
+    parts = vector_parts or math.ceil(tasks / bands)
+    cells = _grid(vectors.select(F.col(id_column).alias("id"), F.col(vector_column).alias("v")), asked, bands, parts)
     schema = T.StructType(
         [
             T.StructField("q", queries.schema[named].dataType),
@@ -226,42 +232,43 @@ def top_k_of(
     )
     order = Window.partitionBy("q", "h").orderBy(F.desc("score"), F.asc("id"))
     return (
-        cells.mapInArrow(_cell_search(k, score_digits), schema)
+        cells.mapInArrow(_cell_search(k, score_digits, query_rows), schema)
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select(F.col("q").alias(query_column), F.col("id").alias(id_column), F.col("score").alias(score_column), "rank")
     )
 
 
-def _grid(vectors: DataFrame, asked: DataFrame, blocks: int, parts: int) -> DataFrame:
-    """Both tables as ``part, block, kind, id, v, q, h``, the cells one after the other in their tasks,
+def _grid(vectors: DataFrame, asked: DataFrame, bands: int, parts: int) -> DataFrame:
+    """Both tables as ``part, band, kind, id, v, q, h``, the cells one after the other in their tasks,
     queries (kind 0) before vectors (kind 1)."""
 
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
+    if vectors.schema["v"].dataType != asked.schema["v"].dataType:
+        vectors, asked = (df.withColumn("v", F.col("v").cast("array<double>")) for df in (vectors, asked))
     # ``h`` tells queries apart that have one id and several vectors.
-    told = asked.select(F.col("q"), F.col("v").cast("array<double>").alias("v"), F.xxhash64("v").alias("h"))
-    block = F.pmod(F.xxhash64("q", "h"), F.lit(blocks)).cast("int")
-    left = told.select(every(parts).alias("part"), block.alias("block"), F.lit(0).alias("kind"), "v", "q", "h")
+    told = asked.select("q", "v", F.xxhash64(F.col("v").cast("array<double>")).alias("h"))
+    band = F.pmod(F.xxhash64("q", "h"), F.lit(bands)).cast("int")
+    left = told.select(every(parts).alias("part"), band.alias("band"), F.lit(0).alias("kind"), "v", "q", "h")
     part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
-    right = vectors.filter(F.size("v") > 0).select(part.alias("part"), every(blocks).alias("block"), F.lit(1).alias("kind"), "id", "v")
-    both = left.unionByName(right, allowMissingColumns=True).select("part", "block", "kind", "id", "v", "q", "h")
-    return both.repartition("part", "block").sortWithinPartitions("part", "block", "kind")
+    right = vectors.filter(F.size("v") > 0).select(part.alias("part"), every(bands).alias("band"), F.lit(1).alias("kind"), "id", "v")
+    both = left.unionByName(right, allowMissingColumns=True).select("part", "band", "kind", "id", "v", "q", "h")
+    return both.repartition("part", "band").sortWithinPartitions("part", "band", "kind")
 
 
-def _cell_search(k: int, digits: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cell_search(k: int, digits: int | None, query_rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, nearest = None, None
+        cell: tuple[int, int] | None = None
         queries: list[tuple[pa.Array, pa.Array, pa.Array]] = []
+        blocks: list[tuple[pa.Array, pa.Array, _Nearest]] = []
 
         def answered() -> Iterator[pa.RecordBatch]:
-            if nearest is None:
-                return
-            q, h = (pa.concat_arrays([x[i] for x in queries]) for i in (0, 1))
-            for place, ids, scores in nearest.found():
-                told = pa.array(np.full(len(scores), place))
-                yield pa.RecordBatch.from_arrays([q.take(told), h.take(told), ids, pa.array(scores)], names=["q", "h", "id", "score"])
+            for q, h, nearest in blocks:
+                for place, ids, scores in nearest.found():
+                    told = pa.array(np.full(len(scores), place))
+                    yield pa.RecordBatch.from_arrays([q.take(told), h.take(told), ids, pa.array(scores)], names=["q", "h", "id", "score"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -270,17 +277,22 @@ def _cell_search(k: int, digits: int | None) -> Callable[[Iterator[pa.RecordBatc
             ends = [*(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1), batch.num_rows]
             start = 0
             for end in ends:
-                part, block, kind = (int(x) for x in at[:, start])
-                if (part, block) != cell:
+                part, band, kind = (int(x) for x in at[:, start])
+                if (part, band) != cell:
                     yield from answered()
-                    cell, nearest, queries = (part, block), None, []
+                    cell, queries, blocks = (part, band), [], []
                 ids, v, q, h = (batch.column(i).slice(start, end - start) for i in range(3, 7))
                 if kind == 0:
                     queries.append((q, h, v))
-                elif queries:
-                    if nearest is None:
-                        nearest = _Nearest([x for _, _, part_v in queries for x in part_v.to_pylist()], k, digits)
-                    nearest.add(ids, v)
+                elif queries or blocks:
+                    if queries:
+                        asked = [pa.concat_arrays([x[i] for x in queries]) for i in range(3)]
+                        for first in range(0, len(asked[0]), query_rows):
+                            some = [x.slice(first, query_rows) for x in asked]
+                            blocks.append((some[0], some[1], _Nearest(some[2].to_pylist(), k, digits)))
+                        queries = []
+                    for _, _, nearest in blocks:
+                        nearest.add(ids, v)
                 start = end
         yield from answered()
 
