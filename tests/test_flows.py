@@ -492,3 +492,12 @@ def test_report_order():
     report.run("a", lambda: 3)
     report.run("b", lambda: 1 // 0)
     assert [(r.table, r.rows, r.ok) for r in report.results] == [("a", 3, True), ("b", None, False)]
+
+
+def test_dumps_that_are_laid_down_are_packed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("zonewright.sources.dumps.FILE_DOCUMENTS", 100)
+    dumps = Dumps(spark, str(tmp_path / "dumps"))
+    dumps.write("keywords", spark.range(1000).selectExpr("id", "array(struct(1 AS id, 'k' AS name)) AS keywords").coalesce(1))
+    names = [n for n in Files(spark).names(dumps.path("keywords")) if n.startswith("part-")]
+    assert len(names) == 10 and all(n.endswith(".json.gz") for n in names)
+    assert dumps.read("keywords").selectExpr("count(*)", "sum(id)", "min(keywords[0].name)").first()[:] == (1000, 499500, "k")
