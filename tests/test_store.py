@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonewright.operators.merge import DuplicateKeys, MissingColumns
+from zonewright.session import Staging
 from zonewright.sources.files import Files
 from zonewright.sources.store import TableNotFound, TableStore
 
@@ -228,3 +229,36 @@ def test_show_names_and_drop(store, spark, capsys):
     assert "|  1|   x|" in capsys.readouterr().out
     assert store.names() == ["t"]
     assert store.drop("t") is True and not store.exists("t")
+
+
+def test_files_are_packed_and_hold_a_bounded_number_of_rows(store, spark, tmp_path, monkeypatch):
+    """However well rows are packed, a task that reads whole files gets few enough to sort."""
+    monkeypatch.setattr("zonewright.session.FILE_ROWS", 100)
+    rows = spark.range(1000).selectExpr("cast(id AS int) AS id", "'same' AS name").coalesce(1)
+    store.create("keyed", rows, keys=["id"])
+    store.create("plain", rows)
+    staged = Staging(spark, "bounded")
+    held = staged.put(rows)
+    try:
+        for found in (store.read("keyed"), store.read("plain"), held):
+            sizes = found.groupBy(F.input_file_name().alias("file")).count().collect()
+            assert len(sizes) == 10 and {r["count"] for r in sizes} == {100}
+            assert all(".zstd." in r["file"] for r in sizes)
+    finally:
+        staged.clear()
+
+
+def test_packed_rows_are_not_broadcast_for_their_file_size(store, spark):
+    """A few packed bytes a row are not what a join's side takes on the driver."""
+    rows = spark.range(200_000).selectExpr("id", "'same' AS name", "array_repeat(1.0f, 64) AS embedding")
+    store.create("t", rows, keys=["id"])
+    found = store.read("t")
+    packed = Files(spark).size(f"{store.root}/t/data")
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 10 * packed
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(2 * packed))
+    try:
+        plan = found.join(found.select("id", F.col("embedding").alias("other")), "id")._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "BroadcastHashJoin" not in plan

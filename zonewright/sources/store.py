@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from zonewright.operators.dedup import all_present
 from zonewright.operators.merge import align, count_and_check, merge_checked
+from zonewright.session import packed, sizes_unpacked
 from zonewright.sources.files import Files
 
 # Bytes a bucket should hold; a table that comes to four times as much for each of its buckets is
@@ -66,6 +67,7 @@ class TableStore:
         self.root = root.rstrip("/")
         self.buckets = buckets
         self._files = Files(spark)
+        sizes_unpacked(spark)
 
     # --- reading ----------------------------------------------------------------
 
@@ -247,13 +249,13 @@ class TableStore:
         path = self._data_path(name, data)
         if not version.keys:
             writer = df.write.partitionBy(*version.partition_by) if version.partition_by else df.write
-            writer.parquet(path)
+            packed(writer).parquet(path)
             return {_WHOLE: [data]}
         dealt = df.withColumn(_BUCKET, _bucket(version))
         if version.buckets > 1:
             # Spark sees how large each bucket has become, and splits large ones among tasks.
             dealt = dealt.hint("rebalance", F.col(_BUCKET))
-        dealt.write.partitionBy(_BUCKET, *version.partition_by).parquet(path)
+        packed(dealt.write.partitionBy(_BUCKET, *version.partition_by)).parquet(path)
         folders = [f for f in self._files.names(path) if f.startswith(f"{_BUCKET}=")]
         if not folders:
             self._files.delete(path)
