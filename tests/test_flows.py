@@ -487,6 +487,20 @@ def test_only_wanted_videos_are_ranked(zones, spark, tmp_path):
     assert plan.count("LeftSemi") >= 2 and plan.index("Window") < plan.rindex("LeftSemi")
 
 
+def test_shuffle_files_go_with_the_query_that_made_them(spark):
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    name, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffled()
+    setting = spark.conf.get(name)
+    steps = {n: lambda: len(spark.range(1000).repartition(3, "id").groupBy("id").count().collect()) for n in "ab"}
+    report = FlowReport()
+    report.run_all(spark, steps)
+    assert [r.rows for r in report.finish().results] == [1000, 1000]
+    assert shuffled() <= before and spark.conf.get(name) == setting
+
+
 def test_report_order():
     report = FlowReport()
     report.run("a", lambda: 3)

@@ -107,6 +107,39 @@ def test_a_table_that_grows_gets_more_buckets(store, spark, rows, monkeypatch):
     assert set(Files(spark).names(f"{store.root}/t/data")) == named
 
 
+def test_a_new_table_is_written_once_and_dealt_by_its_first_merge(store, spark, rows, monkeypatch):
+    monkeypatch.setattr("zonewright.sources.store.BUCKET_BYTES", 2000)
+    made = spark.range(9000).selectExpr("cast(if(id < 8999, id, NULL) AS int) AS id", "uuid() AS name")
+    store.upsert("t", made, ["id"])
+    new = store._version("t")
+    assert len(Files(spark).names(f"{store.root}/t/data")) == 1 and new.buckets == 1
+    assert store.upsert("t", people(spark, [(7, "changed"), (9999, "more"), (None, "n")]), ["id"]) == 3
+    dealt = store._version("t")
+    assert dealt.buckets >= 32 and set(dealt.data) == {str(b) for b in range(-1, dealt.buckets)}
+    assert set(dealt.bytes) == set(dealt.data) and all(n > 0 for n in dealt.bytes.values())
+    assert store.read("t").count() == 9002 and store.read("t").select("id").distinct().count() == 9001
+    assert rows(store.read("t").filter("length(name) < 20")) == [(7, "changed"), (9999, "more"), (None, "n")]
+    named = {path.split("/")[0] for path in [*dealt.sets(), *dealt.before]}
+    assert set(Files(spark).names(f"{store.root}/t/data")) == named
+    store.upsert("t", people(spark, [(7, "again")]), ["id"])
+    assert len([b for b, sets in store._version("t").data.items() if sets != dealt.data[b]]) == 1
+
+
+def test_appended_rows_deal_a_table_that_has_outgrown_its_buckets(store, spark, monkeypatch):
+    monkeypatch.setattr("zonewright.sources.store.BUCKET_BYTES", 2000)
+    store.create("t", people(spark, [(1, "a"), (None, "n")]), keys=["id"])
+    store.create("t", spark.range(10, 9000).selectExpr("cast(id AS int) AS id", "uuid() AS name"), mode="append")
+    assert store._version("t").buckets >= 32 and store.read("t").count() == 8992
+
+
+def test_rows_of_one_bucket_are_not_sorted_for_it(store, spark, rows, tmp_path):
+    df = spark.range(100).selectExpr("cast(if(id % 10 = 0, NULL, id) AS int) AS id", "'a' AS name").coalesce(1)
+    store.upsert("t", df, ["id"])
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 2
+    assert rows(store.read("t").groupBy(F.col("id").isNull()).count()) == [(False, 90), (True, 10)]
+    assert set(store._version("t").data) == {"0", "-1"}
+
+
 def test_rows_without_a_key_are_never_merged(store, spark, rows, monkeypatch):
     monkeypatch.setattr("zonewright.sources.store.LOOSE_SETS", 3)
     for n in range(5):
