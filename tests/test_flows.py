@@ -487,6 +487,41 @@ def test_only_wanted_videos_are_ranked(zones, spark, tmp_path):
     assert plan.count("LeftSemi") >= 2 and plan.index("Window") < plan.rindex("LeftSemi")
 
 
+def test_narrowing_shares_the_shuffle_of_a_skewed_lookup(spark, tmp_path, rows):
+    from zonewright.operators.enrich import lookup_join
+    from zonewright.plans.landing import narrowed
+
+    def stored(name, data, ddl):
+        spark.createDataFrame(data, ddl).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    left = stored("l", [(1, "a"), (2, "a"), (3, "b"), (4, None), (5, "c")], "n int, k string")
+    right = stored("r", [("a", 2), ("a", 1), ("b", 3), (None, 4), ("d", 5)], "k string, v int")
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")
+        kept = narrowed(right, left, ["k"], for_skewed_join=True)
+        assert rows(kept) == rows(narrowed(right, left, ["k"])) == [("a", 1), ("a", 2), ("b", 3)]
+        joined = lookup_join(left, kept, ["k"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        # Either side of the narrowing and of the join: the ranking between them has none of its own.
+        assert plan.count("Exchange hashpartitioning") == 4
+        assert rows(joined) == [("a", 1, 1), ("a", 2, 1), ("b", 3, 3), ("c", 5, None), (None, 4, None)]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_statistics_are_parsed_once(spark, tmp_path, rows):
+    data = [("1", '{"viewCount": "1,000", "likeCount": "x"}'), ("2", None), ("3", "no json"), ("4", '{"commentCount": 7}')]
+    spark.createDataFrame(data, "tmdb_id string, statistics string").write.parquet(str(tmp_path / "s"))
+    found = trusted.video_statistics(spark.read.parquet(str(tmp_path / "s")))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert rows(found) == [(1, 1000, None, None), (2, None, None, None), (3, None, None, None), (4, None, None, 7)]
+
+
 def test_shuffle_files_go_with_the_query_that_made_them(spark):
     def shuffled():
         files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
