@@ -180,6 +180,13 @@ def test_hashing_needs_no_python_worker(spark, final_plan):
     assert "Python" not in final_plan(embed_texts(df, "i", "t", FeatureHashing(8)))
 
 
+def test_the_numbers_of_a_text_are_divided_once_and_not_for_each_slot(spark):
+    df = spark.createDataFrame([(1, "a b")], "i long, t string")
+    plan = embed_texts(df, "i", "t", FeatureHashing(8))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_from_entries(") == 1 and "element_at(map_from_entries(" not in plan
+    assert "element_at" in plan.splitlines()[0] and "length" not in plan.splitlines()[0]
+
+
 def test_a_model_gets_texts_only(spark):
     df = spark.createDataFrame([(2**60 + 1, "a b", {"x": "y"}), (None, "c", None)], "i long, t string, m map<string,string>")
     got = embed_texts(df, "i", "t", lambda texts: [[float(len(t))] for t in texts])
